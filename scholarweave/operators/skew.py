@@ -1,0 +1,28 @@
+"""Lookups whose fact side may be dominated by one key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from scholarweave.functions.text import ColumnOrName, col
+
+SALTS = 16
+
+
+def salted_lookup(
+    facts: DataFrame, lookup: DataFrame, on: str, unique: ColumnOrName, salts: int = SALTS
+) -> DataFrame:
+    """Inner join of ``facts`` with a ``lookup`` that has one row per key.
+
+    The rows of a key are dealt out over ``salts`` tasks by a hash of
+    ``unique``, a column that differs among them; every lookup row is repeated
+    once per salt. The salt depends on the data alone, so a task that is run
+    again after a lost executor deals out the same rows.
+    """
+    salt = F.pmod(F.xxhash64(col(unique)), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (
+        facts.withColumn("_salt", salt)
+        .join(lookup.withColumn("_salt", copies), [on, "_salt"])
+        .drop("_salt")
+    )
