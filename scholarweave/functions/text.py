@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from scholarweave import vocabulary as V
 
@@ -86,6 +86,13 @@ def year_number(c: ColumnOrName) -> Column:
     return to_number(c).try_cast("int")
 
 
+def year_column(df: DataFrame, name: str) -> Column:
+    """Year of a text column, or of a numeric one without going through text."""
+    if isinstance(df.schema[name].dataType, T.NumericType):
+        return F.col(name).try_cast("int")
+    return year_number(name)
+
+
 def keywords(c: ColumnOrName) -> Column:
     """Comma-separated list as an array of distinct non-blank words."""
     parts = F.transform(F.split(col(c), ","), strip)

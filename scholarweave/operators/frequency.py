@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scholarweave.functions.predicates import is_present
-from scholarweave.functions.text import ColumnOrName, col, year_number
+from scholarweave.functions.text import year_column
 
 MAX_PIVOT_COLUMNS = 2000
 
@@ -26,7 +26,7 @@ def top_n(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def usable_years(df: DataFrame, year: str, topic: str, since: int | None = None) -> DataFrame:
     """(year, topic) of rows whose year is a number and whose topic is known."""
-    kept = df.select(year_number(year).alias("year"), F.col(topic).alias("topic")).where(
+    kept = df.select(year_column(df, year).alias("year"), F.col(topic).alias("topic")).where(
         F.col("year").isNotNull() & F.col("topic").isNotNull()
     )
     return kept if since is None else kept.where(F.col("year") >= since)
@@ -108,7 +108,7 @@ def matrix_shape(counts: DataFrame) -> DataFrame:
 
 def outputs_by_year(df: DataFrame, year: str) -> DataFrame:
     return (
-        df.select(year_number(year).alias("year")).where(F.col("year").isNotNull())
+        df.select(year_column(df, year).alias("year")).where(F.col("year").isNotNull())
         .groupBy("year").agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -120,7 +120,7 @@ def active_by_year(projects: DataFrame, start: str, end: str) -> DataFrame:
     summed per year before anything is ordered, so the running total covers one
     row per year and the work does not grow with the length of projects.
     """
-    s, e = year_number(start), year_number(end)
+    s, e = year_column(projects, start), year_column(projects, end)
     valid = projects.select(s.alias("s"), e.alias("e")).where(F.col("s") <= F.col("e"))
     steps = valid.select(
         F.explode(

@@ -218,10 +218,9 @@ def components(pubs: DataFrame) -> DataFrame:
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
-    digest = F.xxhash64("u", "v")
-    return tuple(
-        edges.agg(F.count(F.lit(1)), F.bit_xor(digest), F.sum(F.shiftright(digest, 24))).first()
-    )
+    """Size and order-free digest of a set of edges."""
+    digests = [F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.hash("v", "u"))]
+    return tuple(edges.agg(F.count(F.lit(1)), *digests).first())
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -9,16 +9,16 @@ from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scholarweave.functions.text import ColumnOrName, year_number
+from scholarweave.functions.text import year_column
 
 FEATURES = ("duration", "time_to_publish")
 
 
 def with_lifecycle(
-    df: DataFrame, start: ColumnOrName, end: ColumnOrName, output: ColumnOrName
+    df: DataFrame, start: str, end: str, output: str
 ) -> DataFrame:
     """Add duration and time to publish; rows without three years or with a negative value go."""
-    s, e, o = year_number(start), year_number(end), year_number(output)
+    s, e, o = year_column(df, start), year_column(df, end), year_column(df, output)
     return df.withColumns({"duration": e - s, "time_to_publish": o - s}).where(
         (F.col("duration") >= 0) & (F.col("time_to_publish") >= 0)
     )
