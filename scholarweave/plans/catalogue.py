@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from scholarweave.plans import count_queries  # noqa: F401
+from scholarweave.plans import count_queries, text_queries  # noqa: F401
 from scholarweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
