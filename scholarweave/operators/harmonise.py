@@ -49,7 +49,7 @@ def union_complete(frames: Sequence[DataFrame]) -> DataFrame:
 
     A frame without a complete row adds none, so it needs no test of its own.
     """
-    complete = [f.na.drop("any", schemas.HARMONISED_COLUMNS) for f in frames]
+    complete = [f.na.drop(subset=schemas.HARMONISED_COLUMNS) for f in frames]
     return reduce(DataFrame.unionByName, complete)
 
 

@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from scholarweave.plans import count_queries, text_queries  # noqa: F401
+from scholarweave.plans import (  # noqa: F401
+    count_queries, match_queries, record_queries, text_queries,
+)
 from scholarweave.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

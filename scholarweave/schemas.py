@@ -30,10 +30,9 @@ OPENALEX_WORK = (
 )
 
 _EXTERNAL_IDS = (
-    "`external-ids` struct<`external-id`:array<struct<"
+    "`external-ids`:struct<`external-id`:array<struct<"
     "`external-id-type`:string,`external-id-value`:string>>>"
 )
-_EXTERNAL_IDS_FIELD = _EXTERNAL_IDS.replace("` struct", "`:struct", 1)
 _YEAR = "struct<year:struct<value:string>>"
 
 ORCID_RECORD = (
@@ -41,16 +40,18 @@ ORCID_RECORD = (
     "employments:struct<`employment-summary`:array<struct<"
     f"`start-date`:{_YEAR},`end-date`:{_YEAR},organization:struct<name:string>>>>,"
     "works:struct<`group`:array<struct<`work-summary`:array<struct<"
-    f"`put-code`:bigint,{_EXTERNAL_IDS_FIELD}>>>>>>"
+    f"`put-code`:bigint,{_EXTERNAL_IDS}>>>>>>"
 )
 
-ORCID_WORK = (
-    "title struct<title:struct<value:string>>, type string, "
-    "`journal-title` struct<value:string>, "
-    "`publication-date` struct<year:struct<value:string>,month:struct<value:string>>, "
-    f"{_EXTERNAL_IDS}, "
-    "citation struct<`citation-type`:string,`citation-value`:string>"
+_WORK_FIELDS = (
+    "title:struct<title:struct<value:string>>,type:string,"
+    "`journal-title`:struct<value:string>,"
+    "`publication-date`:struct<year:struct<value:string>,month:struct<value:string>>,"
+    f"{_EXTERNAL_IDS},"
+    "citation:struct<`citation-type`:string,`citation-value`:string>"
 )
+ORCID_WORK = f"struct<{_WORK_FIELDS}>"
+ORCID_WORKS = f"array<{ORCID_WORK}>"
 
 CROSSREF_MESSAGE = (
     "title array<string>, `container-title` array<string>, volume string, issue string, "
