@@ -151,6 +151,19 @@ def peak(series: DataFrame) -> DataFrame:
     )
 
 
+def summary_document(series: DataFrame) -> DataFrame:
+    """One nested row: the yearly series and its peak. A series has one row per year."""
+    points = F.array_sort(F.collect_list(F.struct("year", "n")))
+    return series.agg(
+        F.struct(points.alias("publications_by_year")).alias("plots"),
+        F.struct(
+            F.max_by("year", F.struct("n", -F.col("year"))).alias("peak_year"),
+            F.max("n").alias("peak_value"),
+            F.max_by("n", "year").alias("current_value"),
+        ).alias("stats"),
+    )
+
+
 def match_summary(matches: DataFrame) -> DataFrame:
     """Outcomes of a matching run by flag, method and reason."""
     return matches.groupBy("In_PMC", "Method", "Reason").agg(F.count(F.lit(1)).alias("n"))

@@ -133,7 +133,7 @@ def crosstab(t):
     return frequency.crosstab(events, "user_id", "kind", EVENT_TYPES)
 
 
-_BY_YEAR = (
+BY_YEAR_SQL = (
     "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n FROM orders "
     "WHERE o_orderdate IS NOT NULL GROUP BY 1"
 )
@@ -143,7 +143,7 @@ def yearly_outputs(t):
     return frequency.outputs_by_year(order_years(t), "OutputYear")
 
 
-@query("outputs_by_year", _BY_YEAR)
+@query("outputs_by_year", BY_YEAR_SQL)
 def outputs_by_year(t):
     return yearly_outputs(t)
 
@@ -151,7 +151,7 @@ def outputs_by_year(t):
 @query(
     "peak_year",
     f"""
-WITH s AS ({_BY_YEAR})
+WITH s AS ({BY_YEAR_SQL})
 SELECT (SELECT year FROM s ORDER BY n DESC, year LIMIT 1) AS peak_year,
        (SELECT max(n) FROM s) AS peak_value,
        (SELECT n FROM s ORDER BY year DESC LIMIT 1) AS current_value
@@ -164,7 +164,7 @@ def peak_year(t):
 @query(
     "trajectory",
     f"""
-WITH s AS ({_BY_YEAR})
+WITH s AS ({BY_YEAR_SQL})
 SELECT year, n, lag(year) OVER (ORDER BY year) AS from_year,
        lag(n) OVER (ORDER BY year) AS from_value FROM s
 """,
