@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from scholarweave import vocabulary as V
 from scholarweave.functions.predicates import contains_any
-from scholarweave.functions.text import ColumnOrName, col, first_nonempty, strip, to_number
+from scholarweave.functions.text import ColumnOrName, col, first_nonempty, once, strip, to_number
 
 
 def _filled(c: ColumnOrName) -> Column:
@@ -17,32 +17,27 @@ def _filled(c: ColumnOrName) -> Column:
 
 
 def citation_compact(c: ColumnOrName) -> Column:
-    """``12(3), 45-67`` as struct(volume, number, pages); null fields if absent.
-
-    The pattern runs once; its match is then cut at the punctuation.
-    """
-    match = F.regexp_extract(col(c), V.CITATION_VOLUME_ISSUE_PAGES, 0)
-    parts = F.split(F.nullif(match, F.lit("")), r"\(|\),\s*")
-
-    def part(i: int) -> Column:
-        return F.try_element_at(parts, F.lit(i))
-
-    return F.struct(part(1).alias("volume"), part(2).alias("number"), part(3).alias("pages"))
+    """``12(3), 45-67`` as struct(volume, number, pages); null fields if absent."""
+    return _citation(c, V.CITATION_VOLUME_ISSUE_PAGES, (1, 2, 3))
 
 
 def citation_dated(c: ColumnOrName) -> Column:
-    """``2023, 57 (15), 5746-5753`` as struct(volume, number, pages).
-
-    Group-by-group extraction, because the digits of year and volume may touch.
-    """
-    text = col(c)
-
-    def group(i: int) -> Column:
-        return F.nullif(
-            F.regexp_extract(text, V.CITATION_YEAR_VOLUME_ISSUE_PAGES, i), F.lit("")
-        )
-
-    return F.struct(group(2).alias("volume"), group(3).alias("number"), group(4).alias("pages"))
+    """``2023, 57 (15), 5746-5753`` as struct(volume, number, pages)."""
+    return _citation(c, V.CITATION_YEAR_VOLUME_ISSUE_PAGES, (2, 3, 4))
+
+
+def _citation(c: ColumnOrName, pattern: str, groups: tuple[int, int, int]) -> Column:
+    """Search the text once, then take the short match apart."""
+    names = ("volume", "number", "pages")
+    return once(
+        F.regexp_extract(col(c), pattern, 0),
+        lambda m: F.struct(
+            *[
+                F.when(m != "", F.regexp_extract(m, pattern, g)).alias(name)
+                for name, g in zip(names, groups)
+            ]
+        ),
+    )
 
 
 def citation_labelled(c: ColumnOrName, citation_type: ColumnOrName | None = None) -> Column:
@@ -52,7 +47,7 @@ def citation_labelled(c: ColumnOrName, citation_type: ColumnOrName | None = None
         text = F.when(col(citation_type) == "formatted-unspecified", text)
 
     def part(pattern: str, group: int) -> Column:
-        return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+        return once(F.regexp_extract(text, pattern, group), lambda m: F.nullif(m, F.lit("")))
 
     return F.struct(
         part(V.CITATION_VOLUME, 1).alias("volume"),

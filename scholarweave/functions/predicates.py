@@ -9,7 +9,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 from scholarweave import vocabulary as V
-from scholarweave.functions.text import ColumnOrName, blank_to_null, col, to_number, tokens
+from scholarweave.functions.text import ColumnOrName, blank_to_null, col, strip, to_number, tokens
 
 
 def any_of(conditions: Iterable[Column]) -> Column:
@@ -78,7 +78,7 @@ def is_number(c: ColumnOrName) -> Column:
 
 def is_present(c: ColumnOrName) -> Column:
     """Neither null nor blank."""
-    return blank_to_null(col(c).cast("string")).isNotNull()
+    return F.coalesce(strip(col(c).cast("string")) != "", F.lit(False))
 
 
 def any_missing(columns: Sequence[ColumnOrName]) -> Column:

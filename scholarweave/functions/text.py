@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from scholarweave import vocabulary as V
@@ -27,6 +29,15 @@ def strip(c: ColumnOrName) -> Column:
     return F.btrim(col(c), F.lit(WHITESPACE))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time.
+
+    Spark computes an operand again for every branch it stands in, as in
+    ``nullif``; that is dear where it is a regular expression over a long text.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank_to_null(c: ColumnOrName) -> Column:
     """The engine's single spelling of a missing text: null."""
     return F.nullif(strip(c), F.lit(""))
@@ -38,7 +49,8 @@ def norm_doi(c: ColumnOrName) -> Column:
 
 def norm_words(c: ColumnOrName) -> Column:
     """Lower case with runs of white space folded: the key for comparing titles."""
-    return F.nullif(F.lower(strip(F.regexp_replace(col(c), _SPACES, " "))), F.lit(""))
+    folded = F.trim(F.regexp_replace(col(c), _SPACES, " "))
+    return once(F.lower(folded), lambda t: F.nullif(t, F.lit("")))
 
 
 def first_author(c: ColumnOrName) -> Column:
@@ -126,8 +138,10 @@ def project_title(c: ColumnOrName) -> Column:
     Falls back to the first 100 characters when no word run is found.
     """
     text = col(c)
-    found = strip(F.regexp_extract(text, V.PROJECT_TITLE, 2))
-    return F.when(text.rlike(V.PROJECT_TITLE), found).otherwise(F.substring(text, 1, 100))
+    return once(
+        F.regexp_extract(text, V.PROJECT_TITLE, 1),
+        lambda words: F.when(words != "", strip(words)).otherwise(F.substring(text, 1, 100)),
+    )
 
 
 def project_title_or_default(c: ColumnOrName) -> Column:

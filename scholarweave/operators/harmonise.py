@@ -53,16 +53,15 @@ def union_complete(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, complete)
 
 
-def record_key(doi: ColumnOrName, title: ColumnOrName, author: ColumnOrName) -> Column:
+def record_key(doi: Column, title: Column, author: Column) -> Column:
     """Identity of a record: its DOI, or title and author where it has none.
 
-    The long text is digested before it is shuffled. Null means no identity.
+    Takes normalised values. The long text is digested before it is shuffled.
+    Null means no identity.
     """
-    d, t, a = norm_doi(doi), norm_words(title), norm_words(author)
-    pair = F.to_json(F.struct(t.alias("t"), F.coalesce(a, F.lit("")).alias("a")))
-    return F.when(d.isNotNull(), F.concat(F.lit("d"), F.sha2(d, 256))).when(
-        t.isNotNull(), F.concat(F.lit("t"), F.sha2(pair, 256))
-    )
+    by_doi = F.concat(F.lit("d"), F.sha2(doi, 256))
+    pair = F.concat(title, F.lit("\n"), F.coalesce(author, F.lit("")))
+    return F.coalesce(by_doi, F.concat(F.lit("t"), F.sha2(pair, 256)))
 
 
 def dedupe(
@@ -82,7 +81,7 @@ def dedupe(
     given = [F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in df.columns]
     missing = F.lit(len(given)) - reduce(lambda a, b: a + b, given)
     keyed = df.select(
-        record_key(doi, title, author).alias("_key"),
+        record_key(norm_doi(doi), norm_words(title), norm_words(author)).alias("_key"),
         F.struct(missing.alias("missing"), F.col(id_column).alias("id")).alias("_rank"),
     )
     best = (

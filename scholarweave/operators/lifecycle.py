@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scholarweave.functions.text import year_column
+from scholarweave.workspace import materialise
 
 FEATURES = ("duration", "time_to_publish")
 
@@ -100,7 +101,7 @@ def lifecycle_clusters(df: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
     out are arbitrary. Labelling compares each record with ``k`` constant
     centres, without a shuffle.
     """
-    groups = feature_groups(df)
+    groups = materialise(feature_groups(df), "features")
     scores = weighted_scores(groups, FEATURES)
     model = fit_lifecycle_clusters(groups, k, seed)
     centres = sorted([float(x) for x in c] for c in model.clusterCenters())
@@ -126,6 +127,7 @@ def fit_topic_pca(matrix: DataFrame, k: int = 18) -> tuple[DataFrame, PCAModel]:
     only topics x topics numbers reach the driver.
     """
     topics = [c for c in matrix.columns if c != "year"]
+    matrix = materialise(matrix, "matrix")
     scaled = standardise(matrix, topics)
     vectors = VectorAssembler(inputCols=topics, outputCol="features").transform(scaled)
     model = PCA(k=min(k, len(topics)), inputCol="features", outputCol="scores").fit(vectors)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from scholarweave.functions import biblio
 from scholarweave.functions.predicates import is_present, is_related_work
 from scholarweave.functions.text import (
     ColumnOrName, blank_to_null, col, first_author, first_token, last_token, norm_doi, norm_words,
 )
+from scholarweave.operators.ordered import limit_per_key
 from scholarweave.sources.payloads import first_per_key
 
 
@@ -158,27 +159,30 @@ def attach_crossref(records: DataFrame, messages: DataFrame, doi: str, unique: s
 
 
 def best_work(
-    projects: DataFrame, works: DataFrame, candidates: int = 20, related=is_related_work
+    projects: DataFrame,
+    works: DataFrame,
+    work: ColumnOrName = "work",
+    candidates: int = 20,
+    related=is_related_work,
 ) -> DataFrame:
     """The work kept for each project, searched by the author's name.
 
-    ``projects`` has id, author, title; ``works`` has author, rank and the
-    struct ``work``. As in a search that returns one page, the first
-    ``candidates`` works of an author are looked at. Of the related ones, the
-    first whose title contains the project title wins, else the first.
+    ``projects`` has id, author and title; ``works`` has author, rank and what
+    ``work`` makes a work struct of. As in a search that returns one page, the
+    first ``candidates`` works of an author are looked at. Of the related ones,
+    the first whose title contains the project title wins, else the first.
 
-    The ranking limit is applied in every map task before the shuffle, so each
-    author contributes at most ``candidates`` rows per task however many works
-    there are, and the list that is joined never exceeds ``candidates``.
+    The page limit is applied in every map task before the shuffle, so an author
+    contributes at most ``candidates`` rows per task however many works there
+    are. Only works on a page are parsed, and the list that is joined to the
+    projects never exceeds ``candidates``.
     """
-    ranked = works.where(F.col("author").isNotNull()).withColumn(
-        "_place", F.row_number().over(Window.partitionBy("author").orderBy("rank"))
-    )
-    page = ranked.where(F.col("_place") <= candidates)
+    page = limit_per_key(works.where(F.col("author").isNotNull()), "author", ["rank"], candidates)
     listed = (
-        page.where(related(F.col("work")))
+        page.select("author", "place", col(work).alias("work"))
+        .where(related(F.col("work")))
         .groupBy("author")
-        .agg(F.array_sort(F.collect_list(F.struct("_place", "work"))).alias("_works"))
+        .agg(F.array_sort(F.collect_list(F.struct("place", "work"))).alias("_works"))
     )
     wanted = F.lower("title")
     matching = F.filter(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scholarweave.functions.text import ColumnOrName, col
+from scholarweave.workspace import materialise
 
 
 def top_k(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
@@ -15,8 +16,10 @@ def top_k(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
 def compact_view(counts: DataFrame, topics: int = 10, years: int = 5) -> DataFrame:
     """Counts of the most frequent topics in the most recent years, in long form.
 
-    Both selections are short lists by construction, so they are broadcast.
+    The counts are stored once, since they are read three times. Both selections
+    are short lists by construction, so they are broadcast.
     """
+    counts = materialise(counts, "counts")
     per_topic = counts.groupBy("topic").agg(F.sum("n").alias("total"))
     top = per_topic.orderBy(F.desc("total"), "topic").limit(topics).select("topic")
     recent = counts.select("year").distinct().orderBy(F.desc("year")).limit(years)

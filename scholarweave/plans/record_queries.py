@@ -13,7 +13,9 @@ from scholarweave.functions import biblio
 from scholarweave.operators import match
 from scholarweave.plans import records
 from scholarweave.plans.registry import query
-from scholarweave.plans.text_queries import CITATION_SQL, citations, sql_case, sql_contains, sql_lookup
+from scholarweave.plans.text_queries import (
+    CITATION_SQL, TITLE_PATTERN_SQL, citations, sql_case, sql_contains, sql_lookup,
+)
 from scholarweave.sources.payloads import parse_json, parse_xml
 
 TITLE_SQL = "string_split(text, chr(10))[1]"
@@ -151,7 +153,7 @@ WITH d AS (SELECT *, {TITLE_SQL} AS title, CAST(n_chars % 40 + 1980 AS VARCHAR)
   CASE WHEN n_chars % 3 <> 0 THEN n_chars || '-' ELSE '' END || (n_chars + 5) AS pages
   FROM documents WHERE source <> 'src3')
 SELECT CAST(doc_id AS VARCHAR) AS "ProjID", 'Completed' AS "ProjectStatus",
-  CASE WHEN regexp_matches(title, '{V.PROJECT_TITLE}') THEN trim(regexp_extract(title, '{V.PROJECT_TITLE}', 2)) ELSE substr(title, 1, 100) END AS "ProjectTitle",
+  CASE WHEN regexp_matches(title, '{TITLE_PATTERN_SQL}') THEN trim(regexp_extract(title, '{TITLE_PATTERN_SQL}', 2)) ELSE substr(title, 1, 100) END AS "ProjectTitle",
   source || ' rdc' AS "ProjectRDC", y AS "ProjectYearStarted", y AS "ProjectYearEnded", 'Dr ' || lang AS "ProjectPI",
   title AS "OutputTitle", venue || ', Vol ' || doc_id || ', Iss ' || coalesce(issue, '') || ', pp. ' || pages AS "OutputBiblio",
   {sql_lookup('kind', V.OUTPUT_TYPE_CODES, 'upper(kind)')} AS "OutputType", 'PB' AS "OutputStatus", venue AS "OutputVenue",

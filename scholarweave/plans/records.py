@@ -103,15 +103,15 @@ def core_records(
     ``projects`` has id, ProjID, author, title and year; ``works`` has author,
     rank and ``body``, a landed search hit.
     """
-    parsed = works.select("author", "rank", parse_json("body", schemas.CORE_WORK).alias("work"))
-    searched = projects.withColumn(
+    described = projects.withColumns(project_columns(as_of_year)).withColumn(
         "author", F.when(predicates.is_known_pi("author"), text.strip("author"))
     )
-    found = match.best_work(searched, parsed, candidates).withColumnRenamed("author", "_searched")
-    full = found.join(projects.select("id", "author"), "id")
+    found = match.best_work(
+        described, works, parse_json("body", schemas.CORE_WORK), candidates
+    )
     w = F.col("work")
     return harmonise.conform(
-        full.withColumns(project_columns(as_of_year)).select(
+        found.select(
             "ProjID", "ProjectStatus", "ProjectTitle",
             F.when(w.isNotNull(), biblio.infer_centre(w["institutions"])).alias("ProjectRDC"),
             "ProjectYearStarted", "ProjectYearEnded", "ProjectPI",
@@ -176,15 +176,17 @@ def enrich_from_orcid_work(rows: DataFrame) -> DataFrame:
     """
     w = F.col("work")
     citation = w["citation"]["citation-value"]
-    compact, dated = biblio.citation_compact(citation), biblio.citation_dated(citation)
+    parsed = rows.withColumns(
+        {"_compact": biblio.citation_compact(citation), "_dated": biblio.citation_dated(citation)}
+    )
     done = predicates.already_enriched(["OutputVenue", "OutputVolume"])
 
     def update(name: str, field: str) -> Column:
         current = F.col(name)
-        replaced = F.when(done, current).otherwise(text.override(current, compact[field]))
-        return F.coalesce(replaced, dated[field])
+        replaced = F.when(done, current).otherwise(F.coalesce(f"_compact.{field}", current))
+        return F.coalesce(replaced, f"_dated.{field}")
 
-    return rows.withColumns(
+    return parsed.withColumns(
         {
             "OutputVenue": F.when(done, F.col("OutputVenue")).otherwise(
                 text.override("OutputVenue", w["journal-title"]["value"])
@@ -194,7 +196,7 @@ def enrich_from_orcid_work(rows: DataFrame) -> DataFrame:
             "OutputPages": update("OutputPages", "pages"),
             "OutputMonth": text.fill_if_null("OutputMonth", date_month_of(w)),
         }
-    )
+    ).drop("_compact", "_dated")
 
 
 def date_month_of(work: Column) -> Column:

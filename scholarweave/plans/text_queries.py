@@ -311,7 +311,10 @@ def citation_build(t):
     )
 
 
-_TITLE_PATTERN = V.PROJECT_TITLE
+# The SQL engine has no look-behind; it may start anywhere in a run of words.
+TITLE_PATTERN_SQL = (
+    r"(?i)(FSRDC:?\s*)?([\p{L}\p{N}_\s-]+?)(?:using|based|analysis|study|research|$)"
+)
 
 
 @query(
@@ -319,8 +322,8 @@ _TITLE_PATTERN = V.PROJECT_TITLE
     f"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10))[1] AS title FROM documents)
 SELECT doc_id,
-  CASE WHEN regexp_matches(title, '{_TITLE_PATTERN}')
-    THEN trim(regexp_extract(title, '{_TITLE_PATTERN}', 2)) ELSE substr(title, 1, 100) END AS project_title,
+  CASE WHEN regexp_matches(title, '{TITLE_PATTERN_SQL}')
+    THEN trim(regexp_extract(title, '{TITLE_PATTERN_SQL}', 2)) ELSE substr(title, 1, 100) END AS project_title,
   CASE WHEN contains(lower(title), 'fsrdc') THEN title ELSE 'FSRDC Project' END AS tagged_title
 FROM d
 """,

@@ -13,20 +13,26 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """CSV with a header and a given schema: no pass over the data to guess types."""
-    return _csv(spark).schema(schema).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = True
+) -> DataFrame:
+    """CSV with a header and a given schema: no pass over the data to guess types.
+
+    Quoted fields may span lines, which keeps Spark from splitting a file. Turn
+    ``multiline`` off for large files whose records are known to be single lines.
+    """
+    return _csv(spark, multiline).schema(schema).csv(path)
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """CSV with every column as text; only the header is looked at beforehand."""
-    return _csv(spark).option("inferSchema", False).csv(path)
+    return _csv(spark, multiline).option("inferSchema", False).csv(path)
 
 
-def _csv(spark: SparkSession):
-    # Quotes inside fields are doubled, and fields may span lines.
+def _csv(spark: SparkSession, multiline: bool):
+    # Quotes inside fields are doubled.
     return (
-        spark.read.option("header", True).option("multiLine", True)
+        spark.read.option("header", True).option("multiLine", multiline)
         .option("quote", '"').option("escape", '"')
     )
 
