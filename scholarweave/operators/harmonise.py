@@ -73,24 +73,24 @@ def dedupe(
 ) -> DataFrame:
     """One record per identity: the most complete, then the lowest id.
 
-    Only (key, completeness, id) is aggregated, with partial aggregation before
-    the shuffle, so a record with very many copies is no hot spot. The rows
-    themselves are then fetched by a semi join on the unique id. Records
-    without identity are all kept.
+    Per key the lowest id is taken for each possible number of missing fields.
+    With numeric ids these are plain numbers, which Spark keeps in hash maps: no
+    texts are sorted, and partial aggregation before the shuffle means a record
+    with very many copies is no hot spot. The rows themselves are then fetched
+    by a semi join on the unique id. A record without identity stays.
     """
     given = [F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in df.columns]
     missing = F.lit(len(given)) - reduce(lambda a, b: a + b, given)
+    identity = record_key(norm_doi(doi), norm_words(title), norm_words(author))
+    own = F.concat(F.lit("i"), F.col(id_column).cast("string"))
     keyed = df.select(
-        record_key(norm_doi(doi), norm_words(title), norm_words(author)).alias("_key"),
-        F.struct(missing.alias("missing"), F.col(id_column).alias("id")).alias("_rank"),
+        F.coalesce(identity, own).alias("_key"), missing.alias("_missing"), F.col(id_column).alias("_id")
     )
-    best = (
-        keyed.where(F.col("_key").isNotNull())
-        .groupBy("_key").agg(F.min("_rank").alias("_rank"))
-        .select(F.col("_rank.id").alias(id_column))
-    )
-    anonymous = keyed.where(F.col("_key").isNull()).select(F.col("_rank.id").alias(id_column))
-    return df.join(best.unionByName(anonymous), id_column, "left_semi")
+    lowest = [
+        F.min(F.when(F.col("_missing") == m, F.col("_id"))) for m in range(len(given) + 1)
+    ]
+    best = keyed.groupBy("_key").agg(F.coalesce(*lowest).alias(id_column)).drop("_key")
+    return df.join(best, id_column, "left_semi")
 
 
 def conform(df: DataFrame, columns: Sequence[str] = schemas.OUTPUT_COLUMNS) -> DataFrame:
