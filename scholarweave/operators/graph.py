@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from scholarweave.functions.text import ColumnOrName, col
 from scholarweave.operators.ordered import sample_n
-from scholarweave.operators.skew import salted_lookup
+from scholarweave.operators.skew import skewed_lookup
 from scholarweave.workspace import materialise
 
 RARE_KEYWORD = 256
@@ -103,13 +103,20 @@ def class_degrees(pubs: DataFrame, rare: int = RARE_KEYWORD) -> DataFrame:
             f"a publication has {widest} keywords used by over {rare} others; raise `rare`"
         )
 
-    sets = marked.where(F.size("common") > 0).select(
-        "cls", "n", F.explode(_nonempty_subsets("common")).alias("subset")
+    sets = materialise(
+        marked.where(F.size("common") > 0).select(
+            "cls", "n", F.explode(_nonempty_subsets("common")).alias("subset")
+        ),
+        "keyword-sets",
+    )
+    holders = sets.groupBy("subset").agg(
+        F.sum("n").alias("_held"), F.count(F.lit(1)).alias("_rows")
     )
-    holders = sets.groupBy("subset").agg(F.sum("n").alias("_held"))
     sign = F.when(F.size("subset") % 2 == 1, 1).otherwise(-1)
     by_common = (
-        salted_lookup(sets.select("cls", "subset"), holders, "subset", "cls")
+        skewed_lookup(
+            sets.select("cls", "subset"), holders, "subset", "cls", "_rows", sets.count()
+        )
         .groupBy("cls").agg(F.sum(sign * F.col("_held")).alias("_by_common"))
     )
 
@@ -146,8 +153,11 @@ def _nonempty_subsets(array: str):
 
 def degrees(pubs: DataFrame, rare: int = RARE_KEYWORD) -> DataFrame:
     """(id, degree) of every publication; those without keywords get 0."""
-    per_class = class_degrees(pubs, rare).select("keywords", "degree")
-    linked = salted_lookup(pubs.where(F.size("keywords") > 0), per_class, "keywords", "id")
+    per_class = materialise(class_degrees(pubs, rare), "class-degrees")
+    total = per_class.agg(F.sum("n")).first()[0] or 0
+    linked = skewed_lookup(
+        pubs.where(F.size("keywords") > 0), per_class, "keywords", "id", "n", total
+    )
     alone = pubs.where(F.size("keywords") == 0).select("id", F.lit(0).cast("bigint").alias("degree"))
     return linked.select("id", "degree").unionByName(alone)
 
@@ -202,15 +212,18 @@ def components(pubs: DataFrame) -> DataFrame:
     grows with the logarithm of the graph.
     """
     members = materialise(memberships(pubs), "members")
-    centres = members.groupBy("keyword").agg(F.min("id").alias("v"))
-    star = salted_lookup(members, centres, "keyword", "id")
+    centres = members.groupBy("keyword").agg(
+        F.min("id").alias("v"), F.count(F.lit(1)).alias("_rows")
+    )
+    star = skewed_lookup(members, centres, "keyword", "id", "_rows", members.count())
     edges = materialise(
         star.where("id <> v").select(F.col("id").alias("u"), "v").distinct(), "star"
     )
-    before = None
-    while (now := _fingerprint(edges)) != before:
-        before = now
-        edges = materialise(_small_star(_large_star(edges)), "star")
+    before, now = None, _fingerprint(edges)
+    while now != before:
+        larger = materialise(_large_star(edges, now[0]), "star")
+        edges = materialise(_small_star(larger, larger.count()), "star")
+        before, now = now, _fingerprint(edges)
     return (
         pubs.select("id").join(edges.select(F.col("u").alias("id"), "v"), "id", "left")
         .select("id", F.coalesce("v", "id").alias("component"))
@@ -223,7 +236,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), *digests).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, total: int) -> DataFrame:
     """Link every larger neighbour of a vertex to the vertex's smallest neighbour."""
     both = edges.select(
         F.explode(
@@ -233,15 +246,21 @@ def _large_star(edges: DataFrame) -> DataFrame:
             )
         ).alias("e")
     ).select("e.*")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    larger = salted_lookup(both.where("v > u"), least, "u", "v")
+    least = both.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_rows")
+    )
+    larger = skewed_lookup(both.where("v > u"), least, "u", "v", "_rows", 2 * total)
     return larger.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Link a vertex and its smaller neighbours to the smallest of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    neighbours = salted_lookup(down, least, "u", "v").select(F.col("v").alias("u"), "m")
-    linked = neighbours.unionByName(least).where("u <> m")
+def _small_star(edges: DataFrame, total: int) -> DataFrame:
+    """Link a vertex and its smaller neighbours to the smallest of them.
+
+    Edges point from the larger vertex ``u`` to the smaller ``v``.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows"))
+    neighbours = skewed_lookup(edges, least, "u", "v", "_rows", total).select(
+        F.col("v").alias("u"), "m"
+    )
+    linked = neighbours.unionByName(least.select("u", "m")).where("u <> m")
     return linked.select("u", F.col("m").alias("v")).distinct()

@@ -1,4 +1,4 @@
-"""Lookups whose fact side may be dominated by one key."""
+"""Attaching per-key values to rows when one key may hold a large share of them."""
 
 from __future__ import annotations
 
@@ -6,23 +6,39 @@ from pyspark.sql import DataFrame, functions as F
 
 from scholarweave.functions.text import ColumnOrName, col
 
-SALTS = 16
+SALTS = 64
+MAX_HOT_KEYS = 10_000
+MIN_HOT_ROWS = 1_000_000
 
 
-def salted_lookup(
-    facts: DataFrame, lookup: DataFrame, on: str, unique: ColumnOrName, salts: int = SALTS
+def skewed_lookup(
+    facts: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    unique: ColumnOrName,
+    rows: str,
+    total: int,
+    min_hot_rows: int | None = None,
 ) -> DataFrame:
-    """Inner join of ``facts`` with a ``lookup`` that has one row per key.
+    """Inner join of ``facts`` with ``lookup``, which has one row per key.
 
-    The rows of a key are dealt out over ``salts`` tasks by a hash of
-    ``unique``, a column that differs among them; every lookup row is repeated
-    once per salt. The salt depends on the data alone, so a task that is run
-    again after a lost executor deals out the same rows.
+    ``lookup`` says in its column ``rows`` how many facts each key has; there are
+    ``total`` of them. A key with more than total / MAX_HOT_KEYS rows is hot: its
+    facts are dealt out over SALTS tasks by a hash of ``unique``, and its lookup
+    row is repeated for each. There cannot be more than MAX_HOT_KEYS such keys, so
+    the list of them may be broadcast. All other rows are shuffled once, as they
+    are. Salts depend on the data alone: a task that runs again after a lost
+    executor deals out the same rows.
     """
-    salt = F.pmod(F.xxhash64(col(unique)), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        facts.withColumn("_salt", salt)
-        .join(lookup.withColumn("_salt", copies), [on, "_salt"])
-        .drop("_salt")
+    least = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
+    if total <= least:  # then no key can be hot
+        return facts.join(lookup.drop(rows), on)
+    is_hot = F.col(rows) > max(least, total // MAX_HOT_KEYS)
+    hot = lookup.where(is_hot).select(on, F.lit(True).alias("_hot"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(col(unique)), F.lit(SALTS)).cast("int"))
+    dealt = facts.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.coalesce(salt, F.lit(0))
     )
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.withColumn("_salt", F.explode(copies)).drop(rows)
+    return dealt.drop("_hot").join(repeated, [on, "_salt"]).drop("_salt")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scholarweave import schemas, vocabulary as V
 from scholarweave.operators import frequency, harmonise, lifecycle, match, ordered
-from scholarweave.operators.skew import salted_lookup
+from scholarweave.operators.skew import skewed_lookup
 from scholarweave.plans import records
 from scholarweave.sources import tables
 from scholarweave.streaming import incremental
@@ -115,13 +115,31 @@ def test_sample_is_exact_and_independent_of_layout(spark):
 # --- matching -------------------------------------------------------------------
 
 
-def test_salted_lookup_loses_and_doubles_nothing(spark):
-    facts = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    lookup = facts.groupBy("k").agg(F.min("id").alias("m"))
-    joined = salted_lookup(facts, lookup, "k", "id")
-    assert joined.count() == 2000 and joined.select("id").distinct().count() == 2000
-    hot = joined.where("k = 'hot'").select(F.spark_partition_id().alias("p"), "m").distinct()
-    assert {r.m for r in hot.collect()} == {0}
+@pytest.mark.parametrize("min_hot", [10, 10_000])
+def test_skewed_lookup_loses_and_doubles_nothing(spark, min_hot):
+    facts = spark.range(2000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")
+    )
+    lookup = facts.groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("n"))
+    joined = skewed_lookup(facts, lookup, "k", "id", "n", 2000, min_hot)
+    assert sorted(joined.columns) == ["id", "k", "m"]
+    rows = {r.id: (r.k, r.m) for r in joined.collect()}
+    assert joined.count() == len(rows) == 2000
+    assert all(m == (0 if k == "hot" else i) for i, (k, m) in rows.items())
+
+
+def test_skewed_lookup_deals_out_the_hot_key(spark):
+    facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    lookup = facts.groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skewed_lookup(facts, lookup, "k", "id", "n", 3000, 100)
+        tasks = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(tasks) > 4 and max(r[1] for r in tasks) < 400
 
 
 def test_best_work_looks_at_one_page_and_prefers_a_title_match(spark):
