@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scholarweave import schemas, vocabulary as V
-from scholarweave.functions import biblio
+from scholarweave.functions import biblio, predicates
 from scholarweave.operators import match
-from scholarweave.plans import records
+from scholarweave.plans import pipeline, records
 from scholarweave.plans.registry import query
 from scholarweave.plans.text_queries import (
     CITATION_SQL, TITLE_PATTERN_SQL, citations, sql_case, sql_contains, sql_lookup,
@@ -428,3 +428,50 @@ def related_records(t):
         F.when(nation > 20, "Bea Irs").otherwise("X Y").alias("ProjectPI"),
     )
     return records.related_records(rows).select("c_custkey", "ProjectRDC")
+
+
+_COMBINED_SQL = f"""
+WITH u AS (
+  SELECT * REPLACE ('PMC' AS "Source") FROM ({_ARTICLE_SQL})
+  UNION ALL SELECT * REPLACE ('OpenAlex' AS "Source") FROM ({_OPENALEX_SQL})
+  UNION ALL SELECT * FROM ({_CORE_SQL})
+  UNION ALL SELECT * REPLACE ('ORCID' AS "Source") FROM ({_ORCID_SQL})),
+k AS (SELECT *, "Source" || ':' || "ProjID" AS id,
+  {' + '.join(f'("{c}" IS NULL)::INT' for c in schemas.OUTPUT_COLUMNS)} AS missing,
+  CASE WHEN nullif(trim("DOI"), '') IS NOT NULL THEN 'd' || lower(trim("DOI"))
+    WHEN nullif(trim("OutputTitle"), '') IS NOT NULL
+    THEN 't' || lower(trim(regexp_replace("OutputTitle", '\\s+', ' ', 'g'))) || chr(10) || lower("ProjectPI")
+    ELSE 'i' || "Source" || ':' || "ProjID" END AS key
+  FROM u WHERE "OutputTitle" IS NOT NULL)
+SELECT * EXCLUDE (id, missing, key, r) FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY missing, id) AS r FROM k) WHERE r = 1
+"""
+
+
+@query("combined_records", _COMBINED_SQL)
+def combined_records(t):
+    return pipeline.combine(
+        {
+            "PMC": article_records(t), "OpenAlex": openalex_records(t),
+            "CORE": core_records(t), "ORCID": orcid_records(t),
+        }
+    )
+
+
+@query(
+    "doi_among_ids",
+    """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+SELECT doc_id, md5(lines[1]) = md5(lines[-1]) AS same_work FROM d
+""",
+)
+def doi_among_ids(t):
+    """Does the first listed work carry the DOI of the last?"""
+    groups = F.col("record")["activities-summary"]["works"]["group"]
+    first = F.get(F.get(groups, F.lit(0))["work-summary"], F.lit(0))["external-ids"]["external-id"]
+    last_line = F.element_at(F.split("text", "\n"), -1)
+    wanted = F.upper(F.concat(F.lit("10.9/"), F.md5(last_line.cast("binary"))))
+    people = landed_persons(t).select(
+        "doc_id", wanted.alias("doi"), parse_json("record_body", schemas.ORCID_RECORD).alias("record")
+    )
+    return people.select("doc_id", predicates.has_doi(first, "doi").alias("same_work"))
