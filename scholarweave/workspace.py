@@ -23,21 +23,26 @@ def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Only a local master, where driver and executors share one disk, may fall
     back to a temporary folder. Anywhere else the setting is required, because
-    a machine-local path would not outlive the executor that wrote it.
+    a machine-local path would not outlive the executor that wrote it. What is
+    written there belongs to one run and may be expired afterwards.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="scholarweave-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="scholarweave-")
+    return _local_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
