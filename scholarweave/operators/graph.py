@@ -18,6 +18,7 @@ from scholarweave.workspace import materialise
 
 RARE_KEYWORD = 256
 MAX_COMMON_PER_RECORD = 16
+COMPACT_EVERY = 10
 
 
 def publications(df: DataFrame, key: ColumnOrName, words: ColumnOrName) -> DataFrame:
@@ -200,6 +201,8 @@ def bfs_levels(members: DataFrame, seeds: DataFrame, max_hops: int | None = None
             "bfs",
         )
         visited = visited.unionByName(frontier)
+        if level % COMPACT_EVERY == 0:  # keeps the plan of a deep search short
+            visited, used = materialise(visited, "bfs"), materialise(used, "bfs-words")
     return visited
 
 

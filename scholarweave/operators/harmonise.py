@@ -77,7 +77,8 @@ def dedupe(
     With numeric ids these are plain numbers, which Spark keeps in hash maps: no
     texts are sorted, and partial aggregation before the shuffle means a record
     with very many copies is no hot spot. The rows themselves are then fetched
-    by a semi join on the unique id. A record without identity stays.
+    by a semi join on the unique id. A record without identity stays. ``df`` is
+    read twice; store it first if it is costly to compute.
     """
     given = [F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in df.columns]
     missing = F.lit(len(given)) - reduce(lambda a, b: a + b, given)

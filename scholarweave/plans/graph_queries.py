@@ -128,13 +128,13 @@ def components(t):
     f"""
 WITH RECURSIVE m AS MATERIALIZED ({_DOC_LINES}),
 e AS MATERIALIZED (SELECT DISTINCT a.id AS a, b.id AS b FROM m a JOIN m b USING (keyword) WHERE a.id <> b.id),
-r(id, level) AS (SELECT min(doc_id), 0 FROM documents UNION SELECT e.b, r.level + 1 FROM r JOIN e ON e.a = r.id WHERE r.level < 8)
+r(id, level) AS (SELECT min(doc_id), 0 FROM documents GROUP BY source UNION SELECT e.b, r.level + 1 FROM r JOIN e ON e.a = r.id WHERE r.level < 8)
 SELECT id, min(level) AS level FROM r GROUP BY id
 """,
 )
 def bfs_levels(t):
     members = materialise(graph.memberships(document_publications(t)), "members")
-    seeds = t.documents.agg(F.min("doc_id").alias("id"))
+    seeds = t.documents.groupBy("source").agg(F.min("doc_id").alias("id")).select("id")
     return graph.bfs_levels(members, seeds)
 
 

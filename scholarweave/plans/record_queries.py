@@ -67,7 +67,7 @@ def _xml_escape(c):
 
 
 def landed_articles(t):
-    """Documents as article XML; German ones are cut off before the end."""
+    """Documents as article XML; Spanish ones are cut off before the end."""
     paragraphs = F.array_join(
         F.transform(F.split("text", "\n"), lambda p: F.concat(F.lit("<p>"), _xml_escape(p), F.lit("</p>"))), ""
     )
@@ -84,14 +84,14 @@ def landed_articles(t):
         F.lit("</volume>"), F.when(F.col("n_chars") % 2 == 0, "<issue>3</issue>").otherwise(""),
         F.lit("<fpage>1</fpage><lpage>"), F.col("n_chars"),
         F.lit("</lpage><abstract>"), paragraphs, F.lit("</abstract></article-meta></front></article>"),
-        F.when(F.col("lang") != "de", "</pmc-articleset>").otherwise(""),
+        F.when(F.col("lang") != "es", "</pmc-articleset>").otherwise(""),
     )
     return t.documents.select("doc_id", body.alias("body"))
 
 
 _ARTICLE_SQL = f"""
 WITH d AS (SELECT *, 'On ' || {TITLE_SQL} AS title, replace(text, chr(10), ' ') AS abstract,
-  CAST(n_chars % 40 + 1980 AS VARCHAR) AS y FROM documents WHERE lang <> 'de')
+  CAST(n_chars % 40 + 1980 AS VARCHAR) AS y FROM documents WHERE lang <> 'es')
 SELECT CAST(doc_id AS VARCHAR) AS "ProjID", 'Completed' AS "ProjectStatus",
   CASE WHEN contains(lower(title), 'fsrdc') THEN title ELSE 'FSRDC Project' END AS "ProjectTitle",
   CAST(NULL AS VARCHAR) AS "ProjectRDC", y AS "ProjectYearStarted", y AS "ProjectYearEnded", 'Ann ' || lang AS "ProjectPI",

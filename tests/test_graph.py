@@ -94,7 +94,8 @@ def test_components_of_a_long_chain(spark):
     assert [r.component for r in got] == [0]
 
 
-def test_levels(spark):
+def test_levels(spark, monkeypatch):
+    monkeypatch.setattr(graph, "COMPACT_EVERY", 2)
     sets = [{f"k{i}", f"k{i + 1}"} for i in range(6)] + [{"z"}]
     members = materialise(graph.memberships(table(spark, sets)), "m")
     seeds = spark.createDataFrame([(0,)], "id bigint")
