@@ -8,14 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarweave.llm import quality_rules
+from scholarweave.llm import bpe, idfile, packing, quality_rules, token_counts
+from scholarweave.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -28,3 +33,25 @@ def query(build):
 @query
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(table(spark, folder, "documents"), WORD_BPE)
+
+
+@query
+def op3_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    files = scratch_path(spark, "id-files")
+    idfile.write_ids(table(spark, folder, "documents"), WORD_BPE, files)
+    return idfile.read_checksums(spark, files)
+
+
+@query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), WORD_BPE)
+
+
+@query
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), WORD_BPE)
