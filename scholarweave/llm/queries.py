@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholarweave.llm import bpe, idfile, packing, quality_rules, token_counts
+from scholarweave.llm import (
+    bitsliced, bpe, idfile, licenses, maxent, packing, quality_rules, secrets, simhash, token_counts,
+)
 from scholarweave.workspace import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +57,50 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), WORD_BPE)
+
+
+@query
+def op4_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op6_bit_sliced(spark: SparkSession, folder: str) -> DataFrame:
+    return bitsliced.search(table(spark, folder, "embeddings"))
+
+
+ORACLES["op6_bit_sliced"] = """
+WITH coded AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS code
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_dot_product(q.code, v.code) AS BIGINT) AS score
+  FROM coded q JOIN coded v ON q.vec_id <> v.vec_id
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(table(spark, folder, "documents"))
+
+
+@query
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    # The table has no paths: source and language serve as directories.
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(table(spark, folder, "documents"), path)
