@@ -101,6 +101,13 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    # The table has no paths: source and language serve as directories.
-    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    # The table has no paths, so they are made of source and number: thousands and hundreds
+    # are directories of a source, and the first document of each is its licence file.
+    number = F.col("doc_id")
+    level = lambda n: F.floor(number / n).cast("string")
+    path = (
+        F.when(number % 1000 == 0, F.concat_ws("/", "source", level(1000), F.lit("LICENSE")))
+        .when(number % 100 == 0, F.concat_ws("/", "source", level(1000), level(100), F.lit("LICENSE")))
+        .otherwise(F.concat_ws("/", "source", level(1000), level(100), number.cast("string")))
+    )
     return licenses.scan(table(spark, folder, "documents"), path)
