@@ -176,7 +176,7 @@ def labelled_samples(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> tuple[D
 
 def log_ratio(value: Column, table: list[float]) -> Column:
     """Sum of the ratios over a string's transitions."""
-    ratios = F.array(*[F.lit(x) for x in table])
+    ratios = F.expr(f"array({', '.join(f'{x!r}D' for x in table)})")
     code = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))
     start = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
 
