@@ -259,10 +259,9 @@ def _round(stored: DataFrame, w: Weights, prior, rate: float) -> None:
     shared.unpersist()
 
 
-def train(folder: str, spark, totals: Totals, epochs: int = EPOCHS, rate: float = RATE) -> Weights:
+def train(stored: DataFrame, totals: Totals, epochs: int = EPOCHS, rate: float = RATE) -> Weights:
     """Weights after ``epochs`` passes over the stored chunks, ROUNDS rounds each."""
     w, prior = Weights.zero(), totals.prior()
-    stored = spark.read.parquet(folder)
     for step in range(epochs * ROUNDS):
         _round(stored.where(F.col("round") == step % ROUNDS), w, prior, rate / (1 + step / ROUNDS))
     return w
@@ -296,9 +295,9 @@ def score_documents(df: DataFrame, key: str = "doc_id", text: str = "text", epoc
     spark = df.sparkSession
     folder = scratch_path(spark, "chunks")
     chunks(df, key, text).write.option("compression", "zstd").partitionBy("round").parquet(folder)
-    stored = spark.read.parquet(folder)
+    stored = spark.read.schema(_CHUNK).parquet(folder)
     counts, totals = count_words(stored)
-    shared = spark.sparkContext.broadcast((totals, train(folder, spark, totals, epochs)))
+    shared = spark.sparkContext.broadcast((totals, train(stored, totals, epochs)))
 
     def score(held: pa.Table, words: pa.Table) -> pa.Table:
         totals, w = shared.value

@@ -127,7 +127,8 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GRO
         group = group.select(names).append_column("sequence_id", pa.array(base + np.array(numbers, np.int64)))
         return group.append_column("offset", pa.array(offsets, pa.int64()))
 
-    dealt = pieces.select(*names, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).alias("_group"))
+    columns = [F.col(n).cast("bigint").alias(n) for n in names]
+    dealt = pieces.select(*columns, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).alias("_group"))
     return dealt.groupBy("_group").applyInArrow(pack, f"{PIECE}, sequence_id long, offset long")
 
 

@@ -43,7 +43,7 @@ JUDGED_RUN = 16
 SAMPLE_DOCUMENTS = 5_000
 SMOOTHING = 0.5
 LEAST_TOTAL = 24.0
-LEAST_PER_CHARACTER = 1.4
+LEAST_PER_CHARACTER = 1.2
 MARK = "[SECRET]"
 
 _CHUNK = 256
