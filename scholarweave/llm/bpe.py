@@ -146,6 +146,7 @@ class Encoder:
         self._added = added
         self._special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self._known: dict[str, list[int]] = {}
+        self._alphabet = wordcodes.byte_alphabet()
 
     def encode(self, text: str) -> list[int]:
         ids, end = [], 0
@@ -159,9 +160,14 @@ class Encoder:
         ids: list[int] = []
         if not text:
             return ids
-        if self._normal is not None:
-            text = self._normal.normalize_str(text)
-        for piece, _ in self._pieces.pre_tokenize_str(text):
+        pieces = wordcodes.pieces_of(text)
+        if pieces is not None:  # a shorter way to the same pieces
+            pieces = [p.translate(self._alphabet) for p in pieces]
+        else:
+            if self._normal is not None:
+                text = self._normal.normalize_str(text)
+            pieces = [p for p, _ in self._pieces.pre_tokenize_str(text)]
+        for piece in pieces:
             known = self._known.get(piece)
             if known is None:
                 known = self.merges.encode(piece)

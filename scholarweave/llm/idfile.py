@@ -42,56 +42,79 @@ SEGMENT = (
 
 def bit_lengths(values: np.ndarray) -> np.ndarray:
     """Bits that each unsigned value needs; 0 for 0."""
-    found = np.zeros(len(values), np.int64)
-    rest = values.astype(np.uint64)
-    for step in (32, 16, 8, 4, 2, 1):
-        large = rest >= np.uint64(1 << step)
-        found += large * step
-        rest = np.where(large, rest >> np.uint64(step), rest)
-    return found + (rest > 0)
+    values = values.astype(np.uint64)
+    high = np.frexp((values >> np.uint64(32)).astype(np.float64))[1]
+    low = np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
+    return np.where(high > 0, high + 32, low).astype(np.uint8)
+
+
+def _selectors(values: np.ndarray, block: int) -> np.ndarray:
+    """The selector that each place would take: the one with the most values that fit."""
+    blocks = -(-len(values) // block)
+    widest = np.full(blocks * block, 255, np.uint8)  # bits of the widest of the next ``span`` values
+    widest[: len(values)] = bit_lengths(values)
+    widest, span = widest.reshape(blocks, block), 1
+    chosen = np.zeros(widest.shape, np.uint8)
+    for k in range(len(COUNTS), 0, -1):
+        more = int(COUNTS[k - 1]) - span
+        if more >= block:
+            break
+        if more:  # two windows of the last length make up the longer one
+            later = np.full(widest.shape, 255, np.uint8)  # none goes beyond its block
+            later[:, :-more] = widest[:, more:]
+            widest, span = np.maximum(widest, later), span + more
+        fits = widest <= WIDTHS[k - 1]
+        if span > 1 and not fits.any():
+            break
+        chosen[fits] = k
+    return chosen.reshape(-1)
 
 
-def encode_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, escaped values) of one block of unsigned values."""
-    values = values.astype(np.uint64)
-    n, bits = len(values), bit_lengths(values)
-    # Which selector each place would take: the first, and so the longest, that fits.
-    # wide[i] is the number of values from i on that need at most the width at hand.
-    choice = np.zeros(n, np.int64)
-    left = n - np.arange(n)
-    for k in range(len(COUNTS) - 1, -1, -1):
-        too_wide = np.flatnonzero(bits > WIDTHS[k])
-        ends = np.append(too_wide, n)
-        run = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
-        choice[(run >= COUNTS[k]) & (left >= COUNTS[k])] = k + 1
-    step = np.where(choice > 0, COUNTS[choice - 1], 1).tolist()
-    starts, at = [], 0
-    while at < n:
-        starts.append(at)
+def encode_ids(ids: np.ndarray, block: int = BLOCK_IDS) -> dict[str, object]:
+    """Blocks of ids, one after the other, with the offsets of their words and escapes."""
+    values = ids.astype(np.uint64)
+    choice = _selectors(values, block)
+    step = np.append(1, COUNTS)[choice].tolist()
+    places, at = [], 0
+    while at < len(values):
+        places.append(at)
         at += step[at]
-    starts = np.array(starts, np.int64)
+    starts = np.array(places, np.int64)
     selector = choice[starts]
     words = selector.astype(np.uint64) << np.uint64(60)
-    for k in np.unique(selector[selector > 0]):
+    for k in np.unique(selector[selector > 0]).tolist():
         rows = np.flatnonzero(selector == k)
         for j in range(COUNTS[k - 1] if WIDTHS[k - 1] else 0):
             words[rows] |= values[starts[rows] + j] << np.uint64(j * WIDTHS[k - 1])
+    bounds = np.append(np.arange(0, len(values), block), len(values))
     escaped = np.flatnonzero(selector == 0)
-    words[escaped] |= np.arange(len(escaped), dtype=np.uint64)
-    return words, values[starts[escaped]]
+    first = np.searchsorted(starts[escaped], bounds)
+    words[escaped] |= (np.arange(len(escaped)) - first[starts[escaped] // block]).astype(np.uint64)
+    return {
+        "block_words": np.searchsorted(starts, bounds).tolist(),
+        "block_escapes": first.tolist(),
+        "n_ids": len(values),
+        "words": words.astype("<u8").tobytes(),
+        "escapes": values[starts[escaped]].astype("<u8").tobytes(),
+    }
 
 
-def decode_block(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
-    """The values of one block."""
+def decode_ids(coded: dict, first_block: int = 0, last_block: int | None = None) -> np.ndarray:
+    """The ids of a range of blocks of a segment, all by default."""
+    bounds = np.array(coded["block_words"], np.int64)
+    last_block = len(bounds) - 1 if last_block is None else last_block
+    words = np.frombuffer(coded["words"], "<u8")[bounds[first_block] : bounds[last_block]]
+    escapes = np.frombuffer(coded["escapes"], "<u8")
     selector = (words >> np.uint64(60)).astype(np.int64)
-    counts = np.where(selector > 0, COUNTS[selector - 1], 1)
-    starts = texts.starts_of(counts)
+    starts = texts.starts_of(np.append(1, COUNTS)[selector])
     out = np.zeros(int(starts[-1]), np.uint64)
     payload = words & np.uint64((1 << 60) - 1)
-    for k in np.unique(selector):
+    for k in np.unique(selector).tolist():
         rows = np.flatnonzero(selector == k)
         if k == 0:
-            out[starts[rows]] = escapes[payload[rows].astype(np.int64)]
+            block = np.searchsorted(bounds, rows + bounds[first_block], side="right") - 1
+            base = np.array(coded["block_escapes"], np.int64)[block]
+            out[starts[rows]] = escapes[base + payload[rows].astype(np.int64)]
         elif WIDTHS[k - 1]:
             mask = np.uint64((1 << int(WIDTHS[k - 1])) - 1)
             for j in range(COUNTS[k - 1]):
@@ -99,28 +122,6 @@ def decode_block(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
     return out
 
 
-def encode_ids(ids: np.ndarray, block: int = BLOCK_IDS) -> dict[str, object]:
-    """Blocks of ids, one after the other, with the offsets of their words and escapes."""
-    coded = [encode_block(ids[i : i + block]) for i in range(0, len(ids), block)]
-    empty = [np.zeros(0, np.uint64)]
-    return {
-        "block_words": texts.starts_of(np.array([len(w) for w, _ in coded], np.int64)).tolist(),
-        "block_escapes": texts.starts_of(np.array([len(e) for _, e in coded], np.int64)).tolist(),
-        "n_ids": len(ids),
-        "words": np.concatenate(empty + [w for w, _ in coded]).astype("<u8").tobytes(),
-        "escapes": np.concatenate(empty + [e for _, e in coded]).astype("<u8").tobytes(),
-    }
-
-
-def decode_ids(coded: dict, first_block: int = 0, last_block: int | None = None) -> np.ndarray:
-    """The ids of a range of blocks of a segment, all by default."""
-    words, escapes = np.frombuffer(coded["words"], "<u8"), np.frombuffer(coded["escapes"], "<u8")
-    w, e = coded["block_words"], coded["block_escapes"]
-    blocks = range(first_block, len(w) - 1 if last_block is None else last_block)
-    parts = [decode_block(words[w[b] : w[b + 1]], escapes[e[b] : e[b + 1]]) for b in blocks]
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-
-
 def _segments(rows: Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([
         ("part", pa.int32()), ("first_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())),

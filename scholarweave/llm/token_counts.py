@@ -1,7 +1,7 @@
 """Token counts by a two-tier lookup of pre-tokens, without shuffling any of them.
 
-A pre-token here is what stands between ASCII white space; the tokenizer never merges
-across it (see ``wordcodes``). First tier: the most frequent pre-tokens of the whole table
+A pre-token here is a word of ``wordcodes.pre_tokens``; the tokenizer never merges across
+its ends. First tier: the most frequent pre-tokens of the whole table
 with their numbers of tokens, a table of at most FREQUENT entries that is broadcast.
 Second tier: what is not in it is counted by the library once and kept in a bounded cache
 of the worker.
@@ -32,13 +32,15 @@ SKETCH_GROUPS = 64
 
 def frequent_words(df: DataFrame, k: int = FREQUENT, items: int = SKETCHED) -> list[str]:
     """At most ``k`` of the most frequent words of up to LONGEST_CACHED characters."""
+    simple = F.regexp_replace(F.lower("text"), wordcodes.APART, "$1 $2")
     words = (
-        df.select(F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word"))
+        df.select(F.explode(F.split(simple, r"[\x20\x09-\x0D]+")).alias("word"))
         .where(F.length("word").between(1, wordcodes.LONGEST_CACHED))
         .withColumn("_task", F.spark_partition_id() % SKETCH_GROUPS)
     )
     some = words.groupBy("_task").agg(F.expr(f"approx_top_k_accumulate(word, {items})").alias("sketch"))
-    one = some.agg(F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"))
+    # Grouped, because Spark cannot combine sketches where there are none.
+    one = some.groupBy((F.col("_task") * 0).alias("_all")).agg(F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"))
     found = one.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {k})")).alias("e")).select("e.item")
     return [r.item for r in found.collect()]
 
@@ -46,13 +48,8 @@ def frequent_words(df: DataFrame, k: int = FREQUENT, items: int = SKETCHED) -> l
 @cache
 def _missing(path: str) -> wordcodes.RecentWords:
     """Numbers of tokens as little-endian 32-bit integers, one cache per worker process."""
-    tokenizer = wordcodes.library(path)
-
-    def count(words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [len(e.ids).to_bytes(4, "little") for e in found]
-
-    return wordcodes.RecentWords(count)
+    encode = wordcodes.library_words(path)
+    return wordcodes.RecentWords(lambda words: [len(ids).to_bytes(4, "little") for ids in encode(words)])
 
 
 def count_tokens(
@@ -63,8 +60,8 @@ def count_tokens(
     docs = texts.id_and_text(df, key, text)
     spark = docs.sparkSession
     words = frequent_words(docs, frequent)
-    lengths = wordcodes.library(tokenizer).encode_batch_fast(words, add_special_tokens=False)
-    table = pa.table({"word": pa.array(words, pa.string()), "n": pa.array([len(e.ids) for e in lengths], pa.int32())})
+    lengths = [len(ids) for ids in wordcodes.library_words(tokenizer)(words)]
+    table = pa.table({"word": pa.array(words, pa.string()), "n": pa.array(lengths, pa.int32())})
     shared = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +71,7 @@ def count_tokens(
         for batch in batches:
             for part in texts.slices(batch):
                 column = part.column("text")
-                found, n_words = texts.word_lists(column)
+                found, n_words = wordcodes.pre_tokens(column)
                 at = pc.fill_null(pc.index_in(found, value_set=known), len(known)).to_numpy(zero_copy_only=False)
                 n = sizes[at]
                 rest = np.flatnonzero(at == len(known))
