@@ -13,11 +13,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from scholarweave.functions.text import ColumnOrName, col
 from scholarweave.operators.ordered import sample_n
-from scholarweave.operators.skew import skewed_lookup
 from scholarweave.workspace import materialise
 
-RARE_KEYWORD = 256
-MAX_COMMON_PER_RECORD = 16
 COMPACT_EVERY = 10
 
 
@@ -35,11 +32,6 @@ def memberships(pubs: DataFrame) -> DataFrame:
     return pubs.select("id", F.explode("keywords").alias("keyword"))
 
 
-def build_graph(pubs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertices and compact edges."""
-    return pubs, memberships(pubs)
-
-
 def keyword_groups(members: DataFrame) -> DataFrame:
     """Per keyword its publications and the pairs it stands for."""
     n = F.count(F.lit(1))
@@ -66,114 +58,58 @@ def edge_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.select("id").join(counts, "id", "left").na.fill(0, ["degree"])
 
 
-def class_degrees(pubs: DataFrame, rare: int = RARE_KEYWORD) -> DataFrame:
-    """Degree per distinct keyword set: (keywords, n publications, degree each).
-
-    Publications with the same keywords have the same degree, so they are first
-    merged into classes. A class's neighbours are then counted in two exact parts:
+def _merged_keywords(members: DataFrame) -> DataFrame:
+    """(id, keyword) with keywords that occur in exactly the same publications made one.
 
-    * common keywords (more than ``rare`` publications): the union of their
-      groups is counted by inclusion and exclusion over the sets of common
-      keywords a class has. Only counts per keyword set move, never members.
-    * rare keywords: at most ``rare`` publications meet in a group, and those
-      that already share a common keyword are left to the first part.
+    A licence text of many lines is then one keyword. Which publications a keyword has
+    is told by their number and two digests of 64 bits over their ids. Keywords of a
+    single publication link nothing and are left out.
     """
-    classes = materialise(
-        pubs.where(F.size("keywords") > 0)
-        .groupBy("keywords")
-        .agg(F.min("id").alias("cls"), F.count(F.lit(1)).alias("n")),
-        "keyword-classes",
-    )
-    words = classes.select("cls", "n", F.explode("keywords").alias("keyword"))
-    common = (
-        words.groupBy("keyword").agg(F.sum("n").alias("_f"))
-        .where(F.col("_f") > rare).select("keyword", F.lit(True).alias("_common"))
-    )
-    marked = materialise(
-        words.join(common, "keyword", "left")
-        .groupBy("cls", "n")
-        .agg(
-            F.array_sort(F.collect_list(F.when(F.col("_common"), F.col("keyword")))).alias("common"),
-            F.collect_list(F.when(F.col("_common").isNull(), F.col("keyword"))).alias("scarce"),
-        ),
-        "keyword-marks",
-    )
-    widest = marked.agg(F.max(F.size("common"))).first()[0] or 0
-    if widest > MAX_COMMON_PER_RECORD:
-        raise ValueError(
-            f"a publication has {widest} keywords used by over {rare} others; raise `rare`"
-        )
-
-    sets = materialise(
-        marked.where(F.size("common") > 0).select(
-            "cls", "n", F.explode(_nonempty_subsets("common")).alias("subset")
-        ),
-        "keyword-sets",
-    )
-    holders = sets.groupBy("subset").agg(
-        F.sum("n").alias("_held"), F.count(F.lit(1)).alias("_rows")
-    )
-    sign = F.when(F.size("subset") % 2 == 1, 1).otherwise(-1)
-    by_common = (
-        skewed_lookup(
-            sets.select("cls", "subset"), holders, "subset", "cls", "_rows", sets.count()
-        )
-        .groupBy("cls").agg(F.sum(sign * F.col("_held")).alias("_by_common"))
-    )
+    ids = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
+    holders = members.groupBy("keyword").agg(*ids).where("n > 1")
+    same = holders.groupBy("n", "x", "y").agg(F.min("keyword").alias("keyword")).select("keyword")
+    return members.join(same, "keyword", "left_semi")
 
-    scarce = marked.select("cls", "n", "common", F.explode("scarce").alias("keyword"))
-    other = scarce.select(
-        "keyword", F.col("cls").alias("_cls"), F.col("n").alias("_n"), F.col("common").alias("_c")
-    )
-    by_rare = (
-        scarce.join(other, "keyword")
-        .where((F.col("cls") != F.col("_cls")) & ~F.arrays_overlap("common", "_c"))
-        .select("cls", "_cls", "_n").distinct()
-        .groupBy("cls").agg(F.sum("_n").alias("_by_rare"))
-    )
-    return (
-        classes.join(by_common, "cls", "left").join(by_rare, "cls", "left")
-        .select(
-            "keywords", "n",
-            (
-                F.coalesce("_by_common", "n") + F.coalesce("_by_rare", F.lit(0)) - 1
-            ).alias("degree"),
-        )
-    )
 
+def class_degrees(pubs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Degrees per set of shared keywords: (id, cls), and (cls, n publications, degree each).
 
-def _nonempty_subsets(array: str):
-    """All non-empty subsets of an array column, in sorted element order."""
-    none = F.array(F.array().cast("array<string>"))
-    every = F.aggregate(
-        F.col(array), none,
-        lambda acc, k: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(k)))),
+    Publications with the same shared keywords have the same neighbours, so they form a
+    class. The publications of a keyword are kept as bitmaps of 32,768 ids each; those
+    of a class's keywords are united and counted. The work grows with the keywords of a
+    class, not with pairs of publications, and needs no choice between frequent and
+    rare keywords. Publications that share no keyword are in no class.
+    """
+    members = materialise(_merged_keywords(memberships(pubs)), "shared-keywords")
+    owners = materialise(
+        members.groupBy("id").agg(F.xxhash64(F.array_sort(F.collect_list("keyword"))).alias("cls")), "classes"
     )
-    return F.filter(every, lambda s: F.size(s) > 0)
+    sizes = owners.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+    words = members.join(sizes.select("id", "cls"), "id").select("cls", "keyword")
+    maps = members.groupBy("keyword", F.expr("bitmap_bucket_number(id)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(id))").alias("bits")
+    )
+    united = words.join(maps, "keyword").groupBy("cls", "bucket").agg(F.expr("bitmap_count(bitmap_or_agg(bits))").alias("k"))
+    reached = united.groupBy("cls").agg((F.sum("k") - 1).alias("degree"))
+    return owners, sizes.select("cls", "n").join(reached, "cls")
 
 
-def degrees(pubs: DataFrame, rare: int = RARE_KEYWORD) -> DataFrame:
-    """(id, degree) of every publication; those without keywords get 0."""
-    per_class = materialise(class_degrees(pubs, rare), "class-degrees")
-    total = per_class.agg(F.sum("n")).first()[0] or 0
-    linked = skewed_lookup(
-        pubs.where(F.size("keywords") > 0), per_class, "keywords", "id", "n", total
-    )
-    alone = pubs.where(F.size("keywords") == 0).select("id", F.lit(0).cast("bigint").alias("degree"))
-    return linked.select("id", "degree").unionByName(alone)
+def degrees(pubs: DataFrame) -> DataFrame:
+    """(id, degree) of every publication; those without shared keywords get 0."""
+    owners, per_class = class_degrees(pubs)
+    linked = owners.join(per_class, "cls").select("id", "degree")
+    return pubs.select("id").join(linked, "id", "left").na.fill(0, ["degree"])
 
 
-def degree_stats(pubs: DataFrame, rare: int = RARE_KEYWORD) -> DataFrame:
+def degree_stats(pubs: DataFrame) -> DataFrame:
     """Publications, edges, mean and largest degree of the whole graph."""
-    per_class = class_degrees(pubs, rare).select("n", "degree")
-    alone = pubs.where(F.size("keywords") == 0).agg(
-        F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("degree")
-    )
-    ends = F.sum(F.col("n") * F.col("degree"))
-    return per_class.unionByName(alone).agg(
+    _, per_class = class_degrees(pubs)
+    every = pubs.agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("bigint").alias("ends"), F.lit(0).cast("bigint").alias("degree"))
+    rows = every.unionByName(per_class.select(F.lit(0).alias("n"), (F.col("n") * F.col("degree")).alias("ends"), "degree"))
+    return rows.agg(
         F.sum("n").alias("publications"),
-        (ends / 2).cast("bigint").alias("edges"),
-        (ends / F.sum("n")).alias("mean_degree"),
+        (F.sum("ends") / 2).cast("bigint").alias("edges"),
+        (F.sum("ends") / F.sum("n")).alias("mean_degree"),
         F.max("degree").alias("max_degree"),
     )
 
@@ -181,28 +117,25 @@ def degree_stats(pubs: DataFrame, rare: int = RARE_KEYWORD) -> DataFrame:
 def bfs_levels(members: DataFrame, seeds: DataFrame, max_hops: int | None = None) -> DataFrame:
     """(id, level): hops from the seed publications over shared keywords.
 
-    A hop goes from publications to their keywords and on to the publications
-    of those. Each keyword and each publication is expanded once, so the whole
-    search is linear in the membership table. ``members`` should be a stored
-    table; the visited sets are written after every hop.
+    A hop goes from publications to their keywords and on to the publications of
+    those. Memberships of keywords that have been used are dropped, so each hop works
+    on what is left and a publication that has been expanded never comes back.
+    ``members`` should be a stored table; what is found is written after every hop.
     """
-    visited = materialise(seeds.select("id", F.lit(0).alias("level")).distinct(), "bfs")
-    frontier, used, level = visited, None, 0
+    frontier = materialise(seeds.select("id", F.lit(0).alias("level")).distinct(), "bfs")
+    visited, level = frontier, 0
     while not frontier.isEmpty() and (max_hops is None or level < max_hops):
         level += 1
-        words = members.join(frontier.select("id"), "id", "left_semi").select("keyword").distinct()
-        if used is not None:
-            words = words.join(used, "keyword", "left_anti")
-        words = materialise(words, "bfs-words")
-        used = words if used is None else used.unionByName(words)
+        known = frontier.select("id")
+        words = materialise(members.join(known, "id", "left_semi").select("keyword").distinct(), "bfs-words")
         reached = members.join(words, "keyword", "left_semi").select("id").distinct()
         frontier = materialise(
-            reached.join(visited, "id", "left_anti").select("id", F.lit(level).alias("level")),
-            "bfs",
+            reached.join(known, "id", "left_anti").select("id", F.lit(level).alias("level")), "bfs"
         )
+        members = materialise(members.join(words, "keyword", "left_anti"), "bfs-left")
         visited = visited.unionByName(frontier)
         if level % COMPACT_EVERY == 0:  # keeps the plan of a deep search short
-            visited, used = materialise(visited, "bfs"), materialise(used, "bfs-words")
+            visited = materialise(visited, "bfs")
     return visited
 
 
@@ -212,20 +145,19 @@ def components(pubs: DataFrame) -> DataFrame:
     Every keyword first becomes a star around its smallest publication, which
     connects the same vertices as all its pairs would. Large-star and small-star
     steps then shorten paths until nothing changes, in a number of rounds that
-    grows with the logarithm of the graph.
+    grows with the logarithm of the graph. Joins are to one row for each vertex; a
+    vertex with a large share of the edges is left to adaptive execution to split.
     """
     members = materialise(memberships(pubs), "members")
-    centres = members.groupBy("keyword").agg(
-        F.min("id").alias("v"), F.count(F.lit(1)).alias("_rows")
-    )
-    star = skewed_lookup(members, centres, "keyword", "id", "_rows", members.count())
+    centres = members.groupBy("keyword").agg(F.min("id").alias("v"))
+    star = members.join(centres, "keyword")
     edges = materialise(
         star.where("id <> v").select(F.col("id").alias("u"), "v").distinct(), "star"
     )
     before, now = None, _fingerprint(edges)
     while now != before:
-        larger = materialise(_large_star(edges, now[0]), "star")
-        edges = materialise(_small_star(larger, larger.count()), "star")
+        larger = materialise(_large_star(edges), "star")
+        edges = materialise(_small_star(larger), "star")
         before, now = now, _fingerprint(edges)
     return (
         pubs.select("id").join(edges.select(F.col("u").alias("id"), "v"), "id", "left")
@@ -239,7 +171,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), *digests).first())
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a vertex to the vertex's smallest neighbour."""
     both = edges.select(
         F.explode(
@@ -249,21 +181,17 @@ def _large_star(edges: DataFrame, total: int) -> DataFrame:
             )
         ).alias("e")
     ).select("e.*")
-    least = both.groupBy("u").agg(
-        F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_rows")
-    )
-    larger = skewed_lookup(both.where("v > u"), least, "u", "v", "_rows", 2 * total)
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    larger = both.where("v > u").join(least, "u")
     return larger.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """Link a vertex and its smaller neighbours to the smallest of them.
 
     Edges point from the larger vertex ``u`` to the smaller ``v``.
     """
-    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows"))
-    neighbours = skewed_lookup(edges, least, "u", "v", "_rows", total).select(
-        F.col("v").alias("u"), "m"
-    )
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    neighbours = edges.join(least, "u").select(F.col("v").alias("u"), "m")
     linked = neighbours.unionByName(least.select("u", "m")).where("u <> m")
     return linked.select("u", F.col("m").alias("v")).distinct()

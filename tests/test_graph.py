@@ -50,17 +50,16 @@ def random_sets(seed, n=60, words=25, most=4):
     return sets
 
 
-@pytest.mark.parametrize("rare", [0, 3, 1000])
-def test_degrees_for_every_split_into_common_and_rare(spark, rare):
+def test_degrees(spark):
     sets = random_sets(1)
-    got = {r.id: r.degree for r in graph.degrees(table(spark, sets), rare).collect()}
+    got = {r.id: r.degree for r in graph.degrees(table(spark, sets)).collect()}
     assert got == brute_degrees(sets)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sets(st.sampled_from("abcdefg"), max_size=4), min_size=1, max_size=12))
 def test_degree_stats_agree_with_the_edge_list(spark, sets):
-    stats = graph.degree_stats(table(spark, sets), rare=2).first()
+    stats = graph.degree_stats(table(spark, sets)).first()
     degree = brute_degrees(sets)
     assert stats.publications == len(sets)
     assert stats.edges == len(brute_edges(sets)) == sum(degree.values()) // 2
@@ -68,10 +67,18 @@ def test_degree_stats_agree_with_the_edge_list(spark, sets):
     assert stats.mean_degree == pytest.approx(sum(degree.values()) / len(sets))
 
 
-def test_too_many_common_keywords_are_refused_not_dropped(spark):
-    wide = {f"k{i}" for i in range(17)}
-    with pytest.raises(ValueError, match="raise `rare`"):
-        graph.degrees(table(spark, [wide, wide]), rare=0)
+@pytest.mark.parametrize("lines", [17, 40])
+def test_many_common_keywords(spark, lines):
+    licence = {f"line {i}" for i in range(lines)}
+    sets = [licence | {f"own {i}", f"pair {i // 2}"} for i in range(300)] + [{"pair 0"}, {"alone"}, set()]
+    got = {r.id: r.degree for r in graph.degrees(table(spark, sets)).collect()}
+    assert got == {i: 299 + (i < 2) for i in range(300)} | {300: 2, 301: 0, 302: 0}
+
+
+def test_degrees_over_far_apart_ids(spark):
+    rows = [(i * 50_000, ["a"] if i % 2 else ["a", "b"]) for i in range(20)]
+    pubs = graph.publications(spark.createDataFrame(rows, "i bigint, w array<string>"), "i", "w")
+    assert {r.degree for r in graph.degrees(pubs).collect()} == {19}
 
 
 def test_sampled_edges_of_a_small_table_are_all_edges(spark):
