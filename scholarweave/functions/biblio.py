@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from scholarweave import vocabulary as V
+from scholarweave import schemas, vocabulary as V
 from scholarweave.functions.predicates import contains_any
 from scholarweave.functions.text import ColumnOrName, col, first_nonempty, once, strip, to_number
 
@@ -135,12 +135,14 @@ def doi_reference(c: ColumnOrName, prefix: str = "doi:") -> Column:
 
 
 def lookup_status(
-    code: ColumnOrName, hit: ColumnOrName, error: ColumnOrName, absent_codes: tuple = (404,)
-) -> Column:
-    """Outcome of one stored response."""
+    code: ColumnOrName, hit: ColumnOrName, error: ColumnOrName, well_formed: ColumnOrName,
+    absent_codes: tuple = (404,),
+) -> Column:
+    """Outcome of one stored response; an answer that cannot be read is an exception."""
     status = col(code)
+    broken = (status == 200) & ~F.coalesce(col(well_formed), F.lit(False))
     return (
-        F.when(col(error).isNotNull() | status.isNull(), F.lit("Exception"))
+        F.when(col(error).isNotNull() | status.isNull() | broken, F.lit("Exception"))
         .when((status == 200) & col(hit), F.lit("Found"))
         .when((status == 200) | status.isin(*absent_codes), F.lit("Not Found"))
         .otherwise(F.concat(F.lit("Error "), status.cast("string")))
@@ -306,19 +308,22 @@ def first_employment(employments: Column) -> Column:
 
 
 def article_fields(articleset: Column) -> Column:
-    """Flat struct of one parsed article; null parts stay null."""
-    article = articleset["article"]
+    """Flat struct of the first parsed article; null parts stay null.
+
+    The abstract is all paragraphs of all abstracts, those of sections included, and
+    the author is the first one of all groups of contributors.
+    """
+    article = F.get(articleset["article"], F.lit(0))
     meta = article["front"]["article-meta"]
-    authors = F.filter(
-        meta["contrib-group"]["contrib"], lambda c: c["_contrib-type"] == "author"
-    )
+    people = F.flatten(F.filter(F.transform(meta["contrib-group"], lambda g: g["contrib"]), lambda c: c.isNotNull()))
+    authors = F.filter(people, lambda c: c["_contrib-type"] == "author")
     author = F.try_element_at(authors, F.lit(1))
     name = F.concat_ws(" ", author["name"]["given-names"], author["name"]["surname"])
     dates = F.filter(meta["pub-date"], lambda d: d["_date-type"] == "pub")
     date = F.try_element_at(dates, F.lit(1))
     return F.struct(
         plain(meta["title-group"]["article-title"]).alias("title"),
-        plain(F.array_join(meta["abstract"]["p"], " ")).alias("abstract"),
+        plain(F.nullif(F.array_join(_paragraphs(meta["abstract"], schemas.ABSTRACT_DEPTH), " "), F.lit(""))).alias("abstract"),
         date["year"].alias("year"),
         date["month"].alias("month"),
         meta["volume"].alias("volume"),
@@ -327,13 +332,37 @@ def article_fields(articleset: Column) -> Column:
         F.lower(article["_article-type"]).alias("article_type"),
         article["front"]["journal-meta"]["journal-title-group"]["journal-title"].alias("journal"),
         F.nullif(strip(name), F.lit("")).alias("first_author"),
-        F.nullif(strip(author["aff"]), F.lit("")).alias("institution"),
+        F.nullif(strip(plain(_without_label(F.get(author["aff"], F.lit(0))))), F.lit("")).alias("institution"),
+    )
+
+
+def _paragraphs(sections: Column, depth: int) -> Column:
+    """Paragraphs of sections and of the sections in them, each section's own first."""
+    none = F.array().cast("array<string>")
+    own = lambda s: F.coalesce(s["p"], none)
+    if not depth:
+        return F.flatten(F.transform(sections, own))
+    return F.flatten(
+        F.transform(sections, lambda s: F.concat(own(s), F.coalesce(_paragraphs(s["sec"], depth - 1), none)))
     )
 
 
+def _without_label(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?s)<label\b[^<>]*>.*?</label>", "")
+
+
+# Stand for escaped angle brackets of a text while its inline tags are removed.
+_LESS, _GREATER = "\ue000", "\ue001"
+
+
+def guarded(body: ColumnOrName) -> Column:
+    """XML whose escaped angle brackets survive :func:`plain`."""
+    return F.replace(F.replace(col(body), F.lit("&lt;"), F.lit(_LESS)), F.lit("&gt;"), F.lit(_GREATER))
+
+
 def plain(c: ColumnOrName) -> Column:
-    """Text of an element without the inline tags inside it."""
-    return F.regexp_replace(col(c), r"</?[A-Za-z][^<>]*>", "")
+    """Text of an element of a guarded body without the inline tags inside it."""
+    return F.translate(F.regexp_replace(col(c), r"</?[A-Za-z][^<>]*>", ""), _LESS + _GREATER, "<>")
 
 
 def search_hit(result: Column) -> Column:

@@ -72,10 +72,6 @@ def is_related_record(columns: Sequence[ColumnOrName]) -> Column:
     return any_of([contains_any(c, V.RELATED_KEYWORDS_LONG) for c in columns])
 
 
-def is_number(c: ColumnOrName) -> Column:
-    return to_number(c).isNotNull()
-
-
 def is_present(c: ColumnOrName) -> Column:
     """Neither null nor blank."""
     return F.coalesce(strip(col(c).cast("string")) != "", F.lit(False))

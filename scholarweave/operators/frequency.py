@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scholarweave.functions.predicates import is_present
 from scholarweave.functions.text import year_column
+from scholarweave.workspace import materialise
 
-MAX_PIVOT_COLUMNS = 2000
+YEARS_AT_ONCE = 10_000
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -38,20 +39,23 @@ def year_topic_counts(pairs: DataFrame) -> DataFrame:
 
 
 def pivot_values(df: DataFrame, column: str) -> list:
-    """Distinct values that become columns; refuses what no table could hold."""
-    found = (
-        df.select(column).na.drop().distinct().orderBy(column).limit(MAX_PIVOT_COLUMNS + 1).collect()
-    )
-    if len(found) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{column} has more than {MAX_PIVOT_COLUMNS} values; use the long table")
-    return [r[0] for r in found]
+    """Distinct values, for a pivot over all of them.
+
+    They become columns, so they are few or there is no such table; the long count
+    table says the same for any number of values.
+    """
+    return [r[0] for r in df.select(column).na.drop().distinct().orderBy(column).collect()]
 
 
 def spread_counts(
     counts: DataFrame, row: str, column: str, values: Sequence | None = None, prefix: str = ""
 ) -> DataFrame:
-    """Wide form of a long count table, gaps filled with 0."""
+    """Wide form of a long count table, gaps filled with 0.
+
+    Without ``values`` the table is stored, as it is then read twice.
+    """
     if values is None:
+        counts = materialise(counts, "counts")
         values = pivot_values(counts, column)
     cells = [
         F.coalesce(F.sum(F.when(F.col(column) == F.lit(v), F.col("n"))), F.lit(0)).alias(
@@ -73,9 +77,9 @@ def topic_by_year(pairs: DataFrame, years: Sequence[int] | None = None) -> DataF
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
     """Counts that keep rows and columns without a value, as their own category."""
     counts = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
-    wide = [] if values is None else list(values)
     if values is None:
-        wide = pivot_values(counts, column)
+        counts = materialise(counts, "counts")
+    wide = pivot_values(counts, column) if values is None else list(values)
     cells = [
         F.coalesce(F.sum(F.when(F.col(column) == F.lit(v), F.col("n"))), F.lit(0)).alias(str(v))
         for v in wide
@@ -118,7 +122,8 @@ def active_by_year(projects: DataFrame, start: str, end: str) -> DataFrame:
 
     Each project gives one +1 at its start and one -1 after its end. These are
     summed per year before anything is ordered, so the running total covers one
-    row per year and the work does not grow with the length of projects.
+    row per year with a change. Each gap to the next such year is then filled, in
+    portions, so no array spans all years.
     """
     s, e = year_column(projects, start), year_column(projects, end)
     valid = projects.select(s.alias("s"), e.alias("e")).where(F.col("s") <= F.col("e"))
@@ -131,15 +136,14 @@ def active_by_year(projects: DataFrame, start: str, end: str) -> DataFrame:
         ).alias("x")
     ).select("x.*")
     net = steps.groupBy("year").agg(F.sum("step").alias("step"))
-    span = net.agg(F.min("year").alias("a"), (F.max("year") - 1).alias("b")).where(
-        F.col("a").isNotNull()
-    )
-    spine = span.select(F.explode(F.sequence("a", "b")).alias("year"))
-    running = Window.orderBy("year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        spine.join(net, "year", "left")
-        .select("year", F.sum(F.coalesce("step", F.lit(0))).over(running).alias("n"))
-    )
+    order = Window.orderBy("year")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gaps = net.select(
+        "year", F.sum("step").over(running).alias("n"), (F.lead("year").over(order) - 1).alias("until")
+    ).where(F.col("until").isNotNull())
+    portions = gaps.select("n", "until", F.explode(F.sequence("year", "until", F.lit(YEARS_AT_ONCE))).alias("first"))
+    last = F.least(F.col("until"), F.col("first") + (YEARS_AT_ONCE - 1))
+    return portions.select(F.explode(F.sequence("first", last)).alias("year"), "n")
 
 
 def peak(series: DataFrame) -> DataFrame:
@@ -209,7 +213,3 @@ def year_column_profile(df: DataFrame, low: int = 1900, high: int = 2030) -> Dat
     ranges = df.agg(F.array(*aggregates).alias("r")).select(F.inline("r"))
     return ranges.where((F.col("low") >= low) & (F.col("high") <= high))
 
-
-def text_columns(df: DataFrame) -> list[str]:
-    """Candidates for a topic column."""
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from scholarweave import schemas, vocabulary as V
 from scholarweave.functions.text import (
@@ -47,8 +47,12 @@ def _first_value(c: Column) -> Column:
 def union_complete(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames that have every harmonised column.
 
-    A frame without a complete row adds none, so it needs no test of its own.
+    A frame without a complete row adds none, so it needs no test of its own. Of no
+    frames at all the result is empty.
     """
+    if not frames:
+        columns = ", ".join(f"{c} string" for c in schemas.HARMONISED_COLUMNS)
+        return SparkSession.active().createDataFrame([], columns)
     complete = [f.na.drop(subset=schemas.HARMONISED_COLUMNS) for f in frames]
     return reduce(DataFrame.unionByName, complete)
 

@@ -79,7 +79,8 @@ def weighted_scores(groups: DataFrame, columns: Sequence[str]) -> dict[str, Colu
 
 
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Replace columns by their z-scores."""
+    """Replace columns by their z-scores. The rows are stored: they are read twice."""
+    df = materialise(df, "scored")
     return df.withColumns(standard_scores(df, columns))
 
 
@@ -101,6 +102,7 @@ def lifecycle_clusters(df: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
     out are arbitrary. Labelling compares each record with ``k`` constant
     centres, without a shuffle.
     """
+    df = materialise(df, "lifecycles")
     groups = materialise(feature_groups(df), "features")
     scores = weighted_scores(groups, FEATURES)
     model = fit_lifecycle_clusters(groups, k, seed)

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scholarweave.functions import biblio
-from scholarweave.functions.predicates import is_present, is_related_work
+from scholarweave.functions.predicates import is_present, is_related_work, is_valid_pi
 from scholarweave.functions.text import (
     ColumnOrName, blank_to_null, col, first_author, first_token, last_token, norm_doi, norm_words,
 )
 from scholarweave.operators.ordered import limit_per_key
-from scholarweave.sources.payloads import first_per_key
+from scholarweave.sources.payloads import first_per_key, parsed_once
 
 
 def spread_nulls(key: Column, unique: ColumnOrName) -> Column:
@@ -54,26 +55,34 @@ def pending(keys: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
     return todo.join(distinct_keys(done, key), key, "left_anti")
 
 
-def lookup_doi(keys: DataFrame, landed: DataFrame, key: str, found_id: Column) -> DataFrame:
+def lookup_doi(
+    keys: DataFrame, landed: DataFrame, key: str, found_id: Column, well_formed: Column | None = None
+) -> DataFrame:
     """Status and external id of every key, from the landed responses.
 
-    ``found_id`` reads the id out of the column ``body``.
+    ``found_id`` reads the id out of the column ``body``; ``well_formed`` says whether
+    the body can be read at all, by default whether it is JSON. Of several responses
+    for a key one with an id is taken, else one that says there is none.
     """
     todo = distinct_keys(keys, key)
-    answers = first_per_key(landed).withColumn("external_id", blank_to_null(found_id))
-    joined = todo.join(answers, todo[key] == answers["lookup_key"], "left")
+    if well_formed is None:
+        well_formed = F.try_parse_json("body").isNotNull()
+    told = landed.withColumn("well_formed", F.coalesce(well_formed, F.lit(False))).withColumn(
+        "external_id", F.when((F.col("code") == 200) & F.col("error").isNull(), blank_to_null(found_id))
+    )
     hit = F.col("external_id").isNotNull()
+    absent = ((F.col("code") == 200) & F.col("well_formed")) | (F.col("code") == 404)
+    rank = F.when(hit, 0).when(absent & F.col("error").isNull(), 1).otherwise(2)
+    answers = first_per_key(told, rank=rank)
+    joined = todo.join(answers, todo[key] == answers["lookup_key"], "left")
     status = F.when(
-        F.col("lookup_key").isNotNull(), biblio.lookup_status("code", hit, "error")
+        F.col("lookup_key").isNotNull(), biblio.lookup_status("code", hit, "error", "well_formed")
     )
     return joined.select(
         key, status.alias("status"), F.when(F.col("code") == 200, F.col("external_id")).alias("external_id")
     )
 
 
-TITLE_KEY_LENGTH = 500
-
-
 def match_cascade(records: DataFrame, index: DataFrame, id_column: str = "id") -> DataFrame:
     """Find each record in an index by DOI, else by title and first author.
 
@@ -81,7 +90,7 @@ def match_cascade(records: DataFrame, index: DataFrame, id_column: str = "id") -
     and pmcid. Both index lookups are made unique by partial aggregation first,
     so the joins cannot multiply rows. Records found by DOI skip the second join.
     """
-    title = F.substring("title", 1, TITLE_KEY_LENGTH)
+    title = F.col("title")
     author = first_author("author")
 
     by_doi = (
@@ -138,6 +147,7 @@ def attach_crossref(records: DataFrame, messages: DataFrame, doi: str, unique: s
     """Venue, volume, number, pages, month and bibliography from the message of a DOI.
 
     ``messages`` has one row per landed message: key and the parsed struct ``msg``.
+    Of several messages for a DOI the one with the fewest gaps is taken.
     """
     msg = F.col("msg")
     details = messages.select(
@@ -151,50 +161,60 @@ def attach_crossref(records: DataFrame, messages: DataFrame, doi: str, unique: s
             biblio.crossref_biblio(msg).alias("OutputBiblio"),
         ).alias("_cr"),
     )
+    names = details.schema["_cr"].dataType.names
+    gaps = reduce(Column.__add__, [F.col("_cr")[n].isNull().cast("int") for n in names])
+    best = F.min_by("_cr", F.struct(gaps, "_cr"))
     unique_details = (
-        details.where(F.col("_doi").isNotNull()).groupBy("_doi").agg(F.min("_cr").alias("_cr"))
+        details.where(F.col("_doi").isNotNull()).groupBy("_doi").agg(best.alias("_cr"))
     )
     keyed = records.withColumn("_doi", spread_nulls(norm_doi(doi), unique))
     return keyed.join(unique_details, "_doi", "left").drop("_doi").select("*", "_cr.*").drop("_cr")
 
 
+WORK_FIELDS = (
+    "title", "institutions", "documentType", "publisher", "publishedDate", "doi", "volume", "issue", "pages",
+)
+
+
 def best_work(
     projects: DataFrame,
     works: DataFrame,
     work: ColumnOrName = "work",
-    candidates: int = 20,
+    candidates: int | None = None,
     related=is_related_work,
+    fields: Sequence[str] = WORK_FIELDS,
 ) -> DataFrame:
     """The work kept for each project, searched by the author's name.
 
     ``projects`` has id, author and title; ``works`` has author, rank and what
-    ``work`` makes a work struct of. As in a search that returns one page, the
-    first ``candidates`` works of an author are looked at. Of the related ones,
-    the first whose title contains the project title wins, else the first.
-
-    The page limit is applied in every map task before the shuffle, so an author
-    contributes at most ``candidates`` rows per task however many works there
-    are. Only works on a page are parsed, and the list that is joined to the
-    projects never exceeds ``candidates``.
+    ``work`` makes a work struct of. Of an author's related works, the first whose
+    title contains the project title wins, else the first; equal ranks are told
+    apart by the work itself. ``candidates`` limits the search to so many works of
+    an author, related or not, as a search that returns one page would.
+
+    Relatedness is decided where a work is read, and only ``fields`` go on. The
+    first work of an author, and the first that fits a title, are partial
+    aggregates, so no list of works is ever gathered.
     """
-    page = limit_per_key(works.where(F.col("author").isNotNull()), "author", ["rank"], candidates)
-    listed = (
-        page.select("author", "place", col(work).alias("work"))
-        .where(related(F.col("work")))
-        .groupBy("author")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "work"))).alias("_works"))
-    )
-    wanted = F.lower("title")
-    matching = F.filter(
-        "_works", lambda w: F.contains(F.lower(w["work"]["title"]), wanted)
-    )
-    joined = projects.withColumn("_author", spread_nulls(F.col("author"), "id")).join(
-        listed.withColumnRenamed("author", "_author"), "_author", "left"
+    listed = works.where(F.col("author").isNotNull())
+    if candidates is not None:
+        listed = limit_per_key(listed, "author", ["rank", F.xxhash64(*works.columns)], candidates)
+    read = parsed_once(listed.select("author", "rank", col(work).alias("_in")), "_w", F.col("_in"))
+    slim = read.where(related(F.col("_w"))).select(
+        F.col("author").alias("_author"),
+        F.struct("rank", F.struct(*[F.col("_w")[f].alias(f) for f in fields]).alias("work")).alias("_work"),
     )
-    chosen = F.coalesce(
-        F.try_element_at(matching, F.lit(1)), F.try_element_at(F.col("_works"), F.lit(1))
+    wanted = projects.select(F.col("author").alias("_author"), F.lower("title").alias("_title")).na.drop().distinct()
+    fits = F.contains(F.lower(F.col("_work")["work"]["title"]), F.col("_title"))
+    by_title = slim.join(wanted, "_author").where(fits).groupBy("_author", "_title").agg(F.min("_work").alias("_fit"))
+    by_author = slim.groupBy("_author").agg(F.min("_work").alias("_first"))
+    joined = (
+        projects.withColumn("_author", spread_nulls(F.col("author"), "id"))
+        .withColumn("_title", F.lower("title"))
+        .join(by_author, "_author", "left")
+        .join(by_title, ["_author", "_title"], "left")
     )
-    return joined.select(*projects.columns, chosen["work"].alias("work"))
+    return joined.select(*projects.columns, F.coalesce("_fit", "_first")["work"].alias("work"))
 
 
 def relevant_work(works: ColumnOrName, title: ColumnOrName) -> Column:
@@ -217,25 +237,28 @@ def first_titled_work(works: ColumnOrName) -> Column:
     return F.try_element_at(titled, F.lit(1))
 
 
-def first_grouped_work(groups: ColumnOrName, limit: int = 5) -> Column:
-    """First titled work among the leading works of the first ``limit`` groups."""
-    leading = F.transform(F.slice(col(groups), 1, limit), lambda g: F.get(g, F.lit(0)))
-    return first_titled_work(leading)
+def first_grouped_work(groups: ColumnOrName, limit: int | None = None) -> Column:
+    """First titled work among the leading works of the groups, or of the first ``limit``."""
+    some = col(groups) if limit is None else F.slice(col(groups), 1, limit)
+    return first_titled_work(F.transform(some, lambda g: F.get(g, F.lit(0))))
 
 
 def resolve_pi(projects: DataFrame, people: DataFrame, name: str, unique: str) -> DataFrame:
     """ORCID of a name: by given and family name, else by family name alone.
 
     ``people`` has given, family, orcid and rank (lower comes first in the search).
-    Both lookups are reduced to one row per key before joining.
+    Both lookups are reduced to one row per key before joining. A name of one word
+    says too little: it meets nobody.
     """
-    first = F.min_by("orcid", "rank")
+    first = F.min_by("orcid", F.struct("rank", "orcid"))
     full_key = F.lower(F.concat(F.col("given"), F.lit("\n"), F.col("family")))
     by_full = people.groupBy(full_key.alias("_full")).agg(first.alias("_orcid_full"))
     by_family = people.groupBy(F.lower("family").alias("_family")).agg(
         first.alias("_orcid_family")
     )
-    given, family = F.lower(first_token(name)), F.lower(last_token(name))
+    valid = is_valid_pi(name)
+    given = F.when(valid, F.lower(first_token(name)))
+    family = F.when(valid, F.lower(last_token(name)))
     full = spread_nulls(F.concat(given, F.lit("\n"), family), unique)
     step = projects.withColumn("_full", full).join(
         by_full.where(F.col("_full").isNotNull()), "_full", "left"

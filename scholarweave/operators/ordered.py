@@ -8,11 +8,6 @@ from scholarweave.functions.text import ColumnOrName, col
 from scholarweave.workspace import materialise
 
 
-def top_k(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
-    """Largest ``k`` rows; each task keeps only ``k``."""
-    return df.orderBy(F.desc(by), key).limit(k)
-
-
 def compact_view(counts: DataFrame, topics: int = 10, years: int = 5) -> DataFrame:
     """Counts of the most frequent topics in the most recent years, in long form.
 

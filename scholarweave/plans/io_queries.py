@@ -40,7 +40,7 @@ SELECT doc_id, md5(text) AS digest, lang FROM documents
 def csv_quoting(t):
     path = scratch_path(t.spark, "quoted")
     tables.write_csv(t.documents.select("doc_id", "text", "lang"), path)
-    back = tables.read_csv_text(t.spark, path)
+    back = tables.read_csv_text(t.spark, path, multiline=True)
     return back.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("digest"), "lang"
     )
@@ -81,7 +81,7 @@ def incremental_append(t):
     return t.spark.read.parquet(sink)
 
 
-@query("incremental_stream", "SELECT DISTINCT user_id, event_type FROM events")
+@query("incremental_stream", "SELECT DISTINCT user_id, lower(event_type) AS event_type FROM events")
 def incremental_stream(t):
     landing, sink, checkpoint = (
         scratch_path(t.spark, name) for name in ("landing", "streamed", "progress")
@@ -90,7 +90,8 @@ def incremental_stream(t):
     keys = ["user_id", "event_type"]
     tables.append(events.where(F.col("event_type") == "view"), landing)
     incremental.stream_new(t.spark, landing, events.schema, sink, checkpoint, keys)
-    tables.append(events, landing)
+    spelled = F.concat(F.lit(" "), F.upper("event_type"))
+    tables.append(events.withColumn("event_type", F.when(F.col("user_id") % 2 == 0, spelled).otherwise(F.col("event_type"))), landing)
     incremental.stream_new(t.spark, landing, events.schema, sink, checkpoint, keys)
     return t.spark.read.schema(events.schema).parquet(sink)
 

@@ -144,6 +144,16 @@ def proj_ids(t):
     return harmonise.from_row(named, "row_no", 101)
 
 
+@query(
+    "proj_numbers",
+    """
+SELECT o_orderkey, 'PROJ_' || lpad(CAST(row_number() OVER (ORDER BY o_orderkey) AS VARCHAR), 5, '0') AS "ProjID" FROM orders
+""",
+)
+def proj_numbers(t):
+    return harmonise.with_proj_id(t.orders.select("o_orderkey"), "o_orderkey")
+
+
 @query(
     "last_proj_number",
     "SELECT max(o_orderkey) AS last_number FROM orders",
@@ -159,12 +169,12 @@ def last_proj_number(t):
     "attach_ids",
     """
 SELECT c_custkey, n_name, n_regionkey FROM customer LEFT JOIN nation
-ON c_nationkey = n_nationkey AND n_regionkey <> 2
+ON c_nationkey + 5 = n_nationkey
 """,
 )
 def attach_ids(t):
-    ids = t.nation.where(F.col("n_regionkey") != 2)
-    return match.attach(t.customer, ids, "c_nationkey", "n_nationkey").select(
+    customers = t.customer.withColumn("nation", F.col("c_nationkey") + 5)  # 25 and more miss
+    return match.attach(customers, t.nation, "nation", "n_nationkey").select(
         "c_custkey", "n_name", "n_regionkey"
     )
 
@@ -219,35 +229,45 @@ def landed_customers(t):
     body = F.when(
         bal > 0, F.to_json(F.struct(F.concat(F.lit("https://openalex.org/W"), "c_custkey").alias("id")))
     ).otherwise("{broken")
-    return t.customer.select(
-        F.concat(F.lit("10.4/C"), "c_custkey").alias("key"),
-        F.lit("openalex").alias("source"),
-        code.alias("code"),
+    key = F.concat(F.lit("10.4/C"), "c_custkey").alias("key")
+    first = t.customer.select(
+        key, F.lit("openalex").alias("source"), code.alias("code"),
         F.when(seg == "AUTOMOBILE", body).when(seg == "HOUSEHOLD", body).alias("body"),
         F.when(seg == "MACHINERY", "timeout").alias("error"),
     )
+    # Some were asked again: an empty and a cut-off answer, neither better than the first,
+    # and an answer that knows no id.
+    again = F.when(bal > 5000, None).when(bal > 2000, "{\"id\":").otherwise("{\"other\": 1}")
+    second = t.customer.select(
+        F.lower(key).alias("key"), F.lit("openalex").alias("source"), F.lit(200).alias("code"),
+        again.alias("body"), F.lit(None).cast("string").alias("error"),
+    )
+    return first.unionByName(second)
 
 
 _LOOKUP_SQL = """
-WITH k AS (SELECT DISTINCT o_custkey FROM orders)
-SELECT '10.4/c' || o_custkey AS doi,
-  CASE WHEN c_custkey IS NULL THEN NULL WHEN c_mktsegment = 'MACHINERY' THEN 'Exception'
-    WHEN c_mktsegment = 'FURNITURE' THEN 'Error 503' WHEN c_mktsegment = 'BUILDING' OR c_acctbal <= 0 THEN 'Not Found'
-    ELSE 'Found' END AS status,
-  CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') AND c_acctbal > 0 THEN 'https://openalex.org/W' || c_custkey END AS external_id
-FROM k LEFT JOIN customer ON c_custkey = o_custkey AND c_nationkey <> 1
+WITH k AS (SELECT DISTINCT o_custkey + 50 AS k FROM orders),
+-- each response on its own, as the lookup defines its outcome
+r AS (
+  SELECT c_custkey, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Exception' WHEN c_mktsegment = 'FURNITURE' THEN 'Error 503'
+    WHEN c_mktsegment = 'BUILDING' THEN 'Not Found' WHEN c_acctbal > 0 THEN 'Found' ELSE 'Exception' END AS status,
+    CASE WHEN c_mktsegment = 'MACHINERY' THEN 999 WHEN c_mktsegment = 'FURNITURE' THEN 503 WHEN c_mktsegment = 'BUILDING' THEN 404 ELSE 200 END AS code
+  FROM customer
+  UNION ALL
+  SELECT c_custkey, CASE WHEN c_acctbal > 2000 THEN 'Exception' ELSE 'Not Found' END, 200 FROM customer),
+-- an id before the news that there is none, before a failure
+b AS (
+  SELECT *, row_number() OVER (PARTITION BY c_custkey
+    ORDER BY CASE status WHEN 'Found' THEN 0 WHEN 'Not Found' THEN 1 ELSE 2 END, code) AS place FROM r)
+SELECT '10.4/c' || k AS doi, status, CASE WHEN status = 'Found' THEN 'https://openalex.org/W' || c_custkey END AS external_id
+FROM k LEFT JOIN b ON c_custkey = k AND place = 1
 """
 
 
 def looked_up(t):
-    keys = t.orders.select(F.concat(F.lit(" 10.4/c"), "o_custkey").alias("doi"))
-    landed = landed_customers(t).join(
-        t.customer.where(F.col("c_nationkey") != 1).select(
-            F.concat(F.lit("10.4/C"), "c_custkey").alias("key")
-        ),
-        "key", "left_semi",
-    )
-    return match.lookup_doi(keys, landed, "doi", parse_json("body", "id string")["id"])
+    # The last keys are beyond those of the customers and have no response.
+    keys = t.orders.select(F.concat(F.lit(" 10.4/c"), F.col("o_custkey") + 50).alias("doi"))
+    return match.lookup_doi(keys, landed_customers(t), "doi", parse_json("body", "id string")["id"])
 
 
 @query("lookup_doi", _LOOKUP_SQL)
@@ -284,12 +304,14 @@ def attach_metadata(t):
     return match.attach_metadata(found, works, "external_id")
 
 
-_CASCADE_SQL = """
-WITH r AS (SELECT o_orderkey, 'Study  of ' || o_custkey AS title,
+LONG_TITLE = "wages and firms " * 40
+
+_CASCADE_SQL = f"""
+WITH r AS (SELECT o_orderkey, 'Study  of {LONG_TITLE}' || o_custkey AS title,
   CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '2-HIGH' THEN 'Smith' ELSE 'Jones' END AS author,
   CASE WHEN o_orderstatus = 'F' THEN '10.5/' || o_custkey WHEN o_orderstatus = 'O' THEN '10.5/x' || o_custkey END AS doi FROM orders),
-i AS (SELECT '10.5/' || c_custkey AS doi, 'study of ' || c_custkey AS title,
-  CASE WHEN c_nationkey > 12 THEN 'jones' ELSE 'smith' END AS author, 'PMC' || c_custkey AS pmcid FROM customer WHERE c_nationkey > 5),
+i AS (SELECT '10.5/' || CASE WHEN c_nationkey > 5 THEN c_custkey ELSE -c_custkey END AS doi, 'study of {LONG_TITLE}' || c_custkey AS title,
+  CASE WHEN c_nationkey > 12 THEN 'jones' ELSE 'smith' END AS author, 'PMC' || c_custkey AS pmcid FROM customer),
 m AS (SELECT o_orderkey, r.title, r.author, r.doi, d.pmcid AS p1, p.pmcid AS p2 FROM r
   LEFT JOIN i d ON r.doi = d.doi
   LEFT JOIN i p ON d.pmcid IS NULL AND lower(replace(r.title, '  ', ' ')) = p.title AND lower(r.author) = p.author)
@@ -306,14 +328,15 @@ def cascade(t):
     p, s = F.col("o_orderpriority"), F.col("o_orderstatus")
     records = t.orders.select(
         F.col("o_orderkey").alias("id"),
-        F.concat(F.lit("Study  of "), "o_custkey").alias("title"),
+        F.concat(F.lit("Study  of "), F.lit(LONG_TITLE), "o_custkey").alias("title"),
         F.when(p == "5-LOW", None).when(p == "2-HIGH", "Smith; Doe").otherwise("Jones, A.").alias("author"),
         F.when(s == "F", F.concat(F.lit("10.5/"), "o_custkey"))
         .when(s == "O", F.concat(F.lit("10.5/x"), "o_custkey")).alias("doi"),
     )
-    index = t.customer.where(F.col("c_nationkey") > 5).select(
-        F.concat(F.lit(" 10.5/"), "c_custkey").alias("doi"),
-        F.concat(F.lit("STUDY of "), "c_custkey").alias("title"),
+    # Long titles that differ at the end only, and DOIs the records do not have.
+    index = t.customer.select(
+        F.concat(F.lit(" 10.5/"), F.when(F.col("c_nationkey") > 5, F.col("c_custkey")).otherwise(-F.col("c_custkey"))).alias("doi"),
+        F.concat(F.lit("STUDY of "), F.lit(LONG_TITLE.upper()), "c_custkey").alias("title"),
         F.when(F.col("c_nationkey") > 12, "Jones").otherwise("Smith").alias("author"),
         F.concat(F.lit("PMC"), "c_custkey").alias("pmcid"),
     )
@@ -337,12 +360,12 @@ def match_summary(t):
     "resolve_pi",
     """
 WITH n AS (SELECT p_partkey, CASE WHEN p_size > 30 THEN upper(p_name) WHEN p_size > 15 THEN 'someone ' || string_split(p_name, ' ')[2]
-  WHEN p_size > 5 THEN 'some one' END AS name FROM part),
+  WHEN p_size > 5 THEN 'some one' ELSE string_split(p_name, ' ')[2] END AS name FROM part),
 g AS (SELECT string_split(p_name, ' ')[1] AS given, string_split(p_name, ' ')[2] AS family, min(p_partkey) AS rank FROM part GROUP BY ALL),
 f AS (SELECT family, min(rank) AS rank FROM g GROUP BY ALL)
 SELECT p_partkey, 'id' || coalesce(g.rank, f.rank) AS orcid FROM n
 LEFT JOIN g ON lower(name) = given || ' ' || g.family
-LEFT JOIN f ON g.rank IS NULL AND lower(string_split(name, ' ')[-1]) = f.family
+LEFT JOIN f ON g.rank IS NULL AND contains(name, ' ') AND lower(string_split(name, ' ')[-1]) = f.family
 """,
 )
 def resolve_pi(t):
@@ -356,6 +379,7 @@ def resolve_pi(t):
         F.when(size > 30, F.upper("p_name"))
         .when(size > 15, F.concat(F.lit("someone "), F.get(parts, F.lit(1))))
         .when(size > 5, "some one")
+        .otherwise(F.get(parts, F.lit(1)))  # one word only
     )
     projects = t.part.select("p_partkey", name.alias("name"))
     return match.resolve_pi(projects, people, "name", "p_partkey").select("p_partkey", "orcid")
@@ -369,7 +393,7 @@ SELECT o_orderkey, c_mktsegment AS "OutputVenue", CASE WHEN c_nationkey > 3 THEN
   'Doe, A, Roe, . ' || c_name || '. ' || c_mktsegment ||
   CASE WHEN c_nationkey > 3 THEN ' ' || c_nationkey || CASE WHEN c_nationkey > 9 THEN '(' || c_custkey || ')' ELSE '' END ELSE '' END ||
   CASE WHEN c_acctbal > 0 THEN ', 1-' || c_custkey ELSE '' END || ' (' || (1980 + c_nationkey) || ')' AS "OutputBiblio"
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderstatus <> 'P' AND c_nationkey <> 2
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND o_orderstatus <> 'P'
 """
 
 
@@ -398,9 +422,10 @@ def crossref_attach(t):
             F.struct(F.array(F.array(nation + 1980)).alias("date-parts")).alias("published"),
         )
     )
-    messages = t.customer.where(nation != 2).select(
-        F.concat(F.lit("10.7/C"), "c_custkey").alias("key"),
-        parse_json(body, schemas.CROSSREF_MESSAGE).alias("msg"),
+    # Every DOI also has a message with gaps only and one that cannot be read.
+    bodies = F.explode(F.array(body, F.lit("{}"), F.lit("{broken")))
+    messages = t.customer.select(F.concat(F.lit("10.7/C"), "c_custkey").alias("key"), bodies.alias("body")).select(
+        "key", parse_json("body", schemas.CROSSREF_MESSAGE).alias("msg")
     )
     doi = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("10.7/c"), "o_custkey"))
     records = t.orders.select("o_orderkey", doi.alias("doi"))

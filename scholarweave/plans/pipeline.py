@@ -61,14 +61,16 @@ def run_pipeline(
     as_of_year: int,
     use_articles: bool = True,
     use_openalex: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
     """From a landing folder to the table of research outputs.
 
     The folder holds ``group*.csv`` with project records and the Parquet tables
     ``articles``, ``openalex`` (landed responses keyed by DOI) and ``core``
     (author, rank, body). Writes ``outputs`` and ``summary`` below ``output``.
+    ``multiline`` says that fields of the CSV files may span lines.
     """
-    frames = [harmonise.harmonise(f) for f in tables.read_group_files(spark, f"{landing}/group*.csv")]
+    frames = [harmonise.harmonise(f) for f in tables.read_group_files(spark, f"{landing}/group*.csv", multiline)]
     projects = numbered_projects(harmonise.union_complete(frames))
     by_source = {
         "CORE": records.core_records(

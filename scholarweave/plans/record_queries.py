@@ -67,34 +67,55 @@ def _xml_escape(c):
 
 
 def landed_articles(t):
-    """Documents as article XML; Spanish ones are cut off before the end."""
-    paragraphs = F.array_join(
-        F.transform(F.split("text", "\n"), lambda p: F.concat(F.lit("<p>"), _xml_escape(p), F.lit("</p>"))), ""
+    """Documents as article XML in the forms that articles come in.
+
+    By length the abstract is plain, in nested sections or one of two, the author stands
+    in the second group of contributors or has a labelled affiliation, or another article
+    follows. Titles have inline tags and escaped brackets. Spanish ones are cut off
+    before the end.
+    """
+    form = F.col("n_chars") % 6
+    paragraphs = F.transform(F.split("text", "\n"), lambda p: F.concat(F.lit("<p>"), _xml_escape(p), F.lit("</p>")))
+    every = F.array_join(paragraphs, "")
+    abstract = (
+        F.when(form == 1, F.concat(F.lit("<abstract><sec><title>Aim</title><sec>"), every, F.lit("</sec></sec></abstract>")))
+        .when(
+            form == 2,
+            F.concat(
+                F.lit("<abstract>"), F.get(paragraphs, F.lit(0)), F.lit("</abstract><abstract abstract-type=\"summary\">"),
+                F.array_join(F.slice(paragraphs, 2, F.greatest(F.size(paragraphs), F.lit(1))), ""), F.lit("</abstract>"),
+            ),
+        )
+        .otherwise(F.concat(F.lit("<abstract>"), every, F.lit("</abstract>")))
     )
+    place = F.when(form == 4, F.concat(F.lit("<aff><label>1</label>Univ <b>"), F.col("source"), F.lit("</b></aff>"))).otherwise("")
     body = F.concat(
         F.lit("<pmc-articleset><article article-type=\"Journal-Article\"><front><journal-meta><journal-title-group><journal-title>"),
         F.lit("Annals of "), F.col("source"),
         F.lit("</journal-title></journal-title-group></journal-meta><article-meta><title-group><article-title><i>On</i> "),
         _xml_escape(title_line()),
-        F.lit("</article-title></title-group><contrib-group><contrib contrib-type=\"editor\"><name><surname>Ed</surname></name></contrib>"
-              "<contrib contrib-type=\"author\"><name><surname>"), F.col("lang"),
-        F.lit("</surname><given-names>Ann</given-names></name></contrib></contrib-group>"
-              "<pub-date date-type=\"pub\"><year>"), F.col("n_chars") % 40 + 1980,
+        F.lit(" p &lt;x and y&gt; z</article-title></title-group><contrib-group><contrib contrib-type=\"editor\"><name><surname>Ed</surname></name></contrib>"),
+        F.when(form == 3, "</contrib-group><contrib-group>").otherwise(""),
+        F.lit("<contrib contrib-type=\"author\"><name><surname>"), F.col("lang"),
+        F.lit("</surname><given-names>Ann</given-names></name>"), place, F.lit("</contrib></contrib-group>"),
+        F.lit("<pub-date date-type=\"pub\"><year>"), F.col("n_chars") % 40 + 1980,
         F.lit("</year><month>11</month></pub-date><volume>"), F.col("doc_id"),
         F.lit("</volume>"), F.when(F.col("n_chars") % 2 == 0, "<issue>3</issue>").otherwise(""),
-        F.lit("<fpage>1</fpage><lpage>"), F.col("n_chars"),
-        F.lit("</lpage><abstract>"), paragraphs, F.lit("</abstract></article-meta></front></article>"),
+        F.lit("<fpage>1</fpage><lpage>"), F.col("n_chars"), F.lit("</lpage>"), abstract,
+        F.lit("</article-meta></front></article>"),
+        F.when(form == 5, "<article article-type=\"other\"><front><article-meta><title-group><article-title>Second</article-title>"
+               "</title-group></article-meta></front></article>").otherwise(""),
         F.when(F.col("lang") != "es", "</pmc-articleset>").otherwise(""),
     )
     return t.documents.select("doc_id", body.alias("body"))
 
 
 _ARTICLE_SQL = f"""
-WITH d AS (SELECT *, 'On ' || {TITLE_SQL} AS title, replace(text, chr(10), ' ') AS abstract,
+WITH d AS (SELECT *, 'On ' || {TITLE_SQL} || ' p <x and y> z' AS title, replace(text, chr(10), ' ') AS abstract,
   CAST(n_chars % 40 + 1980 AS VARCHAR) AS y FROM documents WHERE lang <> 'es')
 SELECT CAST(doc_id AS VARCHAR) AS "ProjID", 'Completed' AS "ProjectStatus",
   CASE WHEN contains(lower(title), 'fsrdc') THEN title ELSE 'FSRDC Project' END AS "ProjectTitle",
-  CAST(NULL AS VARCHAR) AS "ProjectRDC", y AS "ProjectYearStarted", y AS "ProjectYearEnded", 'Ann ' || lang AS "ProjectPI",
+  CASE WHEN n_chars % 6 = 4 THEN 'Univ ' || source END AS "ProjectRDC", y AS "ProjectYearStarted", y AS "ProjectYearEnded", 'Ann ' || lang AS "ProjectPI",
   title AS "OutputTitle",
   CASE WHEN n_chars % 2 = 0 THEN 'Annals of ' || source || ', Vol ' || doc_id || ', Iss 3, pp. 1-' || n_chars END AS "OutputBiblio",
   'JA' AS "OutputType", 'PB' AS "OutputStatus", 'Annals of ' || source AS "OutputVenue", y AS "OutputYear", '11' AS "OutputMonth",
@@ -204,7 +225,7 @@ WITH p AS (SELECT c_custkey AS id, 'PROJ_' || c_custkey AS proj_id,
   CASE WHEN c_nationkey < 22 THEN 'src' || c_nationkey WHEN c_nationkey = 22 THEN 'Unknown PI' END AS author,
   lower(left(c_mktsegment, 2)) AS title, CASE WHEN c_nationkey <> 4 THEN c_nationkey + 1985 END AS s FROM customer),
 w AS (SELECT *, {TITLE_SQL} AS wtitle, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS place FROM documents),
-r AS (SELECT * FROM w WHERE place <= 20 AND {sql_contains("concat_ws(' ', nullif(wtitle, ''), nullif(text, ''), lang, source, CASE WHEN lang = 'fr' THEN 'Univ. of TEXAS' ELSE 'Elsewhere' END)", V.RELATED_KEYWORDS_LONG)}),
+r AS (SELECT * FROM w WHERE {sql_contains("concat_ws(' ', nullif(wtitle, ''), nullif(text, ''), lang, source, CASE WHEN lang = 'fr' THEN 'Univ. of TEXAS' ELSE 'Elsewhere' END)", V.RELATED_KEYWORDS_LONG)}),
 b AS (SELECT p.*, r.*, row_number() OVER (PARTITION BY p.id ORDER BY contains(lower(wtitle), title) DESC, place) AS pick
   FROM p LEFT JOIN r ON p.author = r.source)
 SELECT proj_id AS "ProjID", CASE WHEN s IS NULL THEN 'Unknown' WHEN s + 3 < 1999 THEN 'Completed' WHEN s <= 1999 THEN 'Active' ELSE 'Planned' END AS "ProjectStatus",
@@ -323,14 +344,16 @@ def orcid_records(t):
 @query(
     "first_works",
     """
-SELECT 'PROJ_' || doc_id AS "ProjID", string_split(text, chr(10))[1] AS first_title,
+SELECT 'PROJ_' || doc_id AS "ProjID", coalesce(string_split(text, chr(10))[7], string_split(text, chr(10))[-1]) AS first_title,
   CAST(n_chars % 50 + 1950 AS VARCHAR) AS started, CAST(n_chars % 30 + 1980 AS VARCHAR) AS ended, 'First ' || source AS organisation
 FROM documents
 """,
 )
 def first_works(t):
     employments = F.col("record")["activities-summary"]["employments"]["employment-summary"]
-    grouped = F.transform("works", lambda w: F.array(w))
+    # The first group with a titled work is the seventh, or the last of fewer.
+    titled = lambda w, i: (i >= 6) | (i == F.size("works") - 1)
+    grouped = F.transform("works", lambda w, i: F.array(F.when(titled(w, i), w)))
     return persons(t).select(
         "ProjID",
         match.first_grouped_work(grouped)["title"]["title"]["value"].alias("first_title"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scholarweave import schemas, vocabulary as V
 from scholarweave.functions import biblio, predicates, text
 from scholarweave.operators import harmonise, match
-from scholarweave.sources.payloads import parse_json, parse_xml
+from scholarweave.sources.payloads import parse_json, parse_xml, parsed_once
 
 
 def article_records(landed: DataFrame, number: str) -> DataFrame:
@@ -16,9 +16,10 @@ def article_records(landed: DataFrame, number: str) -> DataFrame:
     ``number`` is the column that numbers the input.
     """
     a = F.col("a")
-    parsed = landed.select(
-        F.col(number), biblio.article_fields(parse_xml("body", schemas.PMC_ARTICLESET)).alias("a")
-    ).where(predicates.is_related_article(a["title"], a["abstract"]))
+    sets = parsed_once(landed.select(number, "body"), "_set", parse_xml(biblio.guarded("body"), schemas.PMC_ARTICLESET))
+    parsed = parsed_once(sets, "a", biblio.article_fields(F.col("_set"))).where(
+        predicates.is_related_article(a["title"], a["abstract"])
+    )
     return harmonise.conform(
         parsed.select(
             F.col(number).cast("string").alias("ProjID"),
@@ -49,10 +50,9 @@ def openalex_records(landed: DataFrame, number: str) -> DataFrame:
     Only rows with a proper id are parsed, and only related titles go on.
     """
     w = F.col("w")
-    parsed = (
-        landed.where(predicates.has_id_prefix("external_id"))
-        .select(number, parse_json("body", schemas.OPENALEX_WORK).alias("w"))
-        .where(predicates.is_related(w["title"]))
+    proper = landed.where(predicates.has_id_prefix("external_id")).select(number, "body")
+    parsed = parsed_once(proper, "w", parse_json("body", schemas.OPENALEX_WORK)).where(
+        predicates.is_related(w["title"])
     )
     venue = biblio.work_venue(w)
     pages = biblio.page_range_either(w["biblio"]["first_page"], w["biblio"]["last_page"])
@@ -96,7 +96,7 @@ def project_columns(as_of_year: int) -> dict[str, Column]:
 
 
 def core_records(
-    projects: DataFrame, works: DataFrame, as_of_year: int, candidates: int = 20
+    projects: DataFrame, works: DataFrame, as_of_year: int, candidates: int | None = None
 ) -> DataFrame:
     """One record per project, with the best of the works found under its lead's name.
 
@@ -176,10 +176,16 @@ def enrich_from_orcid_work(rows: DataFrame) -> DataFrame:
     """
     w = F.col("work")
     citation = w["citation"]["citation-value"]
+    done = predicates.already_enriched(["OutputVenue", "OutputVolume"])
+    full = F.col("OutputVolume").isNotNull() & F.col("OutputNumber").isNotNull() & F.col("OutputPages").isNotNull()
+    # The searches are dear: the first is made only where it may replace something, the
+    # second only where there is a gap.
     parsed = rows.withColumns(
-        {"_compact": biblio.citation_compact(citation), "_dated": biblio.citation_dated(citation)}
+        {
+            "_compact": F.when(~done, biblio.citation_compact(citation)),
+            "_dated": F.when(~full, biblio.citation_dated(citation)),
+        }
     )
-    done = predicates.already_enriched(["OutputVenue", "OutputVolume"])
 
     def update(name: str, field: str) -> Column:
         current = F.col(name)

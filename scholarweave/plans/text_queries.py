@@ -509,15 +509,15 @@ def fill_and_override(t):
     "enrich_mask",
     """
 WITH r AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS volume,
-  CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS venue, year(o_orderdate) AS y,
+  CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS venue,
   CASE WHEN o_custkey > 100 THEN 'd' || o_custkey ELSE ' ' END AS doi FROM orders)
 SELECT o_orderkey, (volume IS NULL OR venue IS NULL) AND trim(doi) <> '' AS needs,
   volume IS NOT NULL AND venue IS NOT NULL AS done
-FROM r WHERE y >= 1997
+FROM r
 """,
 )
 def enrich_mask(t):
-    rows = t.orders.where(F.year("o_orderdate") >= 1997).select(
+    rows = t.orders.select(
         "o_orderkey",
         F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("volume"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("venue"),

@@ -9,22 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from scholarweave.functions.predicates import is_present
 
 
-def text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
 def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = True
+    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
 ) -> DataFrame:
     """CSV with a header and a given schema: no pass over the data to guess types.
 
-    Quoted fields may span lines, which keeps Spark from splitting a file. Turn
-    ``multiline`` off for large files whose records are known to be single lines.
+    With ``multiline`` quoted fields may span lines. Spark then cannot split a file
+    and reads each one in a single task, so it is off unless the records need it.
     """
     return _csv(spark, multiline).schema(schema).csv(path)
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """CSV with every column as text; only the header is looked at beforehand."""
     return _csv(spark, multiline).option("inferSchema", False).csv(path)
 
@@ -46,13 +42,13 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (found or []))
 
 
-def read_group_files(spark: SparkSession, pattern: str) -> list[DataFrame]:
+def read_group_files(spark: SparkSession, pattern: str, multiline: bool = False) -> list[DataFrame]:
     """One frame per file matching ``pattern``, since their headers differ.
 
     Files that are not there simply do not match. Frames stay separate until
     each has been harmonised.
     """
-    return [read_csv_text(spark, path) for path in list_paths(spark, pattern)]
+    return [read_csv_text(spark, path, multiline) for path in list_paths(spark, pattern)]
 
 
 def read_done_keys(spark: SparkSession, sink: str, key: Column | str) -> DataFrame | None:
@@ -89,10 +85,6 @@ def preview(df: DataFrame, rows: int = 10) -> DataFrame:
     return df.limit(rows)
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
-
-
 def present_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows in all, and per column the rows that are neither null nor blank; one pass."""
     counts = [F.count_if(is_present(c)).alias(c) for c in columns]

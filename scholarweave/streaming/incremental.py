@@ -11,16 +11,17 @@ from scholarweave.sources.tables import append, list_paths
 def append_new(batch: DataFrame, sink: str, key: str) -> None:
     """Append the rows of ``batch`` whose normalised key is not in the sink.
 
-    Of several rows with one key the smallest is kept, chosen by partial
-    aggregation. A run that fails leaves the sink as it was, because Parquet
+    Of several rows with one key the one with the fewest gaps is kept, then the
+    smallest, chosen by partial aggregation. A run that fails leaves the sink as it was, because Parquet
     output is committed as a whole; running again picks up what is missing.
     """
     spark = batch.sparkSession
     others = [c for c in batch.columns if c != key]
+    gaps = F.size(F.filter(F.array(*[F.col(f"`{c}`").isNull() for c in others]), lambda gap: gap)) if others else F.lit(0)
     fresh = (
         batch.withColumn(key, norm_doi(F.col(key).cast("string")))
         .where(F.col(key).isNotNull())
-        .groupBy(key).agg(F.min(F.struct(*others)).alias("_row"))
+        .groupBy(key).agg(F.min_by(F.struct(*others), F.struct(gaps, *others)).alias("_row"))
         .select(key, "_row.*")
     )
     if list_paths(spark, sink):
@@ -34,11 +35,15 @@ def stream_new(
 ) -> None:
     """Work off all files landed in ``source`` since the last run, then stop.
 
-    The checkpoint remembers the files read and the keys seen, so a key that
-    turns up again, in this run or a later one, is written once. State grows
-    with the number of distinct keys; :func:`append_new` needs none.
+    Text keys are normalised as in :func:`append_new`, and rows without a key are left
+    out. The checkpoint remembers the files read and the keys seen, so a key that
+    turns up again, in this run or a later one, is written once; of rows with the
+    same key one that landed first stays. State grows with the number of distinct
+    keys; :func:`append_new` needs none and is the form to use by default.
     """
     rows = spark.readStream.schema(schema).parquet(source)
+    kinds = dict(rows.dtypes)
+    rows = rows.withColumns({k: norm_doi(k) for k in keys if kinds[k] == "string"}).na.drop(subset=keys)
     query = (
         rows.dropDuplicates(keys)
         .writeStream.format("parquet").outputMode("append")

@@ -92,13 +92,6 @@ CITATION_YEAR_VOLUME_ISSUE_PAGES = r"(\d{4})[,\s]*(\d+)\s*\((\d+)\)\s*,\s*([\d\-
 CITATION_VOLUME = r"(?i)vol(?:ume)?\.?\s*(\d+)"
 CITATION_ISSUE = r"(?i)(no|issue|nr)\.?\s*(\d+)"
 CITATION_PAGES = r"(?i)p(?:p|ages)?\.?\s*(\d+\s*[-–]\s*\d+|\d+)"
-# Words are spelled with Unicode letters and digits, which plain \w is not in Java. A match
-# starts at the first letter of a run of words or at the programme tag: a later start in the
-# same run could only find less, and trying it would cost quadratic time.
-PROJECT_TITLE = (
-    r"(?i)(?:(?<![\p{L}\p{N}_\s-])(?:FSRDC:?\s*)?|FSRDC:?\s*)"
-    r"([\p{L}\p{N}_\s-]+?)(?:using|based|analysis|study|research|$)"
-)
 CENTRE_WORD = r"(?i)\bRDC\b"
 PROGRAMME_TAG = "fsrdc"
 DEFAULT_PROJECT_TITLE = "FSRDC Project"
@@ -107,3 +100,12 @@ WORK_ID_PREFIX = "https://openalex.org/"
 # --- fixed values: defaults written where a field is missing ---
 UNKNOWN_PI = "Unknown PI"
 UNTITLED_PROJECT = "Untitled Project"
+
+# --- own pattern, made to run in linear time ---
+# Words are spelled with Unicode letters and digits, which plain \w is not in Java. A match
+# starts at the first letter of a run of words or at the programme tag: a later start in the
+# same run could only find less, and trying it would cost quadratic time.
+PROJECT_TITLE = (
+    r"(?i)(?:(?<![\p{L}\p{N}_\s-])(?:FSRDC:?\s*)?|FSRDC:?\s*)"
+    r"([\p{L}\p{N}_\s-]+?)(?:using|based|analysis|study|research|$)"
+)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", memory: str = "8g") -> SparkSession:
-    """A session for tests and the benchmark; clusters bring their own."""
+    """A session for tests and the benchmark; clusters bring their own.
+
+    Its shared folder is removed when the process ends.
+    """
+    shared = tempfile.mkdtemp(prefix="scholarweave-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("scholarweave")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", shared)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

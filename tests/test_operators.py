@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from scholarweave import schemas, vocabulary as V
 from scholarweave.operators import frequency, harmonise, lifecycle, match, ordered
-from scholarweave.operators.skew import skewed_lookup
 from scholarweave.plans import records
 from scholarweave.sources import tables
 from scholarweave.streaming import incremental
@@ -98,10 +97,19 @@ def test_active_years_cover_gaps_and_skip_reversed_spans(spark):
     assert got == {2000: 1, 2001: 2, 2002: 0, 2003: 0, 2004: 1}
 
 
-def test_pivot_refuses_too_many_columns(spark, monkeypatch):
-    monkeypatch.setattr(frequency, "MAX_PIVOT_COLUMNS", 3)
-    with pytest.raises(ValueError, match="more than 3 values"):
-        frequency.pivot_values(spark.range(10), "id")
+def test_pivot_over_many_values(spark):
+    pairs = spark.range(3000).selectExpr("CAST(id % 2 AS STRING) AS topic", "CAST(id AS INT) AS year")
+    counts = frequency.year_topic_counts(pairs)
+    assert len(frequency.pivot_values(counts, "year")) == 3000
+    some = frequency.topic_by_year(pairs.where("year < 40"), range(40)).collect()
+    assert sorted(sum(r[1:]) for r in some) == [20, 20]
+
+
+def test_active_years_of_a_stray_year_come_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(frequency, "YEARS_AT_ONCE", 7)
+    df = spark.createDataFrame([("2000", "2003"), ("2050", "2050")], "s string, e string")
+    got = {r.year: r.n for r in frequency.active_by_year(df, "s", "e").collect()}
+    assert got == {y: int(y <= 2003 or y == 2050) for y in range(2000, 2051)}
 
 
 def test_sample_is_exact_and_independent_of_layout(spark):
@@ -115,34 +123,7 @@ def test_sample_is_exact_and_independent_of_layout(spark):
 # --- matching -------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("min_hot", [10, 10_000])
-def test_skewed_lookup_loses_and_doubles_nothing(spark, min_hot):
-    facts = spark.range(2000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")
-    )
-    lookup = facts.groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("n"))
-    joined = skewed_lookup(facts, lookup, "k", "id", "n", 2000, min_hot)
-    assert sorted(joined.columns) == ["id", "k", "m"]
-    rows = {r.id: (r.k, r.m) for r in joined.collect()}
-    assert joined.count() == len(rows) == 2000
-    assert all(m == (0 if k == "hot" else i) for i, (k, m) in rows.items())
-
-
-def test_skewed_lookup_deals_out_the_hot_key(spark):
-    facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    lookup = facts.groupBy("k").agg(F.min("id").alias("m"), F.count("*").alias("n"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = skewed_lookup(facts, lookup, "k", "id", "n", 3000, 100)
-        tasks = joined.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(tasks) > 4 and max(r[1] for r in tasks) < 400
-
-
-def test_best_work_looks_at_one_page_and_prefers_a_title_match(spark):
+def test_best_work_prefers_a_title_match_and_may_look_at_one_page(spark):
     works = spark.createDataFrame(
         [("ann", 1, "Unrelated"), ("ann", 2, "Census Bureau wages"), ("ann", 3, "FSRDC firm entry"), ("ann", 4, "FSRDC firm exit")],
         "author string, rank int, title string",
@@ -155,8 +136,38 @@ def test_best_work_looks_at_one_page_and_prefers_a_title_match(spark):
     projects = spark.createDataFrame(
         [(1, "ann", "FIRM"), (2, "ann", "exit"), (3, "bob", "x"), (4, None, "x")], "id int, author string, title string"
     )
-    got = {r.id: r.work and r.work.title for r in match.best_work(projects, works, work, candidates=3).collect()}
+    title_only = {"work": work, "fields": ["title"]}
+    got = {r.id: r.work and r.work.title for r in match.best_work(projects, works, candidates=3, **title_only).collect()}
     assert got == {1: "FSRDC firm entry", 2: "Census Bureau wages", 3: None, 4: None}
+    got = {r.id: r.work and r.work.title for r in match.best_work(projects, works, **title_only).collect()}
+    assert got == {1: "FSRDC firm entry", 2: "FSRDC firm exit", 3: None, 4: None}
+
+
+def test_a_related_work_at_any_place_is_found_and_ties_are_stable(spark):
+    rows = [("ann", i, f"Nothing {i}") for i in range(30)] + [("ann", 40, "Census Bureau b"), ("ann", 40, "Census Bureau a")]
+    works = spark.createDataFrame(rows, "author string, rank int, title string")
+    none = F.lit(None).cast("string")
+    work = F.struct(
+        "title", none.alias("abstract"), none.alias("fullText"), F.lit(None).cast("array<string>").alias("keywords"),
+        F.lit(None).cast("array<struct<name:string>>").alias("institutions"),
+    )
+    projects = spark.createDataFrame([(1, "ann", "zzz")], "id int, author string, title string")
+    for parts in (1, 5):
+        found = match.best_work(projects, works.repartition(parts), work, fields=["title"]).first()
+        assert found.work.title == "Census Bureau a"
+
+
+def test_a_titled_work_in_any_group_is_found(spark):
+    df = spark.sql("SELECT array(array(w), array(w), array(w), array(w), array(w), array(named_struct('title', 'T'))) AS g FROM (SELECT CAST(NULL AS struct<title:string>) AS w)")
+    assert df.select(match.first_grouped_work("g")["title"].alias("t")).first().t == "T"
+    assert df.select(match.first_grouped_work("g", 5)["title"].alias("t")).first().t is None
+
+
+def test_a_name_of_one_word_meets_nobody(spark):
+    people = spark.createDataFrame([("Ann", "Lee", "1", 2), ("Bo", "Lee", "0", 1)], "given string, family string, orcid string, rank int")
+    projects = spark.createDataFrame([(1, "Ann Lee"), (2, "C. Lee"), (3, "Lee"), (4, None)], "id int, name string")
+    found = match.resolve_pi(projects, people, "name", "id").collect()
+    assert {r.id: r.orcid for r in found} == {1: "1", 2: "0", 3: None, 4: None}
 
 
 def test_page_limit_is_applied_before_the_shuffle(spark):
@@ -254,7 +265,7 @@ def test_blank_and_null_are_both_missing_after_csv(spark):
     path = scratch_path(spark, "csv")
     df = spark.createDataFrame([("a", 'say "hi", ok'), ("", "two\nlines"), (None, "x")], "a string, b string")
     tables.write_csv(df, path)
-    back = tables.read_csv(spark, path, df.schema)
+    back = tables.read_csv(spark, path, df.schema, multiline=True)
     assert sorted(r.b for r in back.collect()) == ['say "hi", ok', "two\nlines", "x"]
     assert tuple(tables.present_counts(back, ["a", "b"]).first()) == (3, 1, 3)
 
@@ -264,12 +275,31 @@ def test_missing_group_files_are_skipped(spark):
     tables.write_csv(spark.createDataFrame([("a", "1", "t", "d")], "PI string, year string, title string, DOI string"), f"{folder}/group2.csv")
     frames = tables.read_group_files(spark, f"{folder}/group*.csv")
     assert len(frames) == 1
-    assert tables.read_group_files(spark, f"{folder}/none*.csv") == []
+    none = tables.read_group_files(spark, f"{folder}/none*.csv")
+    assert none == [] and harmonise.union_complete(none).columns == schemas.HARMONISED_COLUMNS
+
+
+def test_a_sink_replaces_earlier_output(spark):
+    path = scratch_path(spark, "csv")
+    for rows in ([("a",), ("b",)], [("c",)]):
+        tables.write_csv(spark.createDataFrame(rows, "a string"), path)
+    assert [r.a for r in tables.preview(tables.read_csv_text(spark, path)).collect()] == ["c"]
+
+
+def test_lines_within_fields_are_read_in_one_task_only_if_asked(spark):
+    path = scratch_path(spark, "csv")
+    spark.range(200_000).selectExpr("id", "repeat('x', 30) AS t").coalesce(1).write.option("header", True).csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        parts = [tables.read_csv(spark, path, "id long, t string", m).rdd.getNumPartitions() for m in (False, True)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert parts[0] > 4 and parts[1] == 1
 
 
 def test_two_runs_equal_one_run_on_the_union(spark):
     first = spark.createDataFrame([("A", 1), ("b", 2)], "doi string, n int")
-    second = spark.createDataFrame([("a ", 9), ("c", 3), ("C", 4), (None, 5)], "doi string, n int")
+    second = spark.createDataFrame([("a ", 9), ("c", 3), ("C", 4), ("c", None), (None, 5)], "doi string, n int")
     twice, once = scratch_path(spark, "twice"), scratch_path(spark, "once")
     for batch in (first, second, second):
         incremental.append_new(batch, twice, "doi")
@@ -282,7 +312,7 @@ def test_two_runs_equal_one_run_on_the_union(spark):
 def test_stream_resumes_from_its_checkpoint(spark):
     landing, sink, progress = (scratch_path(spark, n) for n in ("land", "sink", "progress"))
     a = spark.createDataFrame([("x", 1), ("y", 1)], "k string, n int")
-    b = spark.createDataFrame([("y", 1), ("z", 1)], "k string, n int")
+    b = spark.createDataFrame([(" Y", 1), ("z", 1), (None, 1)], "k string, n int")
     for batch in (a, b):
         tables.append(batch, landing)
         incremental.stream_new(spark, landing, batch.schema, sink, progress, ["k"])

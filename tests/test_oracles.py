@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracles import TABLES, compare
+from scholarweave.plans import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,7 +18,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, con, name):
     ok, note = compare(spark, con, FOLDER, name)
     assert ok, note

@@ -1,9 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
 
 from scholarweave import schemas
 from scholarweave.functions import biblio
+from scholarweave.operators import match
 from scholarweave.plans import records
-from scholarweave.sources.payloads import first_per_key, parse_xml
+from scholarweave.sources.payloads import first_per_key, parse_json, parse_xml
 
 ARTICLE = """<?xml version="1.0"?><pmc-articleset><article article-type="report"><front>
 <journal-meta><journal-title-group><journal-title>Journal</journal-title></journal-title-group></journal-meta>
@@ -25,7 +27,7 @@ def test_malformed_xml_is_dropped_and_the_job_goes_on(spark):
 
 
 def test_unrelated_article_is_dropped(spark):
-    body = ARTICLE.format(title="Marine Biology Advances", abstract="This study explores oceanography.")
+    body = ARTICLE.format(title="Plankton at low tide", abstract="Samples were taken along the coast.")
     assert articles(spark, body) == {}  # a cited title does not count
 
 
@@ -38,6 +40,61 @@ def test_article_fields(spark):
     assert list(row.asDict()) == schemas.OUTPUT_COLUMNS
 
 
+FORMS = {
+    "sections": ("<abstract><p>x</p></abstract>", "<abstract><sec><title>A</title><p>one</p><sec><p>Census Bureau data</p></sec></sec><sec><p>two</p></sec></abstract>"),
+    "two abstracts": ("<abstract><p>x</p></abstract>", "<abstract><p>Census Bureau data</p></abstract><abstract><p>short</p></abstract>"),
+    "two groups": ("<contrib-group>", "<contrib-group><contrib contrib-type=\"editor\"><name><surname>Ed</surname></name></contrib></contrib-group><contrib-group>"),
+    "two articles": ("</article></pmc-articleset>", "</article><article><front><article-meta><title-group><article-title>Other</article-title></title-group></article-meta></front></article></pmc-articleset>"),
+    "label": ("<aff> Uni </aff>", "<aff><label>1</label>Univ <i>X</i></aff><aff>Second</aff>"),
+    "escapes": ("On FSRDC data", "On FSRDC p &lt;x and y&gt; <b>z</b> &amp;lt; &amp; w"),
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_article_forms(spark, form):
+    body = ARTICLE.format(title="On FSRDC data" if form != "sections" else "Wages", abstract="x")
+    assert FORMS[form][0] in body
+    row = articles(spark, body.replace(*FORMS[form]))["0"]
+    assert row.ProjectPI == "Ann Lee"
+    assert row.ProjectRDC == ("Univ X" if form == "label" else "Uni")
+    titles = {"sections": "Wages", "escapes": "On FSRDC p <x and y> z &lt; & w"}
+    assert row.OutputTitle == titles.get(form, "On FSRDC data")
+
+
+def test_a_usable_answer_goes_first(spark):
+    body = '{"id": "W1"}'
+    rows = [
+        ("a", 200, None), ("A", 200, body), ("b", 404, None), ("b", 200, "{cut"), ("c", 200, "{cut"), ("d", 200, "{}"),
+        ("e", 503, None), ("f", None, None), ("g", 200, ""), ("h", 200, "{}"), ("h", 200, body), ("i", 500, body), ("i", 404, None),
+    ]
+    landed = spark.createDataFrame([(k, "s", c, b, None) for k, c, b in rows], schemas.LANDED_PAYLOAD)
+    keys = spark.createDataFrame([(k,) for k in "abcdefghix"], "doi string")
+    found = match.lookup_doi(keys, landed, "doi", parse_json("body", "id string")["id"]).collect()
+    assert {r.doi: (r.status, r.external_id) for r in found} == {
+        "a": ("Found", "W1"), "b": ("Not Found", None), "c": ("Exception", None), "d": ("Not Found", None),
+        "e": ("Error 503", None), "f": ("Exception", None), "g": ("Exception", None), "h": ("Found", "W1"),
+        "i": ("Not Found", None), "x": (None, None),
+    }
+
+
+def test_the_message_with_the_fewest_gaps_is_attached(spark):
+    bodies = ["{}", '{"volume": "3", "container-title": ["J"]}', '{"volume": "1"}', None]
+    messages = spark.createDataFrame([("10.1/A", b) for b in bodies], "key string, body string").select(
+        "key", parse_json("body", schemas.CROSSREF_MESSAGE).alias("msg")
+    )
+    records_ = spark.createDataFrame([(1, "10.1/a"), (2, None)], "id int, doi string")
+    got = {r.id: (r.OutputVenue, r.OutputVolume) for r in match.attach_crossref(records_, messages, "doi", "id").collect()}
+    assert got == {1: ("J", "3"), 2: (None, None)}
+
+
+def test_a_body_is_parsed_once(spark):
+    landed = spark.createDataFrame([(1, "x", "a")], "n int, external_id string, body string")
+    plan = records.article_records(landed, "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_xml") == 1, plan
+    plan = records.openalex_records(landed, "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_search_result(spark):
     df = spark.createDataFrame(
         [("<r><Count>2</Count><IdList><Id>11</Id><Id>12</Id></IdList></r>",), ("<r><Count>0</Count><IdList/></r>",), ("<r>",)],

@@ -21,8 +21,8 @@ def many(spark, values, expression):
 @pytest.mark.parametrize(
     ("sentence", "expected"),
     [
-        ("This study uses data from the Census Bureau and FSRDC.", True),
-        ("This study is about marine biology and ocean currents.", False),
+        ("Wages were linked at the Census Bureau, inside an FSRDC.", True),
+        ("Plankton drifts with the tide along the coast.", False),
         ("the FIRST result", True),  # "irs" inside a word counts
         (None, False),
     ],
