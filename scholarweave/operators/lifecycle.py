@@ -90,9 +90,9 @@ def fit_lifecycle_clusters(groups: DataFrame, k: int = 2, seed: int = 42) -> KMe
         {f"z_{c}": s for c, s in weighted_scores(groups, FEATURES).items()}
     )
     features = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features")
-    return KMeans(k=k, seed=seed, weightCol="weight", featuresCol="features").fit(
-        features.transform(scaled)
-    )
+    # Without a tolerance it ends where nothing moves any more.
+    fitted = KMeans(k=k, seed=seed, weightCol="weight", featuresCol="features", tol=0.0, maxIter=500)
+    return fitted.fit(features.transform(scaled))
 
 
 def lifecycle_clusters(df: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:

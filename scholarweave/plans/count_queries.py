@@ -234,19 +234,104 @@ def lifecycle_features(t):
     return scaled.select("o_orderkey", *[F.round(c, 6).alias(c) for c in lifecycle.FEATURES])
 
 
-@query("lifecycle_clusters")
+# Assignment and mean steps on the distinct weighted points, from the two points that are
+# furthest apart along the sum of both scores, repeated until they no longer change anything.
+_SQUARE = "(p.x - {0}x) * (p.x - {0}x) + (p.y - {0}y) * (p.y - {0}y)"
+_NEAR = f"{_SQUARE.format('u')} <= {_SQUARE.format('v')}"
+
+
+def _mean(column: str, members: str) -> str:
+    chosen = f"list_filter(pts, lambda p: {members})"
+    return (
+        f"list_sum(list_transform({chosen}, lambda p: p.w * p.{column})) / list_sum(list_transform({chosen}, lambda p: p.w))"
+    )
+
+
+@query(
+    "lifecycle_clusters",
+    f"""
+WITH RECURSIVE l AS MATERIALIZED ({_LIFECYCLE}),
+m AS (SELECT avg(duration) AS ad, stddev_pop(duration) AS sd, avg(time_to_publish) AS ap, stddev_pop(time_to_publish) AS sp FROM l),
+g AS (SELECT duration, time_to_publish, (duration - ad) / sd AS x, (time_to_publish - ap) / sp AS y, count(*) AS w FROM l, m GROUP BY ALL),
+pts AS (SELECT list({{'x': x, 'y': y, 'w': w}} ORDER BY x + y, x) AS pts FROM g),
+s(i, ux, uy, vx, vy, pts) AS (
+  SELECT 0, pts[1].x, pts[1].y, pts[-1].x, pts[-1].y, pts FROM pts
+  UNION ALL
+  SELECT i + 1, {_mean('x', _NEAR)}, {_mean('y', _NEAR)}, {_mean('x', f'NOT ({_NEAR})')}, {_mean('y', f'NOT ({_NEAR})')}, pts
+  FROM s WHERE i < 200),
+c AS (SELECT least([ux, uy], [vx, vy]) AS a, greatest([ux, uy], [vx, vy]) AS b FROM s ORDER BY i DESC LIMIT 1),
+k AS (
+  SELECT duration, time_to_publish,
+    CASE WHEN (x - a[1]) ** 2 + (y - a[2]) ** 2 <= (x - b[1]) ** 2 + (y - b[2]) ** 2 THEN 0 ELSE 1 END AS lifecycle_cluster
+  FROM g, c)
+SELECT o_orderkey, duration, time_to_publish, lifecycle_cluster FROM l JOIN k USING (duration, time_to_publish)
+""",
+)
 def lifecycle_clusters(t):
     return lifecycle.lifecycle_clusters(lifecycles(t))
 
 
-@query("topic_pca")
+# Eigenvectors of the covariance matrix (25 numbers, row by row): squaring it 50 times leaves
+# the product of the leading vector with itself, which is then taken off the matrix.
+_T = len(PRIORITIES)
+_PCA_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {', '.join(f"count(*) FILTER (WHERE o_orderpriority = '{p}') AS t{i}" for i, p in enumerate(PRIORITIES))}
+  FROM orders WHERE o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY 1),
+z AS MATERIALIZED (SELECT year, [{', '.join(f"(t{i} - avg(t{i}) OVER ()) / stddev_pop(t{i}) OVER ()" for i in range(_T))}] AS z FROM w),
+cov AS (SELECT [{', '.join(f"sum(z[{i + 1}] * z[{j + 1}]) / (count(*) - 1)" for i in range(_T) for j in range(_T))}] AS a FROM z),
+r(k, step, a, p, v, vectors, sizes) AS (
+  SELECT 1, 0, a, a, CAST([] AS DOUBLE[]), CAST([] AS DOUBLE[][]), CAST([] AS DOUBLE[]) FROM cov
+  UNION ALL
+  SELECT CASE WHEN step = 51 THEN k + 1 ELSE k END, CASE WHEN step = 51 THEN 0 ELSE step + 1 END,
+    CASE WHEN step = 51 THEN rest ELSE a END,
+    CASE WHEN step = 51 THEN rest WHEN step = 50 THEN p ELSE list_transform(square, lambda x: x / trace) END,
+    CASE WHEN step = 50 THEN lead ELSE v END,
+    CASE WHEN step = 51 THEN list_append(vectors, v) ELSE vectors END,
+    CASE WHEN step = 51 THEN list_append(sizes, size) ELSE sizes END
+  FROM (
+    SELECT *, list_transform(range({_T * _T}), lambda x: a[x + 1] - size * v[x // {_T} + 1] * v[x % {_T} + 1]) AS rest,
+      {' + '.join(f"square[{i * _T + i + 1}]" for i in range(_T))} AS trace
+    FROM (
+      SELECT *, [{', '.join(' + '.join(f"p[{i * _T + l + 1}] * p[{l * _T + j + 1}]" for l in range(_T)) for i in range(_T) for j in range(_T))}] AS square,
+        list_transform(range({_T}), lambda i: p[i * {_T} + top] / sqrt(p[(top - 1) * {_T} + top])) AS lead,
+        list_sum(list_transform(range({_T * _T}), lambda x: a[x + 1] * v[x // {_T} + 1] * v[x % {_T} + 1])) AS size
+      FROM (
+        SELECT *, list_position(diagonal, list_max(diagonal)) AS top
+        FROM (SELECT *, [{', '.join(f"p[{i * _T + i + 1}]" for i in range(_T))}] AS diagonal FROM r WHERE k <= {_T}))))),
+e AS (SELECT vectors, sizes FROM r ORDER BY k DESC, step LIMIT 1)
+"""
+
+
+@query(
+    "topic_pca",
+    _PCA_SQL
+    + ", s AS (SELECT list_transform(vectors, lambda v: list_transform(v, lambda x: "
+    "x * sign(v[list_position(list_transform(v, lambda y: abs(y)), list_max(list_transform(v, lambda y: abs(y))))]))) AS vectors FROM e) "
+    + "SELECT year, "
+    + ", ".join(
+        "round(" + " + ".join(f"z[{i + 1}] * vectors[{k}][{i + 1}]" for i in range(_T)) + f", 6) + 0.0 AS PC{k}"
+        for k in range(1, _T + 1)
+    )
+    + " FROM z, s",
+)
 def topic_pca(t):
-    return lifecycle.topic_pca(frequency.year_by_topic(order_pairs(t, None), PRIORITIES))
+    scores = lifecycle.topic_pca(frequency.year_by_topic(order_pairs(t, None), PRIORITIES))
+    return scores.select("year", *[(F.round(c, 6) + 0.0).alias(c) for c in scores.columns if c != "year"])
 
 
-@query("explained_variance")
+@query(
+    "explained_variance",
+    _PCA_SQL
+    + f"""
+SELECT CAST(i AS INTEGER) AS component, round(sizes[i] / list_sum(sizes), 6) AS share,
+  round(list_sum(sizes[1:i]) / list_sum(sizes), 6) AS running_share
+FROM e, range(1, {_T + 1}) AS n(i)
+""",
+)
 def explained_variance(t):
-    return lifecycle.explained_variance(frequency.year_by_topic(order_pairs(t, None), PRIORITIES))
+    shares = lifecycle.explained_variance(frequency.year_by_topic(order_pairs(t, None), PRIORITIES))
+    return shares.select("component", *[F.round(c, 6).alias(c) for c in ("share", "running_share")])
 
 
 @query(
