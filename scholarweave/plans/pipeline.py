@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from scholarweave import schemas
 from scholarweave.functions import text
 from scholarweave.operators import frequency, harmonise, match
 from scholarweave.plans import records
@@ -43,10 +44,22 @@ def numbered_projects(harmonised: DataFrame) -> DataFrame:
     return numbered.withColumn("ProjID", harmonise.proj_id("id"))
 
 
-def openalex_inputs(projects: DataFrame, landed: DataFrame) -> DataFrame:
+def resume_lookup(keys: DataFrame, landed: DataFrame, key: str, found_id, sink: str) -> DataFrame:
+    """All outcomes of a lookup that only looks up what earlier runs have not.
+
+    The keys in ``sink`` are left out and the new outcomes are added to it. Keys without
+    a response yet are not written, so a later run tries them again.
+    """
+    spark = keys.sparkSession
+    todo = match.pending(keys, tables.read_done_keys(spark, sink, key), key)
+    tables.append(match.lookup_doi(todo, landed, key, found_id).where(F.col("status").isNotNull()), sink)
+    return spark.read.parquet(sink)
+
+
+def openalex_inputs(projects: DataFrame, landed: DataFrame, sink: str) -> DataFrame:
     """Number, work id and body of the projects whose DOI was found."""
     work_id = payloads.parse_json("body", "id string")["id"]
-    found = match.lookup_doi(projects, landed, "doi", work_id).where(F.col("status") == "Found")
+    found = resume_lookup(projects, landed, "doi", work_id, sink).where(F.col("status") == "Found")
     bodies = first_per_key(landed).select(F.col("lookup_key").alias("doi"), "body")
     numbers = projects.groupBy(text.norm_doi("doi").alias("doi")).agg(F.min("id").alias("id"))
     return match.attach_metadata(found.join(numbers, "doi"), bodies, "doi").select(
@@ -54,6 +67,18 @@ def openalex_inputs(projects: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
+def orcid_outputs(projects: DataFrame, people: DataFrame, profiles: DataFrame, crossref: DataFrame) -> DataFrame:
+    """Records of the projects whose lead is found in the directory and has a profile."""
+    leads = match.resolve_pi(projects, people, "author", "id").where(F.col("orcid").isNotNull())
+    parsed = profiles.select(
+        "orcid",
+        payloads.parse_json("record", schemas.ORCID_RECORD).alias("record"),
+        payloads.parse_json("groups", f"array<{schemas.ORCID_WORKS}>").alias("groups"),
+    )
+    messages = crossref.select("key", payloads.parse_json("body", schemas.CROSSREF_MESSAGE).alias("msg"))
+    return records.orcid_profile_records(match.attach_metadata(leads, parsed, "orcid"), messages)
+
+
 def run_pipeline(
     spark: SparkSession,
     landing: str,
@@ -62,34 +87,51 @@ def run_pipeline(
     use_articles: bool = True,
     use_openalex: bool = True,
     multiline: bool = False,
+    related_only: bool = False,
 ) -> DataFrame:
     """From a landing folder to the table of research outputs.
 
     The folder holds ``group*.csv`` with project records and the Parquet tables
-    ``articles``, ``openalex`` (landed responses keyed by DOI) and ``core``
-    (author, rank, body). Writes ``outputs`` and ``summary`` below ``output``.
+    ``articles``, ``openalex`` (landed responses keyed by DOI), ``core`` (author, rank,
+    body), ``people`` (given, family, orcid, rank), ``profiles`` (orcid, the person's
+    record and the array of its works by group, as JSON) and ``crossref`` (key, body);
+    what is not there adds nothing. Writes ``outputs``, ``lookups``, ``trends`` and
+    ``summary`` below ``output``; a second run looks up only what is new. With
+    ``related_only`` the outputs are those related to the programme.
     ``multiline`` says that fields of the CSV files may span lines.
     """
+    there = lambda name: bool(tables.list_paths(spark, f"{landing}/{name}"))
+    table = lambda name, schema: spark.read.schema(schema).parquet(f"{landing}/{name}")
     frames = [harmonise.harmonise(f) for f in tables.read_group_files(spark, f"{landing}/group*.csv", multiline)]
-    projects = numbered_projects(harmonise.union_complete(frames))
-    by_source = {
-        "CORE": records.core_records(
-            projects,
-            spark.read.schema("author string, rank bigint, body string").parquet(f"{landing}/core"),
-            as_of_year,
-        )
-    }
-    if use_articles:
+    projects = materialise(numbered_projects(harmonise.union_complete(frames)), "projects")
+    by_source = {}
+    if there("core"):
+        works = table("core", "author string, rank bigint, body string")
+        by_source["CORE"] = records.core_records(projects, works, as_of_year)
+    if use_articles and there("articles"):
         bodies = first_per_key(payloads.read_landed(spark, f"{landing}/articles"))
         numbers = projects.groupBy(text.norm_doi("doi").alias("lookup_key")).agg(F.min("id").alias("id"))
         by_source["PMC"] = records.article_records(
             match.attach_metadata(numbers, bodies, "lookup_key"), "id"
         )
-    if use_openalex:
+    if use_openalex and there("openalex"):
         landed = payloads.read_landed(spark, f"{landing}/openalex")
-        by_source["OpenAlex"] = records.openalex_records(openalex_inputs(projects, landed), "id")
-    combine(by_source).write.mode("overwrite").parquet(f"{output}/outputs")
+        inputs = openalex_inputs(projects, landed, f"{output}/lookups")
+        by_source["OpenAlex"] = records.openalex_records(inputs, "id")
+    if there("people") and there("profiles"):
+        by_source["ORCID"] = orcid_outputs(
+            projects,
+            table("people", "given string, family string, orcid string, rank bigint"),
+            table("profiles", "orcid string, record string, groups string"),
+            table("crossref", "key string, body string") if there("crossref") else spark.createDataFrame([], "key string, body string"),
+        )
+    combined = combine(by_source) if by_source else harmonise.conform(spark.range(0).select())
+    if related_only:
+        combined = records.related_records(combined)
+    combined.write.mode("overwrite").parquet(f"{output}/outputs")
     outputs = spark.read.parquet(f"{output}/outputs")
+    topics = frequency.usable_years(outputs, "OutputYear", "OutputType")
+    frequency.year_topic_counts(topics).write.mode("overwrite").parquet(f"{output}/trends")
     series = frequency.outputs_by_year(outputs, "OutputYear")
     tables.write_summary(frequency.summary_document(series), f"{output}/summary")
     return outputs

@@ -361,6 +361,43 @@ def first_works(t):
     ).select("ProjID", "first_title", "job.*")
 
 
+_LABEL = V.OUTPUT_TYPE_LABELS["journal-article"]
+
+
+@query(
+    "orcid_profiles",
+    f"""
+WITH d AS (SELECT *, string_split(text, chr(10)) AS lines FROM documents),
+x AS (SELECT *, least(7, len(lines)) AS k FROM d),
+y AS (SELECT *, CASE WHEN (k - 1) % 3 <> 0 THEN lines[k] END AS cited FROM x)
+SELECT 'PROJ_' || doc_id AS "ProjID", 'Completed' AS "ProjectStatus", lower(string_split(lines[1], ' ')[1]) AS "ProjectTitle",
+  'First ' || source AS "ProjectRDC", CAST(n_chars % 50 + 1950 AS VARCHAR) AS "ProjectYearStarted", CAST(n_chars % 30 + 1980 AS VARCHAR) AS "ProjectYearEnded",
+  'Ann ' || lang AS "ProjectPI", lines[k] AS "OutputTitle", '. ' || cited || '. Journal of lines ' || length(cited) AS "OutputBiblio",
+  '{_LABEL}' AS "OutputType", 'Published' AS "OutputStatus", CASE WHEN cited IS NOT NULL THEN 'Journal of lines' END AS "OutputVenue",
+  CAST(k - 1 + 1990 AS VARCHAR) AS "OutputYear", CASE WHEN cited IS NOT NULL AND length(cited) % 2 = 0 THEN '9' ELSE '03' END AS "OutputMonth",
+  CAST(length(cited) AS VARCHAR) AS "OutputVolume", CAST(NULL AS VARCHAR) AS "OutputNumber", CAST(NULL AS VARCHAR) AS "OutputPages",
+  '10.9/' || md5(cited) AS "DOI"
+FROM y
+""",
+)
+def orcid_profiles(t):
+    titled = lambda w, i: (i >= 6) | (i == F.size("works") - 1)
+    groups = F.transform("works", lambda w, i: F.array(F.when(titled(w, i), w)))
+    lines = t.documents.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
+    month = F.when(F.length("line") % 2 == 0, F.array(F.array(F.lit(2001), F.lit(9))))
+    body = F.to_json(
+        F.struct(
+            F.array("line").alias("title"), F.array(F.lit("Journal of lines")).alias("container-title"),
+            F.length("line").cast("string").alias("volume"), F.struct(month.alias("date-parts")).alias("published-print"),
+        )
+    )
+    messages = lines.select(
+        F.concat(F.lit("10.9/"), F.md5(F.col("line").cast("binary"))).alias("key"),
+        parse_json(body, schemas.CROSSREF_MESSAGE).alias("msg"),
+    )
+    return records.orcid_profile_records(persons(t).withColumn("groups", groups), messages)
+
+
 @query(
     "work_for_doi",
     """

@@ -167,6 +167,46 @@ def orcid_records(persons: DataFrame, as_of_year: int) -> DataFrame:
     )
 
 
+PROFILE_COLUMNS = [c for c in schemas.OUTPUT_COLUMNS if c != "Source"]
+
+
+def orcid_profile_records(persons: DataFrame, messages: DataFrame) -> DataFrame:
+    """One record of 18 columns per project lead with a titled work.
+
+    The lead's employment history gives the project's years and centre, the first titled
+    work of the groups the output, and the CrossRef message of its DOI the venue and the
+    bibliography. ``persons`` has ProjID, author, title, the parsed struct ``record`` and
+    ``groups``, the parsed works by group; ``messages`` has key and the parsed ``msg``.
+    Leads without a full name and those without a titled work give no record.
+    """
+    w, job = F.col("_work"), F.col("_job")
+    employments = F.col("record")["activities-summary"]["employments"]["employment-summary"]
+    ids, date = w["external-ids"]["external-id"], w["publication-date"]
+    chosen = (
+        persons.where(predicates.is_valid_pi("author"))
+        .select("ProjID", "author", "title", match.first_grouped_work("groups").alias("_work"),
+                biblio.first_employment(employments).alias("_job"))
+        .where(w.isNotNull())
+    )
+    found = chosen.select(
+        "ProjID",
+        biblio.status_from_end(job["ended"]).alias("ProjectStatus"),
+        F.col("title").alias("ProjectTitle"),
+        job["organisation"].alias("ProjectRDC"),
+        job["started"].alias("ProjectYearStarted"),
+        job["ended"].alias("ProjectYearEnded"),
+        F.col("author").alias("ProjectPI"),
+        w["title"]["title"]["value"].alias("OutputTitle"),
+        biblio.type_label(w["type"]).alias("OutputType"),
+        biblio.output_status(date["year"]["value"]).alias("OutputStatus"),
+        date["year"]["value"].alias("OutputYear"),
+        date["month"]["value"].alias("_month"),
+        biblio.first_external_id(ids).alias("DOI"),
+    )
+    full = match.attach_crossref(found, messages, "DOI", "ProjID")
+    return full.withColumn("OutputMonth", F.coalesce("OutputMonth", "_month")).select(PROFILE_COLUMNS)
+
+
 def enrich_from_orcid_work(rows: DataFrame) -> DataFrame:
     """Fill volume, number, pages, month and venue from the work a row's DOI names.
 

@@ -31,10 +31,50 @@ def test_from_landing_folder_to_outputs(spark):
     assert (got["OpenAlex"].ProjectTitle, got["OpenAlex"].OutputType) == ("BEA firms", "RE")
     core = got["CORE"]
     assert (core.ProjectStatus, core.OutputYear, core.OutputMonth, core.DOI) == ("Active", "2003", "04", "10.9/z")
+    lookups = spark.read.parquet(f"{output}/lookups")
+    assert {r.doi: r.status for r in lookups.collect()} == {"10.1/a": "Not Found", "10.1/b": "Found"}
+    run_pipeline(spark, landing, output, as_of_year=2003)
+    assert spark.read.parquet(f"{output}/lookups").count() == 2  # nothing was looked up again
     summary = spark.read.json(f"{output}/summary").first()
     assert sorted(p.year for p in summary.plots.publications_by_year) == [1992, 2001, 2003]
 
 
+def test_an_empty_landing_folder_gives_empty_outputs(spark):
+    output = scratch_path(spark, "output")
+    outputs = run_pipeline(spark, scratch_path(spark, "nothing"), output, as_of_year=2003)
+    assert outputs.count() == 0 and outputs.columns == schemas.OUTPUT_COLUMNS
+
+
+def test_profiles_and_the_filter_for_related_outputs(spark):
+    landing, output = scratch_path(spark, "landing"), scratch_path(spark, "output")
+    groups = spark.createDataFrame(
+        [("Ann Lee", "2001", "Wages", "10.1/A"), ("Lee", "1990", "Firms", "10.1/b"), ("Cy Ray", "1990", "Soil", "10.1/c")],
+        "PI string, year string, title string, doi string",
+    )
+    tables.write_csv(groups, f"{landing}/group1.csv")
+    people = [("Ann", "Lee", "0-1", 1), ("Cy", "Ray", "0-2", 1)]
+    spark.createDataFrame(people, "given string, family string, orcid string, rank bigint").write.parquet(f"{landing}/people")
+    job = {"start-date": {"year": {"value": "1999"}}, "organization": {"name": "Texas lab"}}
+    record = json.dumps({"activities-summary": {"employments": {"employment-summary": [job]}}})
+
+    def work(title, doi):
+        ids = {"external-id": [{"external-id-type": "doi", "external-id-value": doi}]}
+        return [{"title": {"title": {"value": title}}, "type": "book-chapter", "external-ids": ids}]
+
+    rows = [("0-1", record, json.dumps([[{}], work("Census Bureau wages", "10.2/X")])), ("0-2", record, json.dumps([work("Soil", "10.2/y")]))]
+    spark.createDataFrame(rows, "orcid string, record string, groups string").write.parquet(f"{landing}/profiles")
+    message = json.dumps({"container-title": ["J"], "volume": "4", "published-print": {"date-parts": [[2000, 5]]}})
+    spark.createDataFrame([("10.2/x", message)], "key string, body string").write.parquet(f"{landing}/crossref")
+
+    got = {r.ProjectPI: r for r in run_pipeline(spark, landing, output, as_of_year=2003).collect()}
+    assert set(got) == {"Ann Lee", "Cy Ray"}
+    ann = got["Ann Lee"]
+    assert (ann.OutputVenue, ann.OutputVolume, ann.OutputMonth, ann.DOI, ann.Source) == ("J", "4", "5", "10.2/X", "ORCID")
+    assert (ann.ProjectStatus, ann.ProjectYearStarted, ann.ProjectYearEnded) == ("Active", "1999", "Ongoing")
+    related = run_pipeline(spark, landing, scratch_path(spark, "related"), as_of_year=2003, related_only=True).collect()
+    assert [(r.ProjectPI, r.ProjectRDC) for r in related] == [("Ann Lee", "Texas RDC")]
+
+
 def test_the_same_output_from_two_sources_is_kept_once(spark):
     a = spark.createDataFrame([("1", "10.1/x", "T", None)], "ProjID string, DOI string, OutputTitle string, OutputYear string")
     b = spark.createDataFrame([("1", "10.1/X ", "T", "2000")], "ProjID string, DOI string, OutputTitle string, OutputYear string")
