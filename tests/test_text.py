@@ -120,11 +120,14 @@ def test_keywords_drop_blank_tokens(spark):
 
 
 def test_lookup_status(spark):
-    rows = [(200, True, None), (200, False, None), (404, False, None), (500, False, None), (None, None, "x")]
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, code int, hit boolean, error string")
-    got = [r.s for r in df.select("i", biblio.lookup_status("code", "hit", "error").alias("s")).orderBy("i").collect()]
-    assert got == ["Found", "Not Found", "Not Found", "Error 500", "Exception"]
-
+    rows = [
+        (0, 200, True, None, True), (1, 200, False, None, True), (2, 404, False, None, False), (3, 503, False, None, False),
+        (4, None, False, "timeout", False), (5, 200, True, "cut", True), (6, 200, False, None, False), (7, 200, False, None, None),
+    ]
+    df = spark.createDataFrame(rows, "i int, code int, hit boolean, error string, well boolean")
+    status = biblio.lookup_status("code", "hit", "error", "well").alias("s")
+    got = [r.s for r in df.select("i", status).orderBy("i").collect()]
+    assert got == ["Found", "Not Found", "Not Found", "Error 503", "Exception", "Exception", "Exception", "Exception"]
 
 def test_has_doi_ignores_case(spark):
     df = spark.sql(
