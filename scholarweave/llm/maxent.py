@@ -47,14 +47,15 @@ ENDING = 3
 CHUNK_BYTES = 8 << 20
 ROUNDS = 4
 EPOCHS = 1
-BATCH = 8192
-RATE = 1.0
+BATCH = 16384
+RATE = 0.5
 DAMPING = 4.0
 BLOCK = 64  # features whose weights travel together
 
 # Buckets of each feature: the classes 1, 2 and 3 places back, the words 1 and 2 places
-# back, and the pair of both.
-BUCKETS = (CLASSES + 1, CLASSES + 1, CLASSES + 1, 1024, 768, 1536)
+# back, and the pair of both. Together 4,096, so that the rows of both tables have numbers
+# of 16 bits, which are sorted in linear time.
+BUCKETS = (CLASSES + 1, CLASSES + 1, CLASSES + 1, 1024, 768, 1533)
 FEATURES = sum(BUCKETS)
 
 _CHUNK = (
@@ -126,12 +127,17 @@ def count_words(stored: DataFrame) -> tuple[DataFrame, Totals]:
     listed = stored.select("chunk", F.posexplode(F.arrays_zip("words", "n_train", "classes")).alias("place", "w")).select(
         "chunk", "place", F.col("w.words").alias("word"), F.col("w.n_train").alias("n"), F.col("w.classes").alias("class")
     )
-    totals = listed.groupBy("word").agg(F.sum("n").alias("c"), F.min("class").alias("class"))
+    totals = listed.groupBy("word").agg(
+        F.sum("n").alias("c"), F.min("class").alias("class"), F.min("chunk").alias("first")
+    )
+    once = F.when((F.col("chunk") == F.col("first")) & (F.col("c") > 0), F.col("class"))
     counts = materialise(
-        listed.select("chunk", "place", "word").join(totals, "word").select("chunk", "place", "c", "class"), "word-counts"
+        listed.select("chunk", "place", "word").join(totals, "word").select("chunk", "place", "c", once.alias("class")),
+        "word-counts",
     )
-    # Each word is counted where it is the only one of its kind: once for all chunks.
-    by_class = totals.where("c > 0").groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
+    # Only in the first chunk that has it does a known word still have its class.
+    named = counts.where(F.col("class").isNotNull())
+    by_class = named.groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
     found = Totals(np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64))
     for row in by_class.collect():
         found.tokens[row["class"]], found.distinct[row["class"]] = row.n, row.v
@@ -179,21 +185,20 @@ def class_logs(w: Weights, prior, found: np.ndarray, cls: np.ndarray) -> tuple[n
     group = cls // GROUPS
     first = np.repeat(prior[0][None, :], len(cls), axis=0)
     second = prior[1][group]
+    part = np.empty_like(first)
     for column in found.T:
-        first += w.group[column]
-        second += w.leaf[column * GROUPS + group]
+        first += np.take(w.group, column, axis=0, out=part, mode="clip")
+        second += np.take(w.leaf, column * GROUPS + group, axis=0, out=part, mode="clip")
     return _log_softmax(first), _log_softmax(second)
 
 
-def _step(table: np.ndarray, rows: np.ndarray, error: np.ndarray, touched: np.ndarray, rate: float) -> None:
-    """Move the rows of a table along the mean error of the tokens that use them."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
+def _move(table: np.ndarray, touched: np.ndarray, rows: np.ndarray, error: np.ndarray, rate: float) -> None:
+    """Move rows of a table along the mean error of the tokens that use them; ``rows`` is sorted."""
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    sums = np.add.reduceat(error[order], starts, axis=0)
     n = np.diff(np.append(starts, len(rows))).astype(np.float32)
-    table[rows[starts]] += rate * sums / (n + DAMPING)[:, None]
-    touched[rows[starts]] += n
+    rows = rows[starts]
+    table[rows] += np.add.reduceat(error, starts, axis=0) * (rate / (n + DAMPING))[:, None]
+    touched[rows] += n
 
 
 def learn(w: Weights, prior, found: np.ndarray, cls: np.ndarray, touched: Weights, rate: float) -> None:
@@ -206,8 +211,11 @@ def learn(w: Weights, prior, found: np.ndarray, cls: np.ndarray, touched: Weight
         first[n, group] += 1
         second[n, y % GROUPS] += 1
         for column in part.T:
-            _step(w.group, column, first, touched.group[:, 0], rate)
-            _step(w.leaf, column * GROUPS + group, second, touched.leaf[:, 0], rate)
+            rows = column * GROUPS + group  # sorted by feature first, so it serves both tables
+            order = np.argsort(rows.astype(np.uint16), kind="stable")
+            rows = rows[order]
+            _move(w.group, touched.group[:, 0], rows // GROUPS, np.take(first, order, axis=0), rate)
+            _move(w.leaf, touched.leaf[:, 0], rows, np.take(second, order, axis=0), rate)
 
 
 def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
