@@ -1,7 +1,13 @@
+import argparse
 import base64
 import os
 import random
+import string
 from collections import Counter
+from pathlib import Path
+
+import pytest
+import zstandard
 
 from scholarweave.llm import quality_rules as Q
 from tests.llm import brute
@@ -48,6 +54,58 @@ def test_hidden_repetition_shows_in_chunks():
     assert ratio > 0.2 and 15 <= outside < chunks and not good
 
 
+def noise(kind, n, rng):
+    tokens = lambda alphabet: " ".join("".join(rng.choices(alphabet, k=8)) for _ in range(n // 8 + 1)).encode()
+    digits = rng.randbytes(n).hex()
+    return {
+        "base64": lambda: base64.encodebytes(rng.randbytes(n)),
+        "printable": lambda: "".join(rng.choices(string.printable[:95], k=n)).encode(),
+        "tokens": lambda: tokens(string.ascii_letters + string.digits),
+        "lower": lambda: tokens(string.ascii_lowercase),
+        "hex lines": lambda: "\n".join(digits[i : i + 64] for i in range(0, len(digits), 64)).encode(),
+        "hex pairs": lambda: rng.randbytes(n).hex(" ").encode(),
+    }[kind]()[:n]
+
+
+FROM = {"base64": 100, "printable": 100, "tokens": 100, "lower": 1024, "hex lines": 1280, "hex pairs": 3072}
+
+
+@pytest.mark.parametrize("kind", FROM)
+def test_noise_of_every_band_is_told(kind):
+    rules, rng, compressor = Q.Rules(), random.Random(kind), zstandard.ZstdCompressor(level=3)
+    least = [b[0] for b in rules.bands if b[0] >= FROM[kind]]
+    sizes = {*least, *(n - 1 for n in least[1:]), 6000, 8192, 10_000, 100_000}
+    kept = {n: sum(Q.compression(noise(kind, n, rng), rules, compressor)[3] for _ in range(20)) for n in sizes}
+    assert all(k <= 2 for k in kept.values()), kept
+
+
+def test_documents_and_code_stay(documents):
+    rules, rng, compressor = Q.Rules(), random.Random(2), zstandard.ZstdCompressor(level=3)
+    code = [Path(m.__file__).read_bytes() for m in (argparse, random, string)]
+    prose = [r.text.encode() for r in documents.collect() if r.text and not brute.base_quality(r.text)[5]]
+    for least in [b[0] for b in rules.bands]:
+        for parts in (code, prose):
+            cuts = []
+            for _ in range(100):
+                part = rng.choice([p for p in parts if len(p) >= least])
+                at = rng.randrange(len(part) - least + 1)
+                cuts.append(part[at : at + least])
+            noisy = [c for c in cuts if not Q.compression(c, rules, compressor)[3] and len(compressor.compress(c)) > 0.4 * len(c)]
+            assert len(noisy) <= 3, (least, len(noisy))
+
+
+def test_two_noisy_chunks_of_a_long_text_and_a_noisy_tail_count(documents):
+    rules, rng, compressor = Q.Rules(), random.Random(4), zstandard.ZstdCompressor(level=3)
+    texts = [r.text for r in documents.collect() if r.text and not brute.base_quality(r.text)[5]]
+    prose = " ".join(dict.fromkeys(texts)).encode()[: 30 * 4096]
+    before, good = Q.compression(prose, rules, compressor)[2:]
+    assert before == 0 and good
+    hidden = prose[: 10 * 4096] + noise("base64", 2 * 4096, rng) + prose[12 * 4096 :]
+    assert Q.compression(hidden, rules, compressor)[2] >= 2 and not Q.compression(hidden, rules, compressor)[3]
+    tail = Q.compression(prose + noise("base64", 3500, rng), rules, compressor)
+    assert tail[1] == 31 and tail[2] == before + 1
+
+
 def test_keep_good_keeps_columns(spark):
     docs = awkward(spark)
     kept = Q.keep_good(docs)
