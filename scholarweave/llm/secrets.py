@@ -2,9 +2,12 @@
 
 Whether a run of characters looks random is decided by two character Markov models, one of
 random strings and one of ordinary identifiers. The logarithm of the ratio of their
-probabilities is summed over the transitions of the run. Both are fitted on labelled
-samples: what the patterns match is random, other runs of a bounded sample of the texts
-are ordinary.
+probabilities is summed over the transitions of the run. A run that does not look random
+as a whole is searched for the stretches with the greatest sums, because names and paths
+stand in one run with the secret behind them; a stretch counts with the letters and
+digits that touch it. What a pattern matches is cut out first, and what is left on either
+side is judged. Both models are fitted on labelled samples: what the patterns match is
+random, other runs of a bounded sample of the texts are ordinary.
 
 Only DataFrame functions are used. A regular expression gives no positions in Spark, but
 splitting by it and extracting its matches walk through the text in the same way, so the
@@ -44,9 +47,12 @@ SAMPLE_DOCUMENTS = 5_000
 SMOOTHING = 0.5
 LEAST_TOTAL = 24.0
 LEAST_PER_CHARACTER = 1.2
+DROP = 8.0  # a stretch ends where its sum has fallen so far below its greatest
 MARK = "[SECRET]"
 
 _CHUNK = 256
+_REACH = 64
+PLACE = "array<struct<start:bigint,end:bigint>>"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -191,16 +197,79 @@ def log_ratio(value: Column, table: list[float]) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.char_length(value)), start, step, lambda acc: acc["sum"])
 
 
+def _looks_random(length: Column, total: Column) -> Column:
+    least = F.greatest(F.lit(LEAST_TOTAL), length * F.lit(LEAST_PER_CHARACTER))
+    return (length >= JUDGED_RUN) & (total >= least)
+
+
+def random_stretches(value: Column, table: list[float]) -> Column:
+    """Places in a string that look random: all of it, or else its stretches.
+
+    A stretch begins where the sum of the ratios was last not positive, and ends at its
+    greatest sum, once the sum is used up or has fallen by DROP.
+    """
+    ratios = F.expr(f"array({', '.join(f'{x!r}D' for x in table)})")
+    code = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))
+    long = lambda n: F.lit(n).cast("bigint")
+    none = F.array().cast(PLACE)
+    first = F.struct(
+        F.lit(0).alias("before"), F.lit(0.0).alias("whole"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"),
+        long(0).alias("start"), long(0).alias("end"), none.alias("found"),
+    )
+
+    def found(acc: Column) -> Column:
+        place = F.struct(acc["start"].alias("start"), acc["end"].alias("end"))
+        good = _looks_random(acc["end"] - acc["start"], acc["best"])
+        return F.when(good, F.concat(acc["found"], F.array(place))).otherwise(acc["found"])
+
+    def add(acc: Column, i: Column, c: Column, ratio: Column) -> Column:
+        now = acc["sum"] + ratio
+        closed = (now <= 0) | (acc["best"] - now > DROP)
+        here = i.cast("bigint")
+        return F.struct(
+            c.alias("before"), (acc["whole"] + ratio).alias("whole"),
+            F.when(closed, 0.0).otherwise(now).alias("sum"),
+            F.when(closed, 0.0).otherwise(F.greatest(acc["best"], now)).alias("best"),
+            F.when(closed, here).otherwise(acc["start"]).alias("start"),
+            F.when(closed | (now > acc["best"]), here).otherwise(acc["end"]).alias("end"),
+            F.when(closed, found(acc)).otherwise(acc["found"]).alias("found"),
+        )
+
+    def step(acc: Column, i: Column) -> Column:
+        return _once(code(i), lambda c: _once(F.get(ratios, acc["before"] * STATES + c), lambda r: add(acc, i, c, r)))
+
+    def touching(s: Column) -> Column:
+        letters = lambda part: F.char_length(F.regexp_extract(part, "^[A-Za-z0-9]*", 0)).cast("bigint")
+        at = F.greatest(s["start"] - _REACH, long(0))
+        before = F.reverse(F.substring(value, (at + 1).cast("int"), (s["start"] - at).cast("int")))
+        behind = F.substring(value, (s["end"] + 1).cast("int"), F.lit(_REACH))
+        return F.struct((s["start"] - letters(before)).alias("start"), (s["end"] + letters(behind)).alias("end"))
+
+    length = F.char_length(value).cast("bigint")
+    all_of_it = F.array(F.struct(long(0).alias("start"), length.alias("end")))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.char_length(value)), first, step,
+        lambda acc: F.when(_looks_random(length, acc["whole"]), all_of_it).otherwise(_merged(F.transform(found(acc), touching))),
+    )
+
+
 def random_spans(text: Column, base: Column, table: list[float]) -> Column:
-    """Spans of runs that look random and touch no base span."""
+    """Spans that look random, in the runs that are left beside the base spans."""
+
+    def blank(merged: Column) -> Column:
+        kept = _between(text, merged)
+        gaps = F.transform(merged, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")))
+        return F.array_join(F.zip_with(kept, gaps, lambda k, g: F.concat(k, F.coalesce(g, F.lit("")))), "")
 
-    def judged(m: Column) -> Column:
-        clear = ~F.exists(base, lambda b: (b["start"] < m["end"]) & (b["end"] > m["start"]))
-        length = m["end"] - m["start"]
-        least = F.greatest(F.lit(LEAST_TOTAL), length * F.lit(LEAST_PER_CHARACTER))
-        return clear & (log_ratio(m["value"], table) >= least)
+    def places(m: Column) -> Column:
+        return F.transform(
+            random_stretches(m["value"], table),
+            lambda s: F.struct((m["start"] + s["start"]).alias("start"), (m["start"] + s["end"]).alias("end")),
+        )
 
-    return _spans(F.filter(located(text, RUN % JUDGED_RUN), judged), len(PATTERNS))
+    rest = F.when(F.size(base) == 0, text).otherwise(_once(_merged(base), blank))
+    runs = _once(rest, lambda t: located(t, RUN % JUDGED_RUN))
+    return _spans(F.flatten(F.transform(runs, places)), len(PATTERNS))
 
 
 def with_spans(df: DataFrame, text: str, base: str, every: str, table: list[float] | None = None) -> DataFrame:
@@ -230,7 +299,7 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 def _merged(spans: Column) -> Column:
     """Sorted spans with those that overlap made one."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    none = F.array().cast(PLACE)
 
     def add(acc: Column, s: Column) -> Column:
         last = F.get(acc, F.size(acc) - 1)
@@ -243,18 +312,22 @@ def _merged(spans: Column) -> Column:
     return F.aggregate(spans, none, add)
 
 
-def redacted(text: Column, spans: Column, mark: str = MARK) -> Column:
-    """The text with every span replaced by ``mark``."""
+def _between(text: Column, merged: Column) -> Column:
+    """The parts of a text before, between and behind merged spans, of which there are some."""
+
+    def before(s: Column, i: Column) -> Column:
+        at = F.when(i > 0, F.get(merged, i - 1)["end"]).otherwise(F.lit(0))
+        return F.substring(text, (at + 1).cast("int"), (s["start"] - at).cast("int"))
 
-    def rebuild(merged: Column) -> Column:
-        def before(s: Column, i: Column) -> Column:
-            at = F.when(i > 0, F.get(merged, i - 1)["end"]).otherwise(F.lit(0))
-            return F.substring(text, (at + 1).cast("int"), (s["start"] - at).cast("int"))
+    end = F.element_at(merged, -1)["end"]
+    rest = F.substring(text, (end + 1).cast("int"), F.char_length(text))
+    return F.concat(F.transform(merged, before), F.array(rest))
 
-        end = F.element_at(merged, -1)["end"]
-        rest = F.substring(text, (end + 1).cast("int"), F.char_length(text))
-        return F.array_join(F.concat(F.transform(merged, before), F.array(rest)), mark)
 
+def redacted(text: Column, spans: Column, mark: str = MARK) -> Column:
+    """The text with every span replaced by ``mark``."""
+
+    rebuild = lambda merged: F.array_join(_between(text, merged), mark)
     return F.when(F.size(spans) == 0, text).otherwise(_once(_merged(spans), rebuild))
 
 
