@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholarweave.llm import (
-    bitsliced, bpe, idfile, licenses, maxent, packing, quality_rules, secrets, simhash, token_counts,
+    bitsliced, bpe, exact_dedup, idfile, licenses, maxent, packing, quality_rules, secrets, simhash, token_counts,
 )
 from scholarweave.workspace import scratch_path
 
@@ -111,3 +111,23 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat_ws("/", "source", level(1000), level(100), number.cast("string")))
     )
     return licenses.scan(table(spark, folder, "documents"), path)
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.find_copies(table(spark, folder, "documents"), digest=True)
+
+
+ORACLES["op13_exact_dedup"] = r"""
+WITH normal AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST) AS place,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM normal
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM numbered
+"""
