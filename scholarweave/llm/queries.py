@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholarweave.llm import (
-    bitsliced, bpe, exact_dedup, idfile, licenses, maxent, packing, quality_rules, secrets, simhash, token_counts,
+    bitsliced, bpe, exact_dedup, hard_negatives, idfile, licenses, maxent, packing, quality_rules, secrets, simhash, token_counts,
 )
 from scholarweave.workspace import scratch_path
 
@@ -131,3 +131,37 @@ WITH normal AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM numbered
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(embeddings.withColumn("label", moved))
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH coded AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS code
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+         CAST(list_dot_product(a.code, v.code) AS BIGINT) AS score
+  FROM coded a JOIN coded v ON a.vec_id <> v.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+   AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
