@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholarweave.llm import (
-    bitsliced, bpe, exact_dedup, hard_negatives, idfile, licenses, maxent, packing, quality_rules, secrets, simhash, token_counts,
+    bitsliced, bpe, exact_dedup, hard_negatives, idfile, licenses, maxent, packing,
+    prefix_trie, quality_rules, secrets, simhash, token_counts,
 )
 from scholarweave.workspace import scratch_path
 
@@ -165,3 +166,9 @@ WITH coded AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
 FROM ranked WHERE rank <= 10
 """
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = prefix_trie.numbered_turns(table(spark, folder, "conversations"))
+    return prefix_trie.trie(*prefix_trie.shared_beginnings(*turns))
