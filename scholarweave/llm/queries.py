@@ -172,3 +172,57 @@ FROM ranked WHERE rank <= 10
 def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = prefix_trie.numbered_turns(table(spark, folder, "conversations"))
     return prefix_trie.trie(*prefix_trie.shared_beginnings(*turns))
+
+
+# The remainder of a crc32 by its bitwise definition; a node is the hash of its path.
+ORACLES["op11_prefix_trie"] = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), lengths AS (
+  SELECT conv_id, count(*) AS length FROM turns GROUP BY conv_id
+), digits AS (
+  SELECT conv_id, [ord(x) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')] AS codes, 1 AS i, CAST(4294967295 AS BIGINT) AS crc
+  FROM lengths
+  UNION ALL
+  SELECT conv_id, codes, i + 1,
+    list_reduce([xor(crc, codes[i])] || [CAST(0 AS BIGINT) FOR b IN range(8)],
+      LAMBDA c, b: xor(c >> 1, (c & 1) * 3988292384))
+  FROM digits WHERE i <= len(codes)
+), plans AS (
+  SELECT d.conv_id, xor(d.crc, 4294967295) % 9 AS wanted, d.conv_id - d.conv_id % 5 AS base
+  FROM digits d WHERE d.i = len(d.codes) + 1
+), taken AS (
+  SELECT p.*, least(p.wanted, coalesce(l.length, 0)) AS taken FROM plans p LEFT JOIN lengths l ON l.conv_id = p.base
+), rebuilt AS (
+  SELECT p.conv_id, t.place, t.role, t.text FROM taken p JOIN turns t ON t.conv_id = p.base AND t.place <= p.wanted
+  UNION ALL
+  SELECT p.conv_id, t.place - p.wanted + p.taken, t.role, t.text FROM taken p JOIN turns t ON t.conv_id = p.conv_id AND t.place > p.wanted
+), digested AS (
+  SELECT conv_id, place, strlen(text) AS bytes, sha256(len(role) || ':' || role || text) AS digest FROM rebuilt
+), sized AS (
+  SELECT l.conv_id, count(d.place) AS length FROM lengths l LEFT JOIN digested d ON d.conv_id = l.conv_id GROUP BY l.conv_id
+), steps AS (
+  SELECT conv_id, 0 AS depth, '' AS node, CAST(NULL AS VARCHAR) AS parent, CAST(0 AS BIGINT) AS bytes FROM lengths
+  UNION ALL
+  SELECT s.conv_id, s.depth + 1, sha256(s.node || d.digest), s.node, d.bytes
+  FROM steps s JOIN digested d ON d.conv_id = s.conv_id AND d.place = s.depth + 1
+), nodes AS (
+  SELECT node, depth, min(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ended) AS ends
+  FROM (SELECT s.*, z.length = s.depth AS ended FROM steps s JOIN sized z USING (conv_id))
+  GROUP BY node, depth
+), children AS (
+  SELECT parent, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent
+), counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.parent = n.node
+), totals AS (
+  SELECT a.node, count(*) FILTER (WHERE c.n_children = 0) AS n_leaves, sum((c.n_convs - 1) * c.bytes) AS saved
+  FROM counted c JOIN steps a ON a.conv_id = c.conv_id AND a.depth <= c.depth
+  GROUP BY a.node
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, t.n_leaves,
+       CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(c.ends, '')) AS ends_sha256
+FROM counted c JOIN totals t ON t.node = c.node LEFT JOIN nodes p ON p.node = c.parent
+"""

@@ -51,31 +51,47 @@ DROP = 8.0  # a stretch ends where its sum has fallen so far below its greatest
 MARK = "[SECRET]"
 
 _CHUNK = 256
-_REACH = 64
 PLACE = "array<struct<start:bigint,end:bigint>>"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def _sums_short(lengths: Column) -> Column:
-    """0 and the running sums of an array; each step copies what it has."""
+def _scan_short(values: Column, step, zero: Column) -> Column:
+    """``zero`` and the running results of ``step`` over an array; each step copies what it has."""
     return F.aggregate(
-        lengths, F.array(F.lit(0).cast("bigint")),
-        lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
+        values, F.array(zero), lambda acc, x: F.concat(acc, F.array(step(F.element_at(acc, -1), x)))
     )
 
 
+def _chunk(values: Column) -> Column:
+    """Elements worked on at once: enough that there are not more chunks than elements in one."""
+    return F.greatest(F.lit(_CHUNK), F.ceil(F.sqrt(F.size(values))).cast("int"))
+
+
+def running(values: Column, step, zero: Column) -> Column:
+    """For each element the result of the associative ``step`` over those before it.
+
+    A step copies what it has, so arrays are cut into chunks and the results of whole chunks
+    are carried over. Everything used twice is computed once: an expression inside a lambda
+    function is evaluated for every element.
+    """
+
+    def pieces_of(values: Column) -> Column:
+        return _once(_chunk(values), lambda size: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), size),
+            lambda at: _scan_short(F.slice(values, at + 1, size), step, zero),
+        ))
+
+    def joined(pieces: Column) -> Column:
+        bases = _scan_short(F.transform(pieces, lambda p: F.element_at(p, -1)), step, zero)
+        one = lambda p, base: F.transform(F.slice(p, 1, F.size(p) - 1), lambda x: step(base, x))
+        return F.flatten(F.zip_with(pieces, F.slice(bases, 1, F.size(pieces)), one))
+
+    return _once(values, lambda v: _once(pieces_of(v), joined))
+
+
 def running_sums(lengths: Column) -> Column:
-    """Sums of the elements before each element. In two levels, so that very long arrays
-    do not cost the square of their length."""
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(lengths) - 1, F.lit(0)).cast("int"), F.lit(_CHUNK)),
-        lambda at: _sums_short(F.slice(lengths, at + 1, _CHUNK)),
-    )
-    inside = F.transform(pieces, lambda p: F.slice(p, 1, F.size(p) - 1))
-    bases = _sums_short(F.transform(pieces, lambda p: F.element_at(p, -1)))
-    return F.flatten(
-        F.transform(inside, lambda p, i: F.transform(p, lambda x: x + F.element_at(bases, i + 1)))
-    )
+    """Sums of the elements before each element."""
+    return running(lengths, lambda a, b: a + b, F.lit(0).cast("bigint"))
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -86,6 +102,9 @@ def located(text: Column, pattern: str) -> Column:
     def place(found: Column) -> Column:
         # Before match i stand the parts 0 to i and the matches 0 to i - 1.
         parts = F.slice(lengths(F.split(text, pattern, -1)), 1, F.size(found))
+        return _once(parts, lambda p: from_parts(found, p))
+
+    def from_parts(found: Column, parts: Column) -> Column:
         ends = running_sums(F.zip_with(parts, lengths(found), lambda p, m: p + m))
         starts = F.zip_with(ends, parts, lambda e, p: e + p)
         return F.zip_with(
@@ -165,14 +184,15 @@ def labelled_samples(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> tuple[D
     """Labelled strings of a table (doc_id, text).
 
     Random: the values that the patterns match, in all texts. Ordinary: all other runs in
-    about ``sample`` texts, chosen by a hash of the text.
+    ``sample`` different texts, those with the smallest hashes; copies count once.
     """
     text = F.col("text")
     assigned = F.filter(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(1)), lambda v: F.char_length(v) >= ASSIGNED_CHARACTERS)
     others = [F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(0)) for k in ("access", "hex")]
     random = docs.select(F.explode(F.concat(assigned, *others)).alias("s"))
-    every = max(1, docs.count() // sample)
-    chosen = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+    hashed = docs.withColumn("_h", F.xxhash64("text"))
+    last = hashed.select("_h").distinct().orderBy("_h").limit(sample).agg(F.max("_h")).first()[0]
+    chosen = hashed.where(F.col("_h") <= F.lit(last)).dropDuplicates(["_h"]).select("text")
     rest = text
     for pattern in PATTERNS.values():
         rest = F.regexp_replace(rest, pattern, " ")
@@ -183,18 +203,17 @@ def labelled_samples(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> tuple[D
 def log_ratio(value: Column, table: list[float]) -> Column:
     """Sum of the ratios over a string's transitions."""
     ratios = F.expr(f"array({', '.join(f'{x!r}D' for x in table)})")
-    code = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))
     start = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("sum"))
 
-    def step(acc: Column, i: Column) -> Column:
+    def step(acc: Column, character: Column) -> Column:
         return _once(
-            code(i),
+            F.instr(F.lit(ALPHABET), character),
             lambda c: F.struct(
                 c.alias("before"), (acc["sum"] + F.get(ratios, acc["before"] * STATES + c)).alias("sum")
             ),
         )
 
-    return F.aggregate(F.sequence(F.lit(1), F.char_length(value)), start, step, lambda acc: acc["sum"])
+    return F.aggregate(F.split(value, ""), start, step, lambda acc: acc["sum"])
 
 
 def _looks_random(length: Column, total: Column) -> Column:
@@ -209,11 +228,10 @@ def random_stretches(value: Column, table: list[float]) -> Column:
     greatest sum, once the sum is used up or has fallen by DROP.
     """
     ratios = F.expr(f"array({', '.join(f'{x!r}D' for x in table)})")
-    code = lambda at: F.instr(F.lit(ALPHABET), F.substring(value, at, F.lit(1)))
     long = lambda n: F.lit(n).cast("bigint")
     none = F.array().cast(PLACE)
     first = F.struct(
-        F.lit(0).alias("before"), F.lit(0.0).alias("whole"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"),
+        F.lit(0).alias("before"), long(0).alias("at"), F.lit(0.0).alias("whole"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"),
         long(0).alias("start"), long(0).alias("end"), none.alias("found"),
     )
 
@@ -222,12 +240,12 @@ def random_stretches(value: Column, table: list[float]) -> Column:
         good = _looks_random(acc["end"] - acc["start"], acc["best"])
         return F.when(good, F.concat(acc["found"], F.array(place))).otherwise(acc["found"])
 
-    def add(acc: Column, i: Column, c: Column, ratio: Column) -> Column:
+    def add(acc: Column, c: Column, ratio: Column) -> Column:
         now = acc["sum"] + ratio
         closed = (now <= 0) | (acc["best"] - now > DROP)
-        here = i.cast("bigint")
+        here = acc["at"] + 1
         return F.struct(
-            c.alias("before"), (acc["whole"] + ratio).alias("whole"),
+            c.alias("before"), here.alias("at"), (acc["whole"] + ratio).alias("whole"),
             F.when(closed, 0.0).otherwise(now).alias("sum"),
             F.when(closed, 0.0).otherwise(F.greatest(acc["best"], now)).alias("best"),
             F.when(closed, here).otherwise(acc["start"]).alias("start"),
@@ -235,31 +253,48 @@ def random_stretches(value: Column, table: list[float]) -> Column:
             F.when(closed, found(acc)).otherwise(acc["found"]).alias("found"),
         )
 
-    def step(acc: Column, i: Column) -> Column:
-        return _once(code(i), lambda c: _once(F.get(ratios, acc["before"] * STATES + c), lambda r: add(acc, i, c, r)))
-
-    def touching(s: Column) -> Column:
-        letters = lambda part: F.char_length(F.regexp_extract(part, "^[A-Za-z0-9]*", 0)).cast("bigint")
-        at = F.greatest(s["start"] - _REACH, long(0))
-        before = F.reverse(F.substring(value, (at + 1).cast("int"), (s["start"] - at).cast("int")))
-        behind = F.substring(value, (s["end"] + 1).cast("int"), F.lit(_REACH))
-        return F.struct((s["start"] - letters(before)).alias("start"), (s["end"] + letters(behind)).alias("end"))
+    def step(acc: Column, character: Column) -> Column:
+        code = F.instr(F.lit(ALPHABET), character)
+        return _once(code, lambda c: _once(F.get(ratios, acc["before"] * STATES + c), lambda r: add(acc, c, r)))
 
     length = F.char_length(value).cast("bigint")
     all_of_it = F.array(F.struct(long(0).alias("start"), length.alias("end")))
     return F.aggregate(
-        F.sequence(F.lit(1), F.char_length(value)), first, step,
-        lambda acc: F.when(_looks_random(length, acc["whole"]), all_of_it).otherwise(_merged(F.transform(found(acc), touching))),
+        F.split(value, ""), first, step,
+        lambda acc: F.when(_looks_random(length, acc["whole"]), all_of_it).otherwise(_once(found(acc), lambda f: _widened(value, f))),
     )
 
 
-def random_spans(text: Column, base: Column, table: list[float]) -> Column:
-    """Spans that look random, in the runs that are left beside the base spans."""
+def _widened(value: Column, found: Column) -> Column:
+    """Stretches with the letters and digits that touch them, those that meet made one."""
+    letters = lambda part: F.char_length(F.regexp_extract(part, "^[A-Za-z0-9]*", 0)).cast("bigint")
+
+    def grown(gaps: Column) -> Column:
+        count = F.size(found)
+        edges = F.zip_with(
+            F.slice(gaps, 1, count), F.slice(gaps, 2, count),
+            lambda before, behind: F.struct(letters(F.reverse(before)).alias("before"), letters(behind).alias("behind")),
+        )
+        wide = F.zip_with(
+            found, edges, lambda s, e: F.struct((s["start"] - e["before"]).alias("start"), (s["end"] + e["behind"]).alias("end"))
+        )
+        return _once(wide, _merged)
+
+    return F.when(F.size(found) == 0, found).otherwise(_once(_between(value, found), grown))
+
+
+def without(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of some spans."""
 
     def blank(merged: Column) -> Column:
-        kept = _between(text, merged)
         gaps = F.transform(merged, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")))
-        return F.array_join(F.zip_with(kept, gaps, lambda k, g: F.concat(k, F.coalesce(g, F.lit("")))), "")
+        return F.array_join(F.zip_with(_between(text, merged), gaps, lambda k, g: F.concat(k, F.coalesce(g, F.lit("")))), "")
+
+    return F.when(F.size(spans) == 0, text).otherwise(_once(_merged(spans), blank))
+
+
+def random_spans(runs: Column, table: list[float]) -> Column:
+    """Spans that look random in some runs, as :func:`located` gives them."""
 
     def places(m: Column) -> Column:
         return F.transform(
@@ -267,8 +302,6 @@ def random_spans(text: Column, base: Column, table: list[float]) -> Column:
             lambda s: F.struct((m["start"] + s["start"]).alias("start"), (m["start"] + s["end"]).alias("end")),
         )
 
-    rest = F.when(F.size(base) == 0, text).otherwise(_once(_merged(base), blank))
-    runs = _once(rest, lambda t: located(t, RUN % JUDGED_RUN))
     return _spans(F.flatten(F.transform(runs, places)), len(PATTERNS))
 
 
@@ -277,12 +310,21 @@ def with_spans(df: DataFrame, text: str, base: str, every: str, table: list[floa
     filled = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     if table is None:
         table = fit(*labelled_samples(df.select(filled.alias("text"))))
-    first = df.withColumn(base, base_spans(filled))
-    return first.withColumn(
-        every, F.array_sort(F.concat(F.col(f"`{base}`"), random_spans(filled, F.col(f"`{base}`"), table)))
+    # One step a column: Spark resolves nested lambda functions one level in each of its passes.
+    found, rest = (_spare(df, c) for c in ("runs", "rest"))
+    return (
+        df.withColumn(base, base_spans(filled))
+        .withColumn(rest, without(filled, F.col(f"`{base}`")))
+        .withColumn(found, _once(F.col(f"`{rest}`"), lambda t: located(t, RUN % JUDGED_RUN)))
+        .withColumn(every, F.array_sort(F.concat(F.col(f"`{base}`"), random_spans(F.col(f"`{found}`"), table))))
+        .drop(found, rest)
     )
 
 
+def _spare(df: DataFrame, name: str) -> str:
+    return name if name not in df.columns else _spare(df, name + "_")
+
+
 def _written(spans: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in [*PATTERNS, "random"]])
     one = lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))
@@ -298,30 +340,42 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def _merged(spans: Column) -> Column:
-    """Sorted spans with those that overlap made one."""
-    none = F.array().cast(PLACE)
+    """Sorted spans with those that overlap made one; ``spans`` is computed once by the caller."""
+    reached = running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), F.lit(-1).cast("bigint"))
+    marked = F.zip_with(spans, reached, lambda s, r: F.struct(s["start"].alias("start"), r.alias("reached")))
+    # A span that begins where all before it have ended starts a new one, and ends the last.
+    firsts = F.filter(marked, lambda m: m["start"] >= m["reached"])
 
-    def add(acc: Column, s: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        new = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when(
-            (F.size(acc) > 0) & (s["start"] < last["end"]), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))
-        ).otherwise(F.concat(acc, F.array(new)))
+    def closed(firsts: Column) -> Column:
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        ends = F.concat(F.slice(F.transform(firsts, lambda m: m["reached"]), 2, F.size(firsts)), F.array(last))
+        return F.zip_with(firsts, ends, lambda m, e: F.struct(m["start"].alias("start"), e.alias("end")))
 
-    return F.aggregate(spans, none, add)
+    none = F.array().cast(PLACE)
+    return F.when(F.size(spans) == 0, none).otherwise(_once(firsts, closed))
 
 
 def _between(text: Column, merged: Column) -> Column:
     """The parts of a text before, between and behind merged spans, of which there are some."""
+    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(merged, lambda s: s["end"]))
+    ends = F.concat(F.transform(merged, lambda s: s["start"]), F.array(F.char_length(text).cast("bigint")))
+    cuts = F.zip_with(begins, ends, lambda b, e: F.struct(b.alias("start"), e.alias("end")))
+    return _once(cuts, lambda c: _parts(text, c))
+
+
+def _parts(text: Column, cuts: Column) -> Column:
+    """The given parts of a text, in order. To find a place, Spark walks through the text from
+    its start, so many parts are taken from pieces of the text."""
+    part = lambda t, c, base: F.substring(t, (c["start"] - base + 1).cast("int"), (c["end"] - c["start"]).cast("int"))
 
-    def before(s: Column, i: Column) -> Column:
-        at = F.when(i > 0, F.get(merged, i - 1)["end"]).otherwise(F.lit(0))
-        return F.substring(text, (at + 1).cast("int"), (s["start"] - at).cast("int"))
+    def piece(few: Column) -> Column:
+        whole = F.struct(F.element_at(few, 1)["start"].alias("start"), F.element_at(few, -1)["end"].alias("end"))
+        body = part(text, whole, F.lit(0).cast("bigint"))
+        return _once(F.struct(body.alias("text"), whole["start"].alias("base")), lambda p: F.transform(few, lambda c: part(p["text"], c, p["base"])))
 
-    end = F.element_at(merged, -1)["end"]
-    rest = F.substring(text, (end + 1).cast("int"), F.char_length(text))
-    return F.concat(F.transform(merged, before), F.array(rest))
+    size = _chunk(cuts)
+    starts = F.sequence(F.lit(0), F.size(cuts) - 1, size)
+    return F.flatten(F.transform(starts, lambda at: _once(F.slice(cuts, at + 1, size), piece)))
 
 
 def redacted(text: Column, spans: Column, mark: str = MARK) -> Column:
@@ -333,8 +387,7 @@ def redacted(text: Column, spans: Column, mark: str = MARK) -> Column:
 
 def redact(df: DataFrame, text: str = "text", size: str | None = "n_chars", mark: str = MARK) -> DataFrame:
     """``df`` with every secret in ``text`` replaced; ``size`` names its column of code points, if any."""
-    spare = lambda name: name if name not in df.columns else spare(name + "_")
-    base, every, new = spare("base"), spare("every"), spare("redacted")
+    base, every, new = (_spare(df, c) for c in ("base", "every", "redacted"))
     found = with_spans(df, text, base, every)
     found = found.withColumn(new, redacted(F.col(f"`{text}`"), F.col(f"`{every}`"), mark))
     changed = {text: F.col(f"`{new}`")}

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check_oracles import compare
+from scholarweave.llm import queries as llm
 from tests.llm import brute
 from tests.llm.conftest import SMALL
 from tests.llm.test_tokens import check_packing
@@ -59,12 +60,13 @@ def test_stages_of_an_empty_table(spark, documents):
 
 def test_queries_are_registered():
     names = [n for n in contract.queries() if n.startswith("op") and n[2].isdigit() or n == "pipeline"]
-    assert sorted(n.split("_")[0] for n in names) == sorted(["pipeline", *(f"op{i}" for i in range(1, 11))])
+    assert sorted(n.split("_")[0] for n in names) == sorted(["pipeline", *(f"op{i}" for i in range(1, 14))])
 
 
-@pytest.mark.parametrize("name", ["op6_bit_sliced"])
+@pytest.mark.parametrize("name", sorted(llm.ORACLES))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SMALL}/embeddings.parquet'")
+    for table in ("conversations", "documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     ok, note = compare(spark, con, SMALL, name, forbidden=())
     assert ok, note
