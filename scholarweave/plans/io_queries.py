@@ -27,7 +27,7 @@ def csv_roundtrip(t):
     path = scratch_path(t.spark, "csv")
     rows = line_records(t)
     tables.write_csv(rows, path)
-    back = tables.read_csv(t.spark, path, rows.schema)
+    back = tables.read_csv(t.spark, path, rows.schema, one_line=True)
     return tables.present_counts(back, FUNNEL_COLUMNS)
 
 
@@ -40,7 +40,7 @@ SELECT doc_id, md5(text) AS digest, lang FROM documents
 def csv_quoting(t):
     path = scratch_path(t.spark, "quoted")
     tables.write_csv(t.documents.select("doc_id", "text", "lang"), path)
-    back = tables.read_csv_text(t.spark, path, multiline=True)
+    back = tables.read_csv_text(t.spark, path)
     return back.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("digest"), "lang"
     )
@@ -106,7 +106,7 @@ def matrix_file(t):
     path = scratch_path(t.spark, "matrix")
     matrix = frequency.topic_by_year(order_pairs(t))
     tables.write_matrix(matrix, path)
-    return tables.read_csv(t.spark, path, matrix.schema)
+    return tables.read_csv(t.spark, path, matrix.schema, one_line=True)
 
 
 @query(

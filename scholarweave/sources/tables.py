@@ -7,30 +7,44 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from scholarweave.functions.predicates import is_present
+from scholarweave.sources import csv_records
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType, one_line: bool = False
 ) -> DataFrame:
     """CSV with a header and a given schema: no pass over the data to guess types.
 
-    With ``multiline`` quoted fields may span lines. Spark then cannot split a file
-    and reads each one in a single task, so it is off unless the records need it.
+    Quoted fields may span lines, and files are split all the same. ``one_line`` says that
+    no field does: Spark's own reader then takes each line for a record, which tears those
+    that are not one line, and saves the pass that looks for quotes.
     """
-    return _csv(spark, multiline).schema(schema).csv(path)
+    if one_line:
+        return _csv(spark).schema(schema).csv(path)
+    return csv_records.parsed(csv_records.csv_records(spark, path), _ddl(schema))
 
 
-def read_csv_text(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """CSV with every column as text; only the header is looked at beforehand."""
-    return _csv(spark, multiline).option("inferSchema", False).csv(path)
+def read_csv_text(
+    spark: SparkSession, path: str, one_line: bool = False, states: csv_records.QuoteStates | None = None
+) -> DataFrame:
+    """CSV with every column as text, named by the header as Spark names columns."""
+    # Of the file only the first record is read here, line breaks in it included.
+    named = _csv(spark).option("inferSchema", False).option("multiLine", not one_line).csv(path)
+    if one_line:
+        return named
+    return csv_records.parsed(csv_records.csv_records(spark, path, states=states), _ddl(named.schema))
+
 
+def _ddl(schema: str | T.StructType) -> str:
+    if isinstance(schema, str):
+        return schema
+    quoted = lambda name: "`" + name.replace("`", "``") + "`"
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
 
-def _csv(spark: SparkSession, multiline: bool):
+
+def _csv(spark: SparkSession):
     # Quotes inside fields are doubled.
-    return (
-        spark.read.option("header", True).option("multiLine", multiline)
-        .option("quote", '"').option("escape", '"')
-    )
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"')
 
 
 def list_paths(spark: SparkSession, pattern: str) -> list[str]:
@@ -42,13 +56,15 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in (found or []))
 
 
-def read_group_files(spark: SparkSession, pattern: str, multiline: bool = False) -> list[DataFrame]:
+def read_group_files(spark: SparkSession, pattern: str, one_line: bool = False) -> list[DataFrame]:
     """One frame per file matching ``pattern``, since their headers differ.
 
     Files that are not there simply do not match. Frames stay separate until
-    each has been harmonised.
+    each has been harmonised; quotes are looked for in all files at once.
     """
-    return [read_csv_text(spark, path, multiline) for path in list_paths(spark, pattern)]
+    paths = list_paths(spark, pattern)
+    states = csv_records.QuoteStates(spark, paths) if paths and not one_line else None
+    return [read_csv_text(spark, path, one_line, states) for path in paths]
 
 
 def read_done_keys(spark: SparkSession, sink: str, key: Column | str) -> DataFrame | None:
