@@ -307,10 +307,10 @@ def first_employment(employments: Column) -> Column:
 # --- articles --------------------------------------------------------------
 
 
-def article_fields(articleset: Column) -> Column:
-    """Flat struct of the first parsed article; null parts stay null.
+def article_fields(articleset: Column, body: ColumnOrName) -> Column:
+    """Flat struct of the first parsed article of a guarded body; null parts stay null.
 
-    The abstract is all paragraphs of all abstracts, those of sections included, and
+    The abstract is all paragraphs of all abstracts, wherever they stand in them, and
     the author is the first one of all groups of contributors.
     """
     article = F.get(articleset["article"], F.lit(0))
@@ -323,7 +323,7 @@ def article_fields(articleset: Column) -> Column:
     date = F.try_element_at(dates, F.lit(1))
     return F.struct(
         plain(meta["title-group"]["article-title"]).alias("title"),
-        plain(F.nullif(F.array_join(_paragraphs(meta["abstract"], schemas.ABSTRACT_DEPTH), " "), F.lit(""))).alias("abstract"),
+        F.when(article.isNotNull(), once(paragraphs_below(first_element(body, "article"), "abstract"), lambda t: F.nullif(t, F.lit("")))).alias("abstract"),
         date["year"].alias("year"),
         date["month"].alias("month"),
         meta["volume"].alias("volume"),
@@ -336,15 +336,46 @@ def article_fields(articleset: Column) -> Column:
     )
 
 
-def _paragraphs(sections: Column, depth: int) -> Column:
-    """Paragraphs of sections and of the sections in them, each section's own first."""
-    none = F.array().cast("array<string>")
-    own = lambda s: F.coalesce(s["p"], none)
-    if not depth:
-        return F.flatten(F.transform(sections, own))
-    return F.flatten(
-        F.transform(sections, lambda s: F.concat(own(s), F.coalesce(_paragraphs(s["sec"], depth - 1), none)))
-    )
+# Attributes of a tag; their values may hold angle brackets.
+_ATTRIBUTES = r"""(?:\s(?:[^<>"']++|"[^"]*"|'[^']*')*+)?"""
+# Stand for the begin and the end of a paragraph while other tags are removed.
+_BEGIN, _END = "\ue002", "\ue003"
+
+
+def first_element(xml: ColumnOrName, name: str) -> Column:
+    """Text of the first element of a name, its tags included; elements of one name inside each
+    other are not looked for."""
+    return F.regexp_extract(col(xml), f"(?s)<{name}{_ATTRIBUTES}(?<!/)>.*?</{name}\\s*>", 0)
+
+
+def paragraphs_below(xml: ColumnOrName, name: str, paragraph: str = "p") -> Column:
+    """Text of all paragraphs at any depth below the elements ``name``, joined by spaces.
+
+    Paragraphs may stand in sections, lists, boxes, quotations or other paragraphs. Text
+    outside paragraphs, as of headings, is left out; that of tags inside them is kept. The
+    document is a well-formed one whose escaped angle brackets are guarded.
+    """
+    inside = F.regexp_extract_all(
+        F.regexp_replace(col(xml), r"(?s)<!--.*?-->|<\?.*?\?>", ""),
+        F.lit(f"(?s)<{name}{_ATTRIBUTES}(?<!/)>(.*?)</{name}\\s*>"), F.lit(1),
+    )
+    marked = F.array_join(inside, " ")
+    for pattern, mark in (
+        (f"<{paragraph}(?:/|{_ATTRIBUTES}(?<=/))>", ""), (f"<{paragraph}{_ATTRIBUTES}>", _BEGIN), (f"</{paragraph}\\s*>", _END),
+    ):
+        marked = F.regexp_replace(marked, pattern, mark)
+    tokens = F.split(plain_tags(marked), f"(?<=[{_BEGIN}{_END}])|(?=[{_BEGIN}{_END}])")
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(acc: Column, token: Column) -> Column:
+        depth = acc["depth"] + F.when(token == _BEGIN, 1).when(token == _END, -1).otherwise(0)
+        text = (acc["depth"] > 0) & ~token.isin(_BEGIN, _END) & (F.trim(token) != "")
+        return F.struct(depth.alias("depth"), F.when(text, F.concat(acc["kept"], F.array(token))).otherwise(acc["kept"]).alias("kept"))
+
+    kept = F.aggregate(tokens, start, step, lambda acc: F.array_join(acc["kept"], " "))
+    # Parsed once more, as text of one element, for its entities and character references.
+    text = F.from_xml(F.concat(F.lit("<r><t>"), kept, F.lit("</t></r>")), "t string", {"mode": "PERMISSIVE"})["t"]
+    return F.when(F.size(inside) > 0, F.translate(text, _LESS + _GREATER, "<>"))
 
 
 def _without_label(c: Column) -> Column:
@@ -362,7 +393,12 @@ def guarded(body: ColumnOrName) -> Column:
 
 def plain(c: ColumnOrName) -> Column:
     """Text of an element of a guarded body without the inline tags inside it."""
-    return F.translate(F.regexp_replace(col(c), r"</?[A-Za-z][^<>]*>", ""), _LESS + _GREATER, "<>")
+    return F.translate(plain_tags(c), _LESS + _GREATER, "<>")
+
+
+def plain_tags(c: ColumnOrName) -> Column:
+    """Text without tags, still guarded."""
+    return F.regexp_replace(col(c), r"</?[A-Za-z][^<>]*>", "")
 
 
 def search_hit(result: Column) -> Column:

@@ -69,12 +69,13 @@ def _xml_escape(c):
 def landed_articles(t):
     """Documents as article XML in the forms that articles come in.
 
-    By length the abstract is plain, in nested sections or one of two, the author stands
-    in the second group of contributors or has a labelled affiliation, or another article
-    follows. Titles have inline tags and escaped brackets. Spanish ones are cut off
-    before the end.
+    By length the abstract is plain, in sections inside each other, one of two, or its
+    paragraphs stand in a list, a box or a quotation, the author stands in the second
+    group of contributors or has a labelled affiliation, or another article follows.
+    Titles have inline tags and escaped brackets. Spanish ones are cut off before the end.
     """
-    form = F.col("n_chars") % 6
+    form = F.col("n_chars") % 10
+    around = lambda before, every, behind: F.concat(F.lit(f"<abstract>{before}"), every, F.lit(f"{behind}</abstract>"))
     paragraphs = F.transform(F.split("text", "\n"), lambda p: F.concat(F.lit("<p>"), _xml_escape(p), F.lit("</p>")))
     every = F.array_join(paragraphs, "")
     abstract = (
@@ -86,7 +87,11 @@ def landed_articles(t):
                 F.array_join(F.slice(paragraphs, 2, F.greatest(F.size(paragraphs), F.lit(1))), ""), F.lit("</abstract>"),
             ),
         )
-        .otherwise(F.concat(F.lit("<abstract>"), every, F.lit("</abstract>")))
+        .when(form == 6, around("<sec><title>Aim</title>" + "<sec>" * 4, every, "</sec>" * 5))
+        .when(form == 7, around("<list>", F.array_join(F.transform(paragraphs, lambda p: F.concat(F.lit("<list-item>"), p, F.lit("</list-item>"))), ""), "</list>"))
+        .when(form == 8, around("<boxed-text><label>1</label>", F.replace(F.replace(every, F.lit("<p>"), F.lit("<p content-type='a'><b>")), F.lit("</p>"), F.lit("</b></p>")), "</boxed-text>"))
+        .when(form == 9, around("<p>Said: <disp-quote>", every, "</disp-quote></p>"))
+        .otherwise(around("", every, ""))
     )
     place = F.when(form == 4, F.concat(F.lit("<aff><label>1</label>Univ <b>"), F.col("source"), F.lit("</b></aff>"))).otherwise("")
     body = F.concat(
@@ -115,7 +120,7 @@ WITH d AS (SELECT *, 'On ' || {TITLE_SQL} || ' p <x and y> z' AS title, replace(
   CAST(n_chars % 40 + 1980 AS VARCHAR) AS y FROM documents WHERE lang <> 'es')
 SELECT CAST(doc_id AS VARCHAR) AS "ProjID", 'Completed' AS "ProjectStatus",
   CASE WHEN contains(lower(title), 'fsrdc') THEN title ELSE 'FSRDC Project' END AS "ProjectTitle",
-  CASE WHEN n_chars % 6 = 4 THEN 'Univ ' || source END AS "ProjectRDC", y AS "ProjectYearStarted", y AS "ProjectYearEnded", 'Ann ' || lang AS "ProjectPI",
+  CASE WHEN n_chars % 10 = 4 THEN 'Univ ' || source END AS "ProjectRDC", y AS "ProjectYearStarted", y AS "ProjectYearEnded", 'Ann ' || lang AS "ProjectPI",
   title AS "OutputTitle",
   CASE WHEN n_chars % 2 = 0 THEN 'Annals of ' || source || ', Vol ' || doc_id || ', Iss 3, pp. 1-' || n_chars END AS "OutputBiblio",
   'JA' AS "OutputType", 'PB' AS "OutputStatus", 'Annals of ' || source AS "OutputVenue", y AS "OutputYear", '11' AS "OutputMonth",

@@ -16,8 +16,9 @@ def article_records(landed: DataFrame, number: str) -> DataFrame:
     ``number`` is the column that numbers the input.
     """
     a = F.col("a")
-    sets = parsed_once(landed.select(number, "body"), "_set", parse_xml(biblio.guarded("body"), schemas.PMC_ARTICLESET))
-    parsed = parsed_once(sets, "a", biblio.article_fields(F.col("_set"))).where(
+    guarded = parsed_once(landed.select(number, "body"), "_body", biblio.guarded("body"))
+    sets = parsed_once(guarded, "_set", parse_xml("_body", schemas.PMC_ARTICLESET))
+    parsed = parsed_once(sets, "a", biblio.article_fields(F.col("_set"), "_body")).where(
         predicates.is_related_article(a["title"], a["abstract"])
     )
     return harmonise.conform(

@@ -62,21 +62,11 @@ CROSSREF_MESSAGE = (
 
 ESEARCH_RESULT = "Count int, IdList struct<Id:array<string>>"
 
-# Sections of an abstract: paragraphs, and sections to this depth inside each other.
-ABSTRACT_DEPTH = 3
-
-
-def _section(depth: int) -> str:
-    inner = f",sec:array<{_section(depth - 1)}>" if depth else ""
-    return f"struct<p:array<string>{inner}>"
-
-
 PMC_ARTICLESET = (
     "article array<struct<`_article-type`:string, front:struct<"
     "`journal-meta`:struct<`journal-title-group`:struct<`journal-title`:string>>,"
     "`article-meta`:struct<"
     "`title-group`:struct<`article-title`:string>,"
-    f"`abstract`:array<{_section(ABSTRACT_DEPTH)}>,"
     "`contrib-group`:array<struct<contrib:array<struct<`_contrib-type`:string,"
     "name:struct<surname:string,`given-names`:string>,aff:array<string>>>>>,"
     "`pub-date`:array<struct<`_date-type`:string,year:string,month:string>>,"

@@ -23,7 +23,7 @@ def articles(spark, *bodies):
 
 def test_malformed_xml_is_dropped_and_the_job_goes_on(spark):
     good = ARTICLE.format(title="Census Bureau wages", abstract="x")
-    assert set(articles(spark, "<notvalid><unclosed>", good, None, "text")) == {"1"}
+    assert set(articles(spark, "<article><front>", good, None, "text")) == {"1"}
 
 
 def test_unrelated_article_is_dropped(spark):
@@ -42,6 +42,11 @@ def test_article_fields(spark):
 
 FORMS = {
     "sections": ("<abstract><p>x</p></abstract>", "<abstract><sec><title>A</title><p>one</p><sec><p>Census Bureau data</p></sec></sec><sec><p>two</p></sec></abstract>"),
+    "fifth level": ("<abstract><p>x</p></abstract>", "<abstract>" + "<sec>" * 5 + "<p>Census Bureau data</p>" + "</sec>" * 5 + "</abstract>"),
+    "list": ("<abstract><p>x</p></abstract>", "<abstract><list><list-item><p>of <i>Census</i> Bureau</p></list-item></list></abstract>"),
+    "box": ("<abstract><p>x</p></abstract>", "<abstract id='a>b'><boxed-text><p id=\"1\">Census &#66;ureau</p><p/></boxed-text></abstract>"),
+    "quotation": ("<abstract><p>x</p></abstract>", "<abstract><p>Said: <disp-quote><p>Census Bureau</p></disp-quote> so</p></abstract>"),
+    "comment": ("<abstract><p>x</p></abstract>", "<!-- <abstract> --><abstract><p>Census <!-- no --><?x y?>Bureau</p></abstract>"),
     "two abstracts": ("<abstract><p>x</p></abstract>", "<abstract><p>Census Bureau data</p></abstract><abstract><p>short</p></abstract>"),
     "two groups": ("<contrib-group>", "<contrib-group><contrib contrib-type=\"editor\"><name><surname>Ed</surname></name></contrib></contrib-group><contrib-group>"),
     "two articles": ("</article></pmc-articleset>", "</article><article><front><article-meta><title-group><article-title>Other</article-title></title-group></article-meta></front></article></pmc-articleset>"),
@@ -52,13 +57,33 @@ FORMS = {
 
 @pytest.mark.parametrize("form", FORMS)
 def test_article_forms(spark, form):
-    body = ARTICLE.format(title="On FSRDC data" if form != "sections" else "Wages", abstract="x")
+    plain = form in ("sections", "fifth level", "list", "box", "quotation", "comment")
+    body = ARTICLE.format(title="Wages" if plain else "On FSRDC data", abstract="x")
     assert FORMS[form][0] in body
     row = articles(spark, body.replace(*FORMS[form]))["0"]
     assert row.ProjectPI == "Ann Lee"
     assert row.ProjectRDC == ("Univ X" if form == "label" else "Uni")
-    titles = {"sections": "Wages", "escapes": "On FSRDC p <x and y> z &lt; & w"}
-    assert row.OutputTitle == titles.get(form, "On FSRDC data")
+    titles = {"escapes": "On FSRDC p <x and y> z &lt; & w"}
+    assert row.OutputTitle == titles.get(form, "Wages" if plain else "On FSRDC data")
+
+
+ABSTRACTS = {
+    "<abstract><p>a</p><p>b</p></abstract>": "a b",
+    "<abstract><sec><title>Aim</title><p>a <i>b</i>c</p></sec></abstract><abstract><p>d</p></abstract>": "a bc d",
+    "<abstract>out<p>a<list><list-item><p>b</p></list-item></list>c</p>out</abstract><p>out</p>": "a b c",
+    "<abstract><p>&amp;lt; &#233; &lt;i&gt;</p></abstract>": "&lt; \u00e9 <i>",
+    "<abstract><pre>out</pre><p title='x>y'>a</p><p/><p a='1'/></abstract>": "a",
+    "<abstract/><abstract></abstract>": None, "<abstract>out</abstract>": None, "<other><p>a</p></other>": None,
+    "<abstract>" + "<sec>" * 40 + "<p>deep</p>" + "</sec>" * 40 + "</abstract>": "deep",
+    "<abstract>" + "<p>many</p>" * 5000 + "</abstract>": " ".join(["many"] * 5000),
+}
+
+
+def test_paragraphs_at_any_depth(spark):
+    rows = spark.createDataFrame(list(enumerate(ABSTRACTS)), "n int, body string")
+    text = biblio.paragraphs_below(biblio.guarded("body"), "abstract")
+    found = {r.n: r.t or None for r in rows.select("n", text.alias("t")).collect()}
+    assert [found[n] for n in range(len(ABSTRACTS))] == list(ABSTRACTS.values())
 
 
 def test_a_usable_answer_goes_first(spark):
@@ -90,7 +115,8 @@ def test_the_message_with_the_fewest_gaps_is_attached(spark):
 def test_a_body_is_parsed_once(spark):
     landed = spark.createDataFrame([(1, "x", "a")], "n int, external_id string, body string")
     plan = records.article_records(landed, "n")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_xml") == 1, plan
+    # The body, and the text of its abstract alone for the character references in it.
+    assert plan.count("from_xml") == 2, plan
     plan = records.openalex_records(landed, "n")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
 
