@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scholarweave.operators import frequency, harmonise
+from scholarweave.operators import frequency, harmonise, numbering
 from scholarweave.plans.count_queries import (
     BY_YEAR_SQL, FUNNEL_COLUMNS, LINE_RECORDS_SQL, line_records, order_pairs, yearly_outputs,
 )
 from scholarweave.plans.match_queries import HARMONISED_SQL, group_frames
 from scholarweave.plans.registry import query
 from scholarweave.sources import tables
+from scholarweave.sources.stored import KeyedTable
 from scholarweave.streaming import incremental
 from scholarweave.workspace import scratch_path
 
@@ -62,7 +63,7 @@ def append_batches(t):
     tables.append(events.where(F.col("event_type") == "view"), sink)
     done = tables.read_done_keys(t.spark, sink, "event_id")
     tables.append(events.join(done, "event_id", "left_anti"), sink)
-    return t.spark.read.schema(events.schema).parquet(sink)
+    return tables.read_sink(t.spark, sink, events.schema)
 
 
 @query(
@@ -78,7 +79,7 @@ def incremental_append(t):
     )
     incremental.append_new(early, sink, "doi")
     incremental.append_new(keys, sink, "doi")
-    return t.spark.read.parquet(sink)
+    return tables.read_sink(t.spark, sink)
 
 
 @query("incremental_stream", "SELECT DISTINCT user_id, lower(event_type) AS event_type FROM events")
@@ -88,12 +89,44 @@ def incremental_stream(t):
     )
     events = t.events.select("user_id", "event_type")
     keys = ["user_id", "event_type"]
-    tables.append(events.where(F.col("event_type") == "view"), landing)
+    events.where(F.col("event_type") == "view").write.parquet(landing)
     incremental.stream_new(t.spark, landing, events.schema, sink, checkpoint, keys)
     spelled = F.concat(F.lit(" "), F.upper("event_type"))
-    tables.append(events.withColumn("event_type", F.when(F.col("user_id") % 2 == 0, spelled).otherwise(F.col("event_type"))), landing)
+    respelled = F.when(F.col("user_id") % 2 == 0, spelled).otherwise(F.col("event_type"))
+    events.withColumn("event_type", respelled).write.mode("append").parquet(landing)
     incremental.stream_new(t.spark, landing, events.schema, sink, checkpoint, keys)
-    return t.spark.read.schema(events.schema).parquet(sink)
+    return tables.read_sink(t.spark, sink, events.schema)
+
+
+@query(
+    "stable_ids",
+    """
+WITH s AS (SELECT s_name AS name, row_number() OVER (ORDER BY md5(s_name)) AS n FROM supplier),
+c AS (SELECT c_name AS name, (SELECT count(*) FROM supplier) + row_number() OVER (ORDER BY md5(c_name)) AS n FROM customer)
+SELECT md5(name) AS project, 'PROJ_' || CASE WHEN n < 100000 THEN lpad(CAST(n AS VARCHAR), 5, '0') ELSE CAST(n AS VARCHAR) END AS "ProjID"
+FROM (SELECT * FROM s UNION ALL SELECT * FROM c)
+""",
+)
+def stable_ids(t):
+    """A first run numbers the suppliers; a second one has the customers, too, and renumbers none."""
+    registry = scratch_path(t.spark, "registry")
+    suppliers = t.supplier.select(F.md5(F.col("s_name").cast("binary")).alias("project"))
+    customers = t.customer.select(F.md5(F.col("c_name").cast("binary")).alias("project"))
+    numbering.stable_ids(suppliers, "project", registry)
+    return numbering.stable_ids(customers.unionByName(suppliers), "project", registry)
+
+
+@query(
+    "keyed_lookup",
+    "SELECT DISTINCT user_id FROM events WHERE user_id IN (SELECT c_custkey FROM customer)",
+)
+def keyed_lookup(t):
+    """The users in a keyed table of all users that are customers, too."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed"), "user_id")
+    users = t.events.select("user_id").na.drop().distinct()
+    table.append(users)
+    kind = users.schema["user_id"].dataType.simpleString()
+    return table.lookup(t.customer.select(F.col("c_custkey").cast(kind).alias("user_id")), f"user_id {kind}")
 
 
 @query(

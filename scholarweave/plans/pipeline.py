@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholarweave import schemas
 from scholarweave.functions import text
-from scholarweave.operators import frequency, harmonise, match
+from scholarweave.operators import frequency, harmonise, match, numbering
 from scholarweave.plans import records
 from scholarweave.sources import payloads, tables
 from scholarweave.sources.payloads import first_per_key
+from scholarweave.sources.stored import KeyedTable
 from scholarweave.workspace import materialise
 
 
@@ -32,16 +33,17 @@ def combine(by_source: Mapping[str, DataFrame]) -> DataFrame:
     return kept.drop("_id")
 
 
-def numbered_projects(harmonised: DataFrame) -> DataFrame:
-    """Distinct harmonised records with a position ``id`` and a ProjID.
+def numbered_projects(harmonised: DataFrame, registry: str) -> DataFrame:
+    """Distinct harmonised records with a ProjID and its number as ``id``.
 
-    Positions follow a digest of the content, which stays the same from run to
-    run whatever order the files are read in.
+    A record is known by a digest of its content. One that had a ProjID in an earlier run
+    keeps it, whatever files have come since; new ones are numbered on from the highest.
     """
     digest = F.sha2(F.to_json(F.struct(*harmonised.columns)), 256)
-    ordered = harmonised.distinct().withColumn("_digest", digest)
-    numbered = harmonise.with_row_numbers(ordered, "_digest", "id").drop("_digest")
-    return numbered.withColumn("ProjID", harmonise.proj_id("id"))
+    known = materialise(harmonised.distinct().withColumn("_digest", digest), "distinct")
+    ids = numbering.stable_ids(known, "_digest", registry)
+    number = F.substring_index("ProjID", "_", -1).cast("bigint")
+    return known.join(ids, "_digest").drop("_digest").withColumn("id", number)
 
 
 def resume_lookup(keys: DataFrame, landed: DataFrame, key: str, found_id, sink: str) -> DataFrame:
@@ -50,10 +52,11 @@ def resume_lookup(keys: DataFrame, landed: DataFrame, key: str, found_id, sink:
     The keys in ``sink`` are left out and the new outcomes are added to it. Keys without
     a response yet are not written, so a later run tries them again.
     """
-    spark = keys.sparkSession
-    todo = match.pending(keys, tables.read_done_keys(spark, sink, key), key)
-    tables.append(match.lookup_doi(todo, landed, key, found_id).where(F.col("status").isNotNull()), sink)
-    return spark.read.parquet(sink)
+    table = KeyedTable(keys.sparkSession, sink, key)
+    todo = table.missing(match.distinct_keys(keys, key))
+    outcomes = match.lookup_doi(todo, landed, key, found_id).where(F.col("status").isNotNull())
+    table.append(outcomes)
+    return table.read(outcomes.schema)
 
 
 def openalex_inputs(projects: DataFrame, landed: DataFrame, sink: str) -> DataFrame:
@@ -94,14 +97,15 @@ def run_pipeline(
     ``articles``, ``openalex`` (landed responses keyed by DOI), ``core`` (author, rank,
     body), ``people`` (given, family, orcid, rank), ``profiles`` (orcid, the person's
     record and the array of its works by group, as JSON) and ``crossref`` (key, body);
-    what is not there adds nothing. Writes ``outputs``, ``lookups``, ``trends`` and
-    ``summary`` below ``output``; a second run looks up only what is new. With
+    what is not there adds nothing. Writes ``outputs``, ``lookups``, ``project_ids``,
+    ``trends`` and ``summary`` below ``output``; a second run looks up only what is new and
+    changes no ProjID. With
     ``related_only`` the outputs are those related to the programme.
     """
     there = lambda name: bool(tables.list_paths(spark, f"{landing}/{name}"))
     table = lambda name, schema: spark.read.schema(schema).parquet(f"{landing}/{name}")
     frames = [harmonise.harmonise(f) for f in tables.read_group_files(spark, f"{landing}/group*.csv")]
-    projects = materialise(numbered_projects(harmonise.union_complete(frames)), "projects")
+    projects = materialise(numbered_projects(harmonise.union_complete(frames), f"{output}/project_ids"), "projects")
     by_source = {}
     if there("core"):
         works = table("core", "author string, rank bigint, body string")

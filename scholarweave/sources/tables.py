@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from scholarweave.functions.predicates import is_present
 from scholarweave.sources import csv_records
+from scholarweave.sources.stored import StoredTable, list_paths
 
 
 def read_csv(
@@ -47,15 +48,6 @@ def _csv(spark: SparkSession):
     return spark.read.option("header", True).option("quote", '"').option("escape", '"')
 
 
-def list_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """Files or folders matching a glob on any file system Spark can reach."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(target)
-    return sorted(s.getPath().toString() for s in (found or []))
-
-
 def read_group_files(spark: SparkSession, pattern: str, one_line: bool = False) -> list[DataFrame]:
     """One frame per file matching ``pattern``, since their headers differ.
 
@@ -68,10 +60,9 @@ def read_group_files(spark: SparkSession, pattern: str, one_line: bool = False)
 
 
 def read_done_keys(spark: SparkSession, sink: str, key: Column | str) -> DataFrame | None:
-    """The keys an earlier run has written, or None before the first run."""
-    if not list_paths(spark, sink):
-        return None
-    return spark.read.parquet(sink).select(key)
+    """The keys that runs have written, or None before the first one."""
+    rows = read_sink(spark, sink)
+    return None if rows is None else rows.select(key)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -82,9 +73,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def append(df: DataFrame, sink: str) -> None:
-    """Add a batch to a Parquet sink."""
-    df.write.mode("append").parquet(sink)
+def append(df: DataFrame, sink: str, run: str | None = None) -> bool:
+    """Add a batch to a sink, as a whole or not at all.
+
+    A run that has a name adds its batch once, however often it is repeated.
+    """
+    return StoredTable(df.sparkSession, sink).append(df, run)
+
+
+def read_sink(spark: SparkSession, sink: str, schema: str | T.StructType | None = None) -> DataFrame | None:
+    """Rows of a sink; before the first batch none, or None without a schema."""
+    return StoredTable(spark, sink).read(schema)
 
 
 def write_matrix(matrix: DataFrame, path: str) -> None:

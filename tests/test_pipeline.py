@@ -31,10 +31,10 @@ def test_from_landing_folder_to_outputs(spark):
     assert (got["OpenAlex"].ProjectTitle, got["OpenAlex"].OutputType) == ("BEA firms", "RE")
     core = got["CORE"]
     assert (core.ProjectStatus, core.OutputYear, core.OutputMonth, core.DOI) == ("Active", "2003", "04", "10.9/z")
-    lookups = spark.read.parquet(f"{output}/lookups")
+    lookups = tables.read_sink(spark, f"{output}/lookups")
     assert {r.doi: r.status for r in lookups.collect()} == {"10.1/a": "Not Found", "10.1/b": "Found"}
     run_pipeline(spark, landing, output, as_of_year=2003)
-    assert spark.read.parquet(f"{output}/lookups").count() == 2  # nothing was looked up again
+    assert tables.read_sink(spark, f"{output}/lookups").count() == 2  # nothing was looked up again
     summary = spark.read.json(f"{output}/summary").first()
     assert sorted(p.year for p in summary.plots.publications_by_year) == [1992, 2001, 2003]
 
