@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from scholarweave import schemas
-from scholarweave.operators import frequency, harmonise, match
+from scholarweave.operators import entities, frequency, harmonise, match, title_search as search
 from scholarweave.plans.registry import query
 from scholarweave.sources.payloads import parse_json
+from scholarweave.workspace import materialise
 
 # --- harmonising -------------------------------------------------------------
 
@@ -430,3 +431,65 @@ def crossref_attach(t):
     doi = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("10.7/c"), "o_custkey"))
     records = t.orders.select("o_orderkey", doi.alias("doi"))
     return match.attach_crossref(records, messages, "doi", "o_orderkey").drop("doi")
+
+
+# Orders of a customer as records of one output in many spellings: the i-th one shares its DOI
+# with one neighbour and its title with the other, so that all are one by a chain, unless a
+# DOI is missing or a title is another's.
+_CHAIN_SQL = """
+WITH o AS (SELECT o_orderkey AS id, o_custkey, o_orderpriority, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM orders),
+r AS (SELECT id, o_custkey, i, CASE WHEN o_orderstatus <> 'F' OR i % 4 < 2 THEN '10.7/' || o_custkey || '.' || i // 2 END AS doi,
+  'Report ' || o_custkey || ' no ' || (i + 1) // 2 AS title, CASE WHEN o_orderpriority <> '5-LOW' THEN 'a' || o_custkey END AS author,
+  o_orderpriority AS status FROM o),
+l AS (SELECT *, lag(doi) OVER w AS d, lag(author) OVER w AS a FROM r WINDOW w AS (PARTITION BY o_custkey ORDER BY i)),
+g AS (SELECT *, sum(CASE WHEN i % 2 = 1 AND doi = d OR i % 2 = 0 AND i > 0 AND author = a THEN 0 ELSE 1 END) OVER (PARTITION BY o_custkey ORDER BY i) AS part FROM l),
+m AS (SELECT *, (doi IS NULL)::INT + (author IS NULL)::INT AS missing FROM g)
+SELECT min(id) AS id, arg_min(doi, missing * 1000000000000 + id) FILTER (WHERE doi IS NOT NULL) AS doi,
+  arg_min(title, missing * 1000000000000 + id) AS title, arg_min(author, missing * 1000000000000 + id) FILTER (WHERE author IS NOT NULL) AS author,
+  arg_min(status, missing * 1000000000000 + id) AS status, count(*) AS n_records
+FROM m GROUP BY o_custkey, part
+"""
+
+
+@query("merged_entities", _CHAIN_SQL)
+def merged_entities(t):
+    place = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    orders = t.orders.withColumn("i", place)
+    i, customer = F.col("i"), F.col("o_custkey")
+    number = F.concat(F.lit("10.7/"), customer, F.lit("."), F.floor(i / 2))
+    spelled = F.when(i % 3 == 1, F.concat(F.lit(" "), number)).otherwise(number)
+    title = F.concat(F.lit("Report "), customer, F.lit(" no "), F.floor((i + 1) / 2))
+    rows = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.when((F.col("o_orderstatus") != "F") | (i % 4 < 2), spelled).alias("doi"),
+        F.when(i % 2 == 0, F.upper(title)).otherwise(title).alias("title"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("a"), customer)).alias("author"),
+        F.col("o_orderpriority").alias("status"),
+    )
+    merged = entities.merge(materialise(rows, "spelled"), "id", entities.identity_keys())
+    return merged.withColumns({"doi": F.trim("doi"), "title": F.replace(F.replace(F.lower("title"), F.lit("report"), F.lit("Report")), F.lit(" NO "), F.lit(" no "))})
+
+
+_TITLE_SEARCH_SQL = """
+WITH p AS (SELECT p_partkey, p_brand, p_size, string_split(lower(p_name || ' ' || p_type || ' n' || p_size || ' k' || p_partkey % 40), ' ') AS t FROM part),
+q AS (SELECT p_partkey, p_brand, list_sort(list_distinct(t)) AS w FROM p),
+x AS (SELECT p_partkey, p_brand, list_sort(list_distinct(t[CASE WHEN p_size % 2 = 0 THEN 2 ELSE 1 END:])) AS w FROM p WHERE p_size % 3 <> 0),
+s AS (SELECT q.p_partkey, x.p_partkey AS found, len(list_intersect(q.w, x.w)) AS c, len(q.w) AS a, len(x.w) AS b
+  FROM q JOIN x ON q.p_brand = x.p_brand)
+SELECT q.p_partkey, b.found, b.share FROM q LEFT JOIN (
+  SELECT p_partkey, found, c / (a + b - c) AS share FROM s WHERE c >= 0.8 * (a + b - c) - 1e-9
+  QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY c / (a + b - c) DESC, found) = 1) b ON b.p_partkey = q.p_partkey
+"""
+
+
+@query("title_search", _TITLE_SEARCH_SQL)
+def title_search(t):
+    """Parts looked up in a list where names have their words turned round and some lack a word."""
+    title = F.concat_ws(" ", "p_name", "p_type", F.concat(F.lit("n"), "p_size"), F.concat(F.lit("k"), F.col("p_partkey") % 40))
+    words = F.split(title, " ")
+    left_out = F.slice(words, F.when(F.col("p_size") % 2 == 0, 2).otherwise(1), F.size(words))
+    listed = t.part.where(F.col("p_size") % 3 != 0).select(
+        F.array_join(F.reverse(left_out), ",  ").alias("title"), "p_brand", F.col("p_partkey").alias("found")
+    )
+    asked = t.part.select("p_partkey", F.upper(title).alias("title"), "p_brand")
+    return search.with_match(asked, listed, F.col("p_brand"), "found").select("p_partkey", "found", "share")
