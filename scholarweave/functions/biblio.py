@@ -323,7 +323,7 @@ def article_fields(articleset: Column, body: ColumnOrName) -> Column:
     date = F.try_element_at(dates, F.lit(1))
     return F.struct(
         plain(meta["title-group"]["article-title"]).alias("title"),
-        F.when(article.isNotNull(), once(paragraphs_below(first_element(body, "article"), "abstract"), lambda t: F.nullif(t, F.lit("")))).alias("abstract"),
+        F.when(article.isNotNull(), once(paragraphs_below(up_to_first_end(body, "article"), "abstract"), lambda t: F.nullif(t, F.lit("")))).alias("abstract"),
         date["year"].alias("year"),
         date["month"].alias("month"),
         meta["volume"].alias("volume"),
@@ -338,14 +338,14 @@ def article_fields(articleset: Column, body: ColumnOrName) -> Column:
 
 # Attributes of a tag; their values may hold angle brackets.
 _ATTRIBUTES = r"""(?:\s(?:[^<>"']++|"[^"]*"|'[^']*')*+)?"""
-# Stand for the begin and the end of a paragraph while other tags are removed.
-_BEGIN, _END = "\ue002", "\ue003"
+# Stand for the begin and the end of a paragraph while other tags are removed, and between
+# these and text.
+_BEGIN, _END, _CUT = "\ue002", "\ue003", "\ue004"
 
 
-def first_element(xml: ColumnOrName, name: str) -> Column:
-    """Text of the first element of a name, its tags included; elements of one name inside each
-    other are not looked for."""
-    return F.regexp_extract(col(xml), f"(?s)<{name}{_ATTRIBUTES}(?<!/)>.*?</{name}\\s*>", 0)
+def up_to_first_end(xml: ColumnOrName, name: str) -> Column:
+    """A document up to the end of its first element of a name, none of which stands in another."""
+    return F.substring_index(col(xml), f"</{name}>", 1)
 
 
 def paragraphs_below(xml: ColumnOrName, name: str, paragraph: str = "p") -> Column:
@@ -355,16 +355,50 @@ def paragraphs_below(xml: ColumnOrName, name: str, paragraph: str = "p") -> Colu
     outside paragraphs, as of headings, is left out; that of tags inside them is kept. The
     document is a well-formed one whose escaped angle brackets are guarded.
     """
-    inside = F.regexp_extract_all(
-        F.regexp_replace(col(xml), r"(?s)<!--.*?-->|<\?.*?\?>", ""),
-        F.lit(f"(?s)<{name}{_ATTRIBUTES}(?<!/)>(.*?)</{name}\\s*>"), F.lit(1),
-    )
-    marked = F.array_join(inside, " ")
-    for pattern, mark in (
-        (f"<{paragraph}(?:/|{_ATTRIBUTES}(?<=/))>", ""), (f"<{paragraph}{_ATTRIBUTES}>", _BEGIN), (f"</{paragraph}\\s*>", _END),
-    ):
-        marked = F.regexp_replace(marked, pattern, mark)
-    tokens = F.split(plain_tags(marked), f"(?<=[{_BEGIN}{_END}])|(?=[{_BEGIN}{_END}])")
+    text = col(xml)
+    remarks = F.contains(text, F.lit("<!--")) | F.contains(text, F.lit("<?"))
+    plain_text = F.when(remarks, F.regexp_replace(text, r"(?s)<!--.*?-->|<\?.*?\?>", "")).otherwise(text)
+    pattern = f"(?s)<{name}{_ATTRIBUTES}(?<!/)>(.*?)</{name}\\s*>"
+    return once(F.regexp_extract_all(plain_text, F.lit(pattern), F.lit(1)), lambda parts: _paragraph_text(parts, paragraph))
+
+
+def _paragraph_text(parts: Column, paragraph: str) -> Column:
+    # Plain tags are replaced as they are; patterns, which are dear, are for what is left.
+    marked = F.array_join(parts, " ")
+    for tag, mark in ((f"<{paragraph}>", _BEGIN), (f"</{paragraph}>", _END)):
+        marked = F.replace(marked, F.lit(tag), F.lit(mark))
+
+    def other_tags(text: Column) -> Column:
+        changed = text
+        for pattern, mark in (
+            (f"<{paragraph}(?:/|{_ATTRIBUTES}(?<=/))>", ""), (f"<{paragraph}{_ATTRIBUTES}>", _BEGIN), (f"</{paragraph}\\s*>", _END),
+        ):
+            changed = F.regexp_replace(changed, pattern, mark)
+        return F.when(F.contains(text, F.lit("<")), plain_tags(changed)).otherwise(text)
+
+    kept = once(once(marked, other_tags), _inside_marks)
+    # Parsed once more, as text of one element, for its entities and character references.
+    text = F.from_xml(F.concat(F.lit("<r><t>"), kept, F.lit("</t></r>")), "t string", {"mode": "PERMISSIVE"})["t"]
+    return F.when(F.size(parts) > 0, F.translate(text, _LESS + _GREATER, "<>"))
+
+
+def _inside_marks(marked: Column) -> Column:
+    """The texts between marks, joined by spaces. Marks are followed through one by one only
+    where some stand inside others."""
+    filled = lambda texts: F.array_join(F.filter(texts, lambda x: F.trim(x) != ""), " ")
+
+    def unless_nested(pieces: Column) -> Column:
+        behind = F.slice(pieces, 2, F.size(pieces))
+        flat = F.forall(behind, lambda p: F.contains(p, F.lit(_END)))
+        return F.when(flat, filled(F.transform(behind, lambda p: F.substring_index(p, _END, 1)))).otherwise(_nested_text(marked))
+
+    return once(F.split(marked, _BEGIN), unless_nested)
+
+
+def _nested_text(marked: Column) -> Column:
+    tokens = marked
+    for mark in (_BEGIN, _END):
+        tokens = F.replace(tokens, F.lit(mark), F.lit(_CUT + mark + _CUT))
     start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
 
     def step(acc: Column, token: Column) -> Column:
@@ -372,10 +406,7 @@ def paragraphs_below(xml: ColumnOrName, name: str, paragraph: str = "p") -> Colu
         text = (acc["depth"] > 0) & ~token.isin(_BEGIN, _END) & (F.trim(token) != "")
         return F.struct(depth.alias("depth"), F.when(text, F.concat(acc["kept"], F.array(token))).otherwise(acc["kept"]).alias("kept"))
 
-    kept = F.aggregate(tokens, start, step, lambda acc: F.array_join(acc["kept"], " "))
-    # Parsed once more, as text of one element, for its entities and character references.
-    text = F.from_xml(F.concat(F.lit("<r><t>"), kept, F.lit("</t></r>")), "t string", {"mode": "PERMISSIVE"})["t"]
-    return F.when(F.size(inside) > 0, F.translate(text, _LESS + _GREATER, "<>"))
+    return F.aggregate(F.split(tokens, _CUT), start, step, lambda acc: F.array_join(acc["kept"], " "))
 
 
 def _without_label(c: Column) -> Column:

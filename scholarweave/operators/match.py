@@ -14,6 +14,7 @@ from scholarweave.functions.text import (
 )
 from scholarweave.operators.ordered import limit_per_key
 from scholarweave.sources.payloads import first_per_key, parsed_once
+from scholarweave.workspace import materialise
 
 
 def spread_nulls(key: Column, unique: ColumnOrName) -> Column:
@@ -88,19 +89,24 @@ def match_cascade(records: DataFrame, index: DataFrame, id_column: str = "id") -
 
     ``records`` has id, title, author and doi; ``index`` has doi, title, author
     and pmcid. Both index lookups are made unique by partial aggregation first,
-    so the joins cannot multiply rows. Records found by DOI skip the second join.
+    so the joins cannot multiply rows. They are stored, so that Spark knows their sizes:
+    small ones go to every task and the records, with their long titles, stay where
+    they are; otherwise the records are shuffled. The second key is computed only for
+    records that are not found by DOI.
     """
     title = F.col("title")
     author = first_author("author")
 
-    by_doi = (
+    by_doi = materialise(
         index.groupBy(norm_doi("doi").alias("_doi")).agg(F.min("pmcid").alias("_pmcid_doi"))
-        .where(F.col("_doi").isNotNull())
+        .where(F.col("_doi").isNotNull()),
+        "by-doi",
     )
     index_key = _title_author_key(title, author)
-    by_title = (
+    by_title = materialise(
         index.groupBy(index_key.alias("_pair")).agg(F.min("pmcid").alias("_pmcid_pair"))
-        .where(F.col("_pair").isNotNull())
+        .where(F.col("_pair").isNotNull()),
+        "by-title",
     )
 
     prepared = records.withColumns(
