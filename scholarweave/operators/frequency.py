@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from scholarweave.functions.predicates import is_present
 from scholarweave.functions.text import year_column
-from scholarweave.workspace import materialise
 
 YEARS_AT_ONCE = 10_000
 
@@ -34,29 +33,18 @@ def usable_years(df: DataFrame, year: str, topic: str, since: int | None = None)
 
 
 def year_topic_counts(pairs: DataFrame) -> DataFrame:
-    """Long count table, the form every matrix below is made from."""
+    """Long count table: the form for any number of topics and years, which every matrix
+    below is made from."""
     return pairs.groupBy("year", "topic").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pivot_values(df: DataFrame, column: str) -> list:
-    """Distinct values, for a pivot over all of them.
-
-    They become columns, so they are few or there is no such table; the long count
-    table says the same for any number of values.
-    """
-    return [r[0] for r in df.select(column).na.drop().distinct().orderBy(column).collect()]
-
-
 def spread_counts(
-    counts: DataFrame, row: str, column: str, values: Sequence | None = None, prefix: str = ""
+    counts: DataFrame, row: str, column: str, values: Sequence, prefix: str = ""
 ) -> DataFrame:
-    """Wide form of a long count table, gaps filled with 0.
+    """Wide form of a long count table for given ``values``, gaps filled with 0.
 
-    Without ``values`` the table is stored, as it is then read twice.
+    Values become columns, so the caller names them; they are never gathered from the data.
     """
-    if values is None:
-        counts = materialise(counts, "counts")
-        values = pivot_values(counts, column)
     cells = [
         F.coalesce(F.sum(F.when(F.col(column) == F.lit(v), F.col("n"))), F.lit(0)).alias(
             f"{prefix}{v}"
@@ -66,23 +54,20 @@ def spread_counts(
     return counts.groupBy(row).agg(*cells)
 
 
-def year_by_topic(pairs: DataFrame, topics: Sequence[str] | None = None) -> DataFrame:
+def year_by_topic(pairs: DataFrame, topics: Sequence[str]) -> DataFrame:
     return spread_counts(year_topic_counts(pairs), "year", "topic", topics)
 
 
-def topic_by_year(pairs: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
+def topic_by_year(pairs: DataFrame, years: Sequence[int]) -> DataFrame:
     return spread_counts(year_topic_counts(pairs), "topic", "year", years, prefix="y")
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
-    """Counts that keep rows and columns without a value, as their own category."""
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
+    """Counts for given values that keep rows and columns without one, as their own category."""
     counts = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
-    if values is None:
-        counts = materialise(counts, "counts")
-    wide = pivot_values(counts, column) if values is None else list(values)
     cells = [
         F.coalesce(F.sum(F.when(F.col(column) == F.lit(v), F.col("n"))), F.lit(0)).alias(str(v))
-        for v in wide
+        for v in values
     ]
     missing = F.coalesce(F.sum(F.when(F.col(column).isNull(), F.col("n"))), F.lit(0))
     return counts.groupBy(row).agg(*cells, missing.alias("missing"))

@@ -12,6 +12,7 @@ from scholarweave.functions.predicates import is_present, is_related_work, is_va
 from scholarweave.functions.text import (
     ColumnOrName, blank_to_null, col, first_author, first_token, last_token, norm_doi, norm_words,
 )
+from scholarweave.operators import title_search
 from scholarweave.operators.ordered import limit_per_key
 from scholarweave.sources.payloads import first_per_key, parsed_once
 from scholarweave.workspace import materialise
@@ -84,9 +85,14 @@ def lookup_doi(
     )
 
 
-def match_cascade(records: DataFrame, index: DataFrame, id_column: str = "id") -> DataFrame:
+def match_cascade(
+    records: DataFrame, index: DataFrame, id_column: str = "id", overlap: float | None = None
+) -> DataFrame:
     """Find each record in an index by DOI, else by title and first author.
 
+    With ``overlap`` those found by neither are looked up a third time, by the words of their
+    title: the first author's titles count that have at least that part of the words in common.
+
     ``records`` has id, title, author and doi; ``index`` has doi, title, author
     and pmcid. Both index lookups are made unique by partial aggregation first,
     so the joins cannot multiply rows. They are stored, so that Spark knows their sizes:
@@ -123,17 +129,25 @@ def match_cascade(records: DataFrame, index: DataFrame, id_column: str = "id") -
     )
     found_doi = F.col("_pmcid_doi").isNotNull()
     found_pair = F.col("_pmcid_pair").isNotNull()
+    if overlap is None:
+        second = second.withColumn("_pmcid_words", F.lit(None).cast("string"))
+    else:
+        missed = materialise(second.where(~found_doi & ~found_pair).select(id_column, "title", "author"), "missed")
+        near = title_search.with_match(missed, index.select("title", "author", "pmcid"), author, "pmcid", overlap)
+        second = second.join(near.select(id_column, F.col("pmcid").alias("_pmcid_words")), id_column, "left")
+    found_words = F.col("_pmcid_words").isNotNull()
     complete = is_present("Title") & F.col("Author").isNotNull()
     return second.select(
         F.col(id_column).alias("ProjID"),
         "Title",
         "Author",
         F.col("doi").alias("DOI"),
-        (found_doi | found_pair).alias("In_PMC"),
-        F.coalesce("_pmcid_doi", "_pmcid_pair").alias("PMCID"),
-        F.when(found_doi, "DOI").when(found_pair, "Title/Author").alias("Method"),
+        (found_doi | found_pair | found_words).alias("In_PMC"),
+        F.coalesce("_pmcid_doi", "_pmcid_pair", "_pmcid_words").alias("PMCID"),
+        F.when(found_doi, "DOI").when(found_pair, "Title/Author").when(found_words, "Title words").alias("Method"),
         F.when(found_doi, "Found by DOI")
         .when(found_pair, "Found by title/author")
+        .when(found_words, "Found by title words")
         .when(complete, "Not found in PMC")
         .otherwise("Missing title or author").alias("Reason"),
     )

@@ -10,6 +10,7 @@ from scholarweave.plans.registry import query
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 EVENT_TYPES = ["click", "purchase", "signup", "view"]
+YEARS = range(1995, 2002)
 
 
 def order_years(t):
@@ -58,12 +59,12 @@ def pivot_year_category(t):
     "pivot_category_year",
     "SELECT o_orderpriority AS topic, "
     + ", ".join(
-        f"count(*) FILTER (WHERE year(o_orderdate) = {y}) AS y{y}" for y in range(1995, 2002)
+        f"count(*) FILTER (WHERE year(o_orderdate) = {y}) AS y{y}" for y in YEARS
     )
     + " FROM orders WHERE year(o_orderdate) >= 1990 AND o_orderpriority IS NOT NULL GROUP BY 1",
 )
 def pivot_category_year(t):
-    return frequency.topic_by_year(order_pairs(t))
+    return frequency.topic_by_year(order_pairs(t), YEARS)
 
 
 @query(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from scholarweave.operators import frequency, harmonise, numbering
 from scholarweave.plans.count_queries import (
-    BY_YEAR_SQL, FUNNEL_COLUMNS, LINE_RECORDS_SQL, line_records, order_pairs, yearly_outputs,
+    BY_YEAR_SQL, FUNNEL_COLUMNS, LINE_RECORDS_SQL, YEARS, line_records, order_pairs, yearly_outputs,
 )
 from scholarweave.plans.match_queries import HARMONISED_SQL, group_frames
 from scholarweave.plans.registry import query
@@ -132,12 +134,12 @@ def keyed_lookup(t):
 @query(
     "matrix_file",
     "SELECT o_orderpriority AS topic, "
-    + ", ".join(f"count(*) FILTER (WHERE year(o_orderdate) = {y}) AS y{y}" for y in range(1995, 2002))
+    + ", ".join(f"count(*) FILTER (WHERE year(o_orderdate) = {y}) AS y{y}" for y in YEARS)
     + " FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1",
 )
 def matrix_file(t):
     path = scratch_path(t.spark, "matrix")
-    matrix = frequency.topic_by_year(order_pairs(t))
+    matrix = frequency.topic_by_year(order_pairs(t), YEARS)
     tables.write_matrix(matrix, path)
     return tables.read_csv(t.spark, path, matrix.schema, one_line=True)
 
@@ -161,3 +163,31 @@ def summary_json(t):
     )
     document = t.spark.read.schema(schema).json(path)
     return document.select(F.inline("plots.publications_by_year"), "stats.*")
+
+
+@query("replaced_output", "SELECT c_custkey AS key, c_name AS name FROM customer")
+def replaced_output(t):
+    """A file that is written again has the new rows only."""
+    path = scratch_path(t.spark, "replaced")
+    tables.write_csv(t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")), path)
+    tables.write_csv(t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")), path)
+    return tables.read_csv(t.spark, path, "key bigint, name string", one_line=True)
+
+
+@query("preview_rows", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def preview_rows(t):
+    ordered = t.orders.select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey")
+    return tables.preview(ordered)
+
+
+@query(
+    "empty_inputs",
+    f"SELECT count(*) AS complete, count(*) FILTER (WHERE doi LIKE '10.2/%') AS without_others, 0::BIGINT AS without_any FROM ({HARMONISED_SQL})",
+)
+def empty_inputs(t):
+    """Rows of the union if all groups have some, if only one has, and if none has."""
+    frames = [harmonise.harmonise(f) for f in group_frames(t).values()]
+    count = lambda kept, name: harmonise.union_complete([f if k else f.where("false") for f, k in zip(frames, kept)]).select(F.lit(name).alias("case"))
+    cases = {"complete": (1, 1, 1), "without_others": (0, 1, 0), "without_any": (0, 0, 0)}
+    every = reduce(DataFrame.unionByName, [count(kept, name) for name, kept in cases.items()])
+    return every.agg(*[F.count_if(F.col("case") == name).alias(name) for name in cases])

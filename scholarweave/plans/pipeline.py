@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from scholarweave import schemas
+from scholarweave import schemas, vocabulary as V
 from scholarweave.functions import text
-from scholarweave.operators import frequency, harmonise, match, numbering
+from scholarweave.operators import entities, frequency, graph, harmonise, lifecycle, match, numbering
 from scholarweave.plans import records
 from scholarweave.sources import payloads, tables
 from scholarweave.sources.payloads import first_per_key
@@ -17,11 +17,13 @@ from scholarweave.sources.stored import KeyedTable
 from scholarweave.workspace import materialise
 
 
-def combine(by_source: Mapping[str, DataFrame]) -> DataFrame:
+def combine(by_source: Mapping[str, DataFrame], transitive: bool = False) -> DataFrame:
     """Records of all sources in one table, named by source and without duplicates.
 
     Records that are the same output (by DOI, else by title and lead) are kept
-    once, in the most complete form. ProjID is unique within a source.
+    once, in the most complete form. ProjID is unique within a source. With ``transitive``
+    every record that shares a DOI, or title and lead, with another is the same output, and
+    its fields are put together from all of them.
     """
     named = [
         harmonise.conform(df).withColumn("Source", F.lit(name)) for name, df in by_source.items()
@@ -29,6 +31,9 @@ def combine(by_source: Mapping[str, DataFrame]) -> DataFrame:
     every = reduce(DataFrame.unionByName, named).where(F.col("OutputTitle").isNotNull())
     # Stored, so that the payloads are parsed once for both sides of the semi join.
     keyed = materialise(every.withColumn("_id", F.concat_ws(":", "Source", "ProjID")), "records")
+    if transitive:
+        keys = entities.identity_keys("DOI", "OutputTitle", "ProjectPI")
+        return entities.merge(keyed, "_id", keys).drop("_id", "n_records")
     kept = harmonise.dedupe(keyed, "_id", doi="DOI", title="OutputTitle", author="ProjectPI")
     return kept.drop("_id")
 
@@ -82,6 +87,42 @@ def orcid_outputs(projects: DataFrame, people: DataFrame, profiles: DataFrame, c
     return records.orcid_profile_records(match.attach_metadata(leads, parsed, "orcid"), messages)
 
 
+def enriched(outputs: DataFrame, people: DataFrame, profiles: DataFrame, works: DataFrame) -> DataFrame:
+    """Outputs with the gaps filled that the work of their DOI in their lead's profile fills.
+
+    ``works`` has put_code and body, a work as JSON; of several bodies the smallest is taken.
+    """
+    numbered = materialise(outputs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    leads = match.resolve_pi(numbered.select("_row", "ProjectPI", F.col("DOI").alias("doi")), people, "ProjectPI", "_row")
+    persons = profiles.select("orcid", payloads.parse_json("record", schemas.ORCID_RECORD).alias("record"))
+    codes = match.work_for_doi(leads, persons, "_row").where(F.col("put_code").isNotNull()).select("_row", "put_code")
+    bodies = works.where(F.col("put_code").isNotNull()).groupBy("put_code").agg(F.min("body").alias("body"))
+    found = codes.join(bodies, "put_code").select("_row", payloads.parse_json("body", schemas.ORCID_WORK).alias("work"))
+    return records.enrich_from_orcid_work(numbered.join(found, "_row", "left")).select(outputs.columns)
+
+
+def analyse(outputs: DataFrame, works: DataFrame | None, output: str) -> None:
+    """Write trends, the summary, components of the years and the keyword graph of the works."""
+    topics = frequency.usable_years(outputs, "OutputYear", "OutputType")
+    counts = materialise(frequency.year_topic_counts(topics), "counts")
+    counts.write.mode("overwrite").parquet(f"{output}/trends")
+    series = frequency.outputs_by_year(outputs, "OutputYear")
+    tables.write_summary(frequency.summary_document(series), f"{output}/summary")
+    # Types are a fixed list, so the matrix of years and types has a known width.
+    types = sorted({*V.OUTPUT_TYPE_CODES.values(), V.OTHER_TYPE_CODE})
+    present = counts.where(F.col("topic").isin(types))
+    if present.select("year").distinct().limit(2).count() > 1:
+        matrix = frequency.spread_counts(present, "year", "topic", types)
+        lifecycle.topic_pca(matrix).write.mode("overwrite").parquet(f"{output}/components")
+    if works is not None:
+        keywords = payloads.parse_json("body", "title string, keywords array<string>")
+        read = payloads.parsed_once(works.select("body").distinct(), "_w", keywords)
+        numbered = materialise(read.select(F.monotonically_increasing_id().alias("id"), "_w.*"), "works")
+        pubs = materialise(graph.publications(numbered, "id", "keywords"), "publications")
+        groups = graph.components(pubs).join(graph.degrees(pubs), "id").join(numbered.select("id", "title"), "id")
+        groups.write.mode("overwrite").parquet(f"{output}/graph")
+
+
 def run_pipeline(
     spark: SparkSession,
     landing: str,
@@ -89,30 +130,41 @@ def run_pipeline(
     as_of_year: int,
     use_articles: bool = True,
     use_openalex: bool = True,
-    related_only: bool = False,
+    related_only: bool = True,
+    overlap: float | None = 0.8,
+    transitive: bool = False,
 ) -> DataFrame:
     """From a landing folder to the table of research outputs.
 
     The folder holds ``group*.csv`` with project records and the Parquet tables
     ``articles``, ``openalex`` (landed responses keyed by DOI), ``core`` (author, rank,
     body), ``people`` (given, family, orcid, rank), ``profiles`` (orcid, the person's
-    record and the array of its works by group, as JSON) and ``crossref`` (key, body);
-    what is not there adds nothing. Writes ``outputs``, ``lookups``, ``project_ids``,
-    ``trends`` and ``summary`` below ``output``; a second run looks up only what is new and
-    changes no ProjID. With
-    ``related_only`` the outputs are those related to the programme.
+    record and the array of its works by group, as JSON), ``crossref`` (key, body),
+    ``index`` (doi, title, author, pmcid) and ``works`` (put_code, body);
+    what is not there adds nothing. Projects are matched with the index by DOI, title or
+    title words (``overlap``), and articles are found by DOI or by the PMC id of the match.
+    Writes ``outputs``, ``lookups``, ``project_ids``, ``matches``, ``trends``, ``summary``,
+    ``components`` and ``graph`` below ``output``; a second run looks up only what is new
+    and changes no ProjID. Outputs are those related to the programme, unless
+    ``related_only`` is off.
     """
     there = lambda name: bool(tables.list_paths(spark, f"{landing}/{name}"))
     table = lambda name, schema: spark.read.schema(schema).parquet(f"{landing}/{name}")
     frames = [harmonise.harmonise(f) for f in tables.read_group_files(spark, f"{landing}/group*.csv")]
     projects = materialise(numbered_projects(harmonise.union_complete(frames), f"{output}/project_ids"), "projects")
     by_source = {}
-    if there("core"):
-        works = table("core", "author string, rank bigint, body string")
+    works = table("core", "author string, rank bigint, body string") if there("core") else None
+    if works is not None:
         by_source["CORE"] = records.core_records(projects, works, as_of_year)
     if use_articles and there("articles"):
         bodies = first_per_key(payloads.read_landed(spark, f"{landing}/articles"))
-        numbers = projects.groupBy(text.norm_doi("doi").alias("lookup_key")).agg(F.min("id").alias("id"))
+        asked = projects.select(text.norm_doi("doi").alias("lookup_key"), "id")
+        if there("index"):
+            listed = table("index", "doi string, title string, author string, pmcid string")
+            match.match_cascade(projects, listed, "id", overlap).write.mode("overwrite").parquet(f"{output}/matches")
+            matched = spark.read.parquet(f"{output}/matches").where("In_PMC")
+            asked = asked.unionByName(matched.select(text.norm_doi("PMCID").alias("lookup_key"), F.col("ProjID").alias("id")))
+        numbers = asked.groupBy("lookup_key").agg(F.min("id").alias("id"))
         by_source["PMC"] = records.article_records(
             match.attach_metadata(numbers, bodies, "lookup_key"), "id"
         )
@@ -121,19 +173,18 @@ def run_pipeline(
         inputs = openalex_inputs(projects, landed, f"{output}/lookups")
         by_source["OpenAlex"] = records.openalex_records(inputs, "id")
     if there("people") and there("profiles"):
+        people = table("people", "given string, family string, orcid string, rank bigint")
+        profiles = table("profiles", "orcid string, record string, groups string")
         by_source["ORCID"] = orcid_outputs(
-            projects,
-            table("people", "given string, family string, orcid string, rank bigint"),
-            table("profiles", "orcid string, record string, groups string"),
+            projects, people, profiles,
             table("crossref", "key string, body string") if there("crossref") else spark.createDataFrame([], "key string, body string"),
         )
-    combined = combine(by_source) if by_source else harmonise.conform(spark.range(0).select())
+    combined = combine(by_source, transitive) if by_source else harmonise.conform(spark.range(0).select())
+    if "ORCID" in by_source and there("works"):
+        combined = enriched(combined, people, profiles, table("works", "put_code bigint, body string"))
     if related_only:
         combined = records.related_records(combined)
     combined.write.mode("overwrite").parquet(f"{output}/outputs")
     outputs = spark.read.parquet(f"{output}/outputs")
-    topics = frequency.usable_years(outputs, "OutputYear", "OutputType")
-    frequency.year_topic_counts(topics).write.mode("overwrite").parquet(f"{output}/trends")
-    series = frequency.outputs_by_year(outputs, "OutputYear")
-    tables.write_summary(frequency.summary_document(series), f"{output}/summary")
+    analyse(outputs, works, output)
     return outputs
