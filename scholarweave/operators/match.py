@@ -191,6 +191,9 @@ def attach_crossref(records: DataFrame, messages: DataFrame, doi: str, unique: s
     return keyed.join(unique_details, "_doi", "left").drop("_doi").select("*", "_cr.*").drop("_cr")
 
 
+# Titles of one author that are compared with all works of that author.
+TITLES_PAIRED = 64
+
 WORK_FIELDS = (
     "title", "institutions", "documentType", "publisher", "publishedDate", "doi", "volume", "issue", "pages",
 )
@@ -214,7 +217,9 @@ def best_work(
 
     Relatedness is decided where a work is read, and only ``fields`` go on. The
     first work of an author, and the first that fits a title, are partial
-    aggregates, so no list of works is ever gathered.
+    aggregates, so no list of works is ever gathered. Works and titles of one author meet
+    all with all only as long as the titles are few; those of an author with more of them
+    meet by a part that the work's title has to share (:func:`title_probe`).
     """
     listed = works.where(F.col("author").isNotNull())
     if candidates is not None:
@@ -225,8 +230,14 @@ def best_work(
         F.struct("rank", F.struct(*[F.col("_w")[f].alias(f) for f in fields]).alias("work")).alias("_work"),
     )
     wanted = projects.select(F.col("author").alias("_author"), F.lower("title").alias("_title")).na.drop().distinct()
-    fits = F.contains(F.lower(F.col("_work")["work"]["title"]), F.col("_title"))
-    by_title = slim.join(wanted, "_author").where(fits).groupBy("_author", "_title").agg(F.min("_work").alias("_fit"))
+    busy = wanted.groupBy("_author").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TITLES_PAIRED)
+    busy = materialise(busy.select("_author", F.lit(True).alias("_busy")), "busy-authors")
+    listed_title = F.lower(F.col("_work")["work"]["title"])
+    met = lambda probes: F.explode(F.when(F.col("_busy"), probes).otherwise(F.array(F.lit("")))).alias("_probe")
+    left = slim.join(busy, "_author", "left").select("_author", "_work", met(_probed(listed_title)))
+    right = wanted.join(busy, "_author", "left").select("_author", "_title", met(F.array(title_probe("_title"))))
+    fits = F.contains(listed_title, F.col("_title"))
+    by_title = left.join(right, ["_author", "_probe"]).where(fits).groupBy("_author", "_title").agg(F.min("_work").alias("_fit"))
     by_author = slim.groupBy("_author").agg(F.min("_work").alias("_first"))
     joined = (
         projects.withColumn("_author", spread_nulls(F.col("author"), "id"))
@@ -237,6 +248,28 @@ def best_work(
     return joined.select(*projects.columns, F.coalesce("_fit", "_first")["work"].alias("work"))
 
 
+def _split_words(title: Column) -> Column:
+    return F.split(title, r"[^\p{L}\p{N}]+")
+
+
+def title_probe(title: ColumnOrName) -> Column:
+    """A part of a title that every text holding the title has among its :func:`_probed`.
+
+    That is its longest word that has other words on both sides, because these words are
+    whole words of the text as well; without one its first three characters.
+    """
+    words = _split_words(col(title))
+    inner = F.slice(words, 2, F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    return F.coalesce(F.nullif(longest, F.lit("")), F.when(F.length(col(title)) >= 3, F.substring(col(title), 1, 3)), F.lit(""))
+
+
+def _probed(title: Column) -> Column:
+    """All words of a text, its parts of three characters, and the empty part."""
+    threes = F.transform(F.sequence(F.lit(1), F.greatest(F.length(title) - 2, F.lit(1))), lambda i: F.substring(title, i, F.lit(3)))
+    return F.array_distinct(F.concat(_split_words(title), threes, F.array(F.lit(""))))
+
+
 def relevant_work(works: ColumnOrName, title: ColumnOrName) -> Column:
     """From a person's works: the last whose title contains the project title, else the first.
 

@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from scholarweave.operators import entities, title_search as T
+from scholarweave.operators import match
 from scholarweave.operators.match import first_author
 
 
@@ -105,3 +106,27 @@ def test_frequent_words_decide_the_order_only(spark):
     results = [sorted(map(tuple, T.title_matches(df, df, F.col("author"), "pmcid", frequent_words=n).select("words", "pmcid", "share").collect())) for n in (1, 10_000)]
     assert results[0] == results[1] and len(results[0]) == 120
     assert T.title_matches(df.where("false"), df, F.col("author"), "pmcid").collect() == []
+
+
+def test_best_works_of_an_author_with_many_titles(spark, monkeypatch):
+    """The same works whether all titles are compared with all works or meet by a part."""
+    rng = random.Random(11)
+    words = ["FSRDC", "wages", "of", "é", "firms", "Title 13", "x-y", "a", "census"]
+    make = lambda n: rng.choice([" ", ", ", "  "]).join(rng.choices(words, k=n))
+    titles = [make(rng.randrange(1, 5)) for _ in range(60)] + ["", "a", "fs", "ages of fir", "-y", " wages "]
+    projects = [(i, f"P{i % 2}", t) for i, t in enumerate(titles)] + [(900, None, "wages"), (901, "P1", None)]
+    works = [(f"P{i % 2}", i // 3, "FSRDC " + make(rng.randrange(1, 9))) for i in range(80)] + [("P0", 99, None)]
+    p = spark.createDataFrame(projects, "id int, author string, title string")
+    w = spark.createDataFrame(works, "author string, rank int, title string").withColumn("work", F.struct("title"))
+
+    def kept(limit):
+        monkeypatch.setattr(match, "TITLES_PAIRED", limit)
+        found = match.best_work(p, w, related=lambda work: work["title"].isNotNull(), fields=["title"])
+        return sorted((r.id, r.work.title if r.work else None) for r in found.collect())
+
+    plain = []
+    for i, author, title in projects:
+        own = sorted((r, t) for a, r, t in works if a == author and t is not None)
+        fit = [t for _, t in own if title is not None and title.lower() in t.lower()]
+        plain.append((i, (fit or [t for _, t in own] or [None])[0]))
+    assert kept(64) == kept(0) == sorted(plain)
