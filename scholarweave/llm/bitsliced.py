@@ -14,8 +14,8 @@ boundary rows; they alone are scored exactly from their codes.
 Each tile of queries meets each block once. Results of a block are at most k rows for a
 query, and those of all blocks are ranked together.
 
-Defined results: a vector that is null or holds a null or non-finite component takes no
-part. Missing components of shorter vectors count as zero. Rows with the query's own id
+Defined results: a row without an id, and a vector that is null or holds a null or non-finite
+component, takes no part. Missing components of shorter vectors count as zero. Rows with the query's own id
 are no candidates; other repeated rows are candidates once each, while repeated equal
 query rows are one query. Ties go to the smaller id. If there are fewer than k candidates,
 all are returned; an empty table gives an empty result. Codes so large that a score might
@@ -48,7 +48,7 @@ def coded_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     texts.with_workers(df.sparkSession)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf))
     chosen = df.select(F.col(f"`{key}`").cast("bigint").alias("vec_id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
-    return chosen.where(F.col("v").isNotNull() & F.forall("v", finite)).select(
+    return chosen.na.drop().where(F.forall("v", finite)).select(
         "vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("code")
     )
 

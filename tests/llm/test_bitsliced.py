@@ -43,6 +43,7 @@ def test_against_brute_force(spark, spread):
 def test_awkward_rows(spark):
     rows = vectors(120, 8, 2)
     rows += [(200, None), (201, [None] + [1.0] * 7), (250, [NAN] * 8), (300, [INF] * 8), (350, [0.5, -0.25]), (400, [])]
+    rows += [(None, [1.0] * 8), (2**53 + 1, [1.0] * 8), (2**53, [1.0] * 8)]
     rows += [(50, rows[50][1]), (7, rows[7][1]), (7, rows[7][1]), (100, [1.0] * 8)]
     assert search(spark, rows) == brute_search(rows)
 
