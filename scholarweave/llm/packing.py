@@ -115,7 +115,8 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GRO
     """Pieces with sequence_id and offset. ``pieces`` should be a stored table: it is counted first.
 
     The hash that deals out the groups is of document and place, so no document, source
-    or length can make a group large.
+    or length can make a group large, and of a column ``number``, if there is one: where it
+    differs from row to row, rows that repeat cannot either.
     """
     groups = max(1, math.ceil(pieces.count() / group_pieces))
     names = [f.split(" ")[0] for f in PIECE.split(", ")]
@@ -128,7 +129,8 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, group_pieces: int = GRO
         return group.append_column("offset", pa.array(offsets, pa.int64()))
 
     columns = [F.col(n).cast("bigint").alias(n) for n in names]
-    dealt = pieces.select(*columns, F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).alias("_group"))
+    told = ["doc_id", "start", "ids_crc32", *(["number"] if "number" in pieces.columns else [])]
+    dealt = pieces.select(*columns, F.pmod(F.xxhash64(*told), F.lit(groups)).alias("_group"))
     return dealt.groupBy("_group").applyInArrow(pack, f"{PIECE}, sequence_id long, offset long")
 
 
@@ -137,4 +139,5 @@ def pack_documents(
     key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Every piece of every document with its sequence and its place there."""
-    return pack_pieces(materialise(cut_documents(df, tokenizer, end_id, window, key, text), "pieces"), window)
+    pieces = cut_documents(df, tokenizer, end_id, window, key, text).withColumn("number", F.monotonically_increasing_id())
+    return pack_pieces(materialise(pieces, "pieces"), window)
