@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from scholarweave.llm import bpe, idfile, packing, token_counts, wordcodes
 from scholarweave.llm.queries import WORD_BPE
@@ -122,6 +123,31 @@ def test_frequent_words(spark):
     assert set(token_counts.frequent_words(docs, 4)) == {"the", ",", "of", "été"}
 
 
+def test_one_id_with_many_rows_is_split_over_files(spark, tmp_path):
+    folder = str(tmp_path / "ids")
+    docs = spark.createDataFrame([(7 if i % 3 else i, "same text" if i % 2 else f"text {i}") for i in range(900)], "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        idfile.write_ids(docs.repartition(6), WORD_BPE, folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r.n for r in spark.read.parquet(folder).selectExpr("part", "size(doc_ids) AS d").groupBy("part").agg(F.sum("d").alias("n")).collect()]
+    assert len(sizes) >= 3 and max(sizes) < 500
+    found = idfile.read_checksums(spark, folder).orderBy("start").collect()
+    assert [r.doc_id for r in found] == sorted(7 if i % 3 else i for i in range(900))
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]
+
+
+def test_equal_rows_do_not_fill_one_packing_group(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, "the same text") for _ in range(3000)], "doc_id long, text string")
+    groups = []
+    pack = packing.pack_pieces
+    monkeypatch.setattr(packing, "pack_pieces", lambda pieces, window: groups.append(pieces) or pack(pieces, window, 100))
+    found = packing.pack_documents(docs, WORD_BPE).collect()
+    sizes = Counter(r.sequence_id >> packing._GROUP_BITS for r in found)
+    assert len(found) == 3000 and len(sizes) > 20 and max(sizes.values()) < 200
+
+
 def test_packing(spark, coded):
     found = packing.pack_documents(awkward(spark), WORD_BPE).collect()
     check_packing(found, [(i, [*x, 1]) for i, _, x in coded])
