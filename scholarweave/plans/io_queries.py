@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from scholarweave.operators import frequency, harmonise, numbering
+from scholarweave.operators import counts, frequency, harmonise, numbering
 from scholarweave.plans.count_queries import (
     BY_YEAR_SQL, FUNNEL_COLUMNS, LINE_RECORDS_SQL, YEARS, line_records, order_pairs, yearly_outputs,
 )
@@ -191,3 +191,23 @@ def empty_inputs(t):
     cases = {"complete": (1, 1, 1), "without_others": (0, 1, 0), "without_any": (0, 0, 0)}
     every = reduce(DataFrame.unionByName, [count(kept, name) for name, kept in cases.items()])
     return every.agg(*[F.count_if(F.col("case") == name).alias(name) for name in cases])
+
+
+@query(
+    "incremental_counts",
+    "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority AS topic, count(*) AS n FROM orders "
+    "WHERE o_orderdate IS NOT NULL OR o_orderpriority IS NOT NULL GROUP BY ALL",
+)
+def incremental_counts(t):
+    """Three runs: urgent orders under another topic, then all with some a year late, then all as they are."""
+    folder = scratch_path(t.spark, "counts")
+    orders = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("topic"))
+    late = F.when(F.col("topic") == "2-HIGH", F.col("year") + 1).otherwise(F.col("year"))
+    runs = {
+        "first": orders.where("topic = '1-URGENT'").withColumn("topic", F.lit("unknown")),
+        "second": orders.withColumn("year", late),
+        "third": orders,
+    }
+    for run, batch in runs.items():
+        counts.update_counts(batch, folder, "o_orderkey", ["year", "topic"], run)
+    return counts.read_counts(t.spark, folder, ["year", "topic"], "year int, topic string")
