@@ -157,20 +157,18 @@ def write_ids(
 
     Range partitioning puts neighbouring documents into one file; the number of files
     follows spark.sql.shuffle.partitions and the adaptive settings. Rows of one doc_id stand
-    in the order of the beginnings of their texts, then of a hash. A range may end between
-    them, and between equal rows, too, which only chance tells apart, so that no doc_id makes
-    a file large.
+    in the order of the beginnings of their texts, and within a file of their texts. A range
+    may end between them, and between equal rows, too, which only chance tells apart, so that
+    no doc_id makes a file large.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = wordcodes.library_encoder(tokenizer)
         yield from _segments(wordcodes.encoded_slices(batches, encoder, end_id))
 
-    order = [F.col("doc_id").asc_nulls_first(), "_start", "_hash", "_chance"]
-    placed = texts.id_and_text(df, key, text).withColumns(
-        {"_start": F.substring("text", 1, 64), "_hash": F.xxhash64("text"), "_chance": F.rand(7)}
-    )
-    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_start", "_hash", "_chance")
+    by_id = F.col("doc_id").asc_nulls_first()
+    placed = texts.id_and_text(df, key, text).withColumns({"_start": F.substring("text", 1, 8), "_chance": F.rand(7)})
+    ordered = placed.repartitionByRange(by_id, "_start", "_chance").drop("_start", "_chance").sortWithinPartitions(by_id, "text")
     ordered.mapInArrow(run, SEGMENT).write.option("compression", "none").parquet(folder)
 
 
