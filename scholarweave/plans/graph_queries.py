@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scholarweave.operators import graph
+from scholarweave.operators import communities as grouping, graph
 from scholarweave.plans.registry import query
 from scholarweave.workspace import materialise
 
@@ -151,3 +151,61 @@ def part_bfs_levels(t):
     members = materialise(graph.memberships(part_publications(t)), "members")
     seeds = t.part.agg(F.min("p_partkey").alias("id"))
     return graph.bfs_levels(members, seeds, max_hops=2)
+
+
+def _communities(vertices: str, members: str) -> str:
+    """The rounds as a recursive query: keywords choose, publications choose, else pairs merge."""
+    return f"""
+WITH RECURSIVE e AS MATERIALIZED ({members}),
+m AS MATERIALIZED (SELECT count(*)::HUGEINT AS m FROM e),
+kd AS MATERIALIZED (SELECT id, keyword, count(*) OVER (PARTITION BY id) AS k, count(*) OVER (PARTITION BY keyword) AS d FROM e),
+r(round, id, label) AS (
+  SELECT DISTINCT 0, id, id FROM e
+  UNION ALL (
+  WITH now AS MATERIALIZED (SELECT * FROM r),
+  l AS MATERIALIZED (SELECT kd.*, label FROM kd JOIN now USING (id)),
+  sk AS MATERIALIZED (SELECT label, count(*) AS size FROM l GROUP BY label),
+  w AS MATERIALIZED (
+    SELECT keyword, d, label AS h FROM (
+      SELECT keyword, label, any_value(d) AS d, count(*) * any_value(m) - any_value(d)::HUGEINT * any_value(size) AS gain
+      FROM l JOIN sk USING (label), m GROUP BY keyword, label)
+    WHERE gain >= 0 QUALIFY row_number() OVER (PARTITION BY keyword ORDER BY gain DESC, label) = 1),
+  sd AS MATERIALIZED (SELECT h, sum(d) AS size FROM w GROUP BY h),
+  c AS MATERIALIZED (
+    SELECT id, h FROM (
+      SELECT id, h, any_value(label) AS label, count(*) * any_value(m) - any_value(k)::HUGEINT * any_value(size) AS gain
+      FROM l JOIN w USING (keyword) JOIN sd USING (h), m GROUP BY id, h)
+    WHERE gain >= 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY gain DESC, (label = h) IS TRUE DESC, h) = 1),
+  chosen AS MATERIALIZED (SELECT round, id, label, h FROM now LEFT JOIN c USING (id)),
+  settled AS MATERIALIZED (SELECT bool_and(label IS NOT DISTINCT FROM h) AS yes FROM chosen),
+  p AS MATERIALIZED (
+    SELECT a, b, n * (SELECT m FROM m) - ka * db - kb * da AS gain FROM (
+      SELECT a, b, n, coalesce(x.size, 0)::HUGEINT AS ka, coalesce(y.size, 0)::HUGEINT AS kb,
+        coalesce(u.size, 0)::HUGEINT AS da, coalesce(v.size, 0)::HUGEINT AS db
+      FROM (SELECT least(label, h) AS a, greatest(label, h) AS b, count(*) AS n FROM l JOIN w USING (keyword) WHERE label <> h GROUP BY a, b)
+      LEFT JOIN sk x ON x.label = a LEFT JOIN sk y ON y.label = b LEFT JOIN sd u ON u.h = a LEFT JOIN sd v ON v.h = b)),
+  best AS MATERIALIZED (
+    SELECT x, a + b - x AS y, a, b, gain FROM (SELECT unnest([a, b]) AS x, a, b, gain FROM p WHERE gain > 0)
+    QUALIFY row_number() OVER (PARTITION BY x ORDER BY gain DESC, a, b) = 1),
+  liked AS MATERIALIZED (SELECT y AS x, count(*) AS liked FROM best GROUP BY y),
+  roots AS MATERIALIZED (
+    SELECT x AS root, y AS mate FROM best JOIN liked USING (x)
+    QUALIFY count(*) OVER (PARTITION BY a, b) = 2 AND row_number() OVER (PARTITION BY a, b ORDER BY liked DESC, x) = 1),
+  leaves AS MATERIALIZED (
+    SELECT x, root, mate, gain, coalesce(sk.size, 0)::HUGEINT AS k, coalesce(sd.size, 0)::HUGEINT AS d
+    FROM best JOIN roots ON y = root LEFT JOIN sk ON sk.label = x LEFT JOIN sd ON sd.h = x),
+  fits AS MATERIALIZED (SELECT x, root, mate, gain > k * (sum(d) OVER (PARTITION BY root) - d) AS ok FROM leaves),
+  g AS MATERIALIZED (
+    SELECT x AS label, root AS goal FROM fits QUALIFY ok OR (x = mate AND NOT bool_or(ok) OVER (PARTITION BY root)))
+  SELECT round + 1, id, CASE WHEN (SELECT yes FROM settled) THEN coalesce(goal, h) ELSE h END
+  FROM chosen LEFT JOIN g ON g.label = chosen.h
+  WHERE NOT (SELECT yes FROM settled) OR EXISTS (FROM g))),
+f AS (SELECT id, label FROM r WHERE round = (SELECT max(round) FROM r)),
+n AS (SELECT label, min(id) AS community FROM f WHERE label IS NOT NULL GROUP BY label)
+SELECT v.id, coalesce(community, v.id) AS community FROM ({vertices}) v LEFT JOIN f USING (id) LEFT JOIN n USING (label)
+"""
+
+
+@query("communities", _communities("SELECT doc_id AS id FROM documents", _DOC_LINES))
+def communities(t):
+    return grouping.communities(document_publications(t))
