@@ -130,11 +130,12 @@ def communities(pubs: DataFrame) -> DataFrame:
         labels = after.drop("moved")
         if not after.where("moved").isEmpty():
             continue
-        merges = materialise(_merges(members, labels, words, m), "merges")
-        if merges.isEmpty():
+        merges = _merges(members, labels, words, m)
+        merged = labels.join(merges, "label", "left").select("id", F.coalesce("target", "label").alias("label"), "k", F.col("target").isNotNull().alias("moved"))
+        after = materialise(merged, "labels")
+        if after.where("moved").isEmpty():
             break
-        merged = labels.join(merges, "label", "left")
-        labels = materialise(merged.select("id", F.coalesce("target", "label").alias("label"), "k"), "labels")
+        labels = after.drop("moved")
     names = labels.where("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("community"))
     named = labels.join(names, "label").select("id", "community")
     return (

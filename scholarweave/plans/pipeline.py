@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from scholarweave import schemas, vocabulary as V
 from scholarweave.functions import text
-from scholarweave.operators import entities, frequency, graph, harmonise, lifecycle, match, numbering
+from scholarweave.operators import communities, entities, frequency, graph, harmonise, lifecycle, match, numbering
 from scholarweave.plans import records
 from scholarweave.sources import payloads, tables
 from scholarweave.sources.payloads import first_per_key
@@ -119,7 +119,8 @@ def analyse(outputs: DataFrame, works: DataFrame | None, output: str) -> None:
         read = payloads.parsed_once(works.select("body").distinct(), "_w", keywords)
         numbered = materialise(read.select(F.monotonically_increasing_id().alias("id"), "_w.*"), "works")
         pubs = materialise(graph.publications(numbered, "id", "keywords"), "publications")
-        groups = graph.components(pubs).join(graph.degrees(pubs), "id").join(numbered.select("id", "title"), "id")
+        groups = graph.components(pubs).join(communities.communities(pubs), "id").join(graph.degrees(pubs), "id")
+        groups = groups.join(numbered.select("id", "title"), "id")
         groups.write.mode("overwrite").parquet(f"{output}/graph")
 
 
