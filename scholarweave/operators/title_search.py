@@ -1,14 +1,24 @@
-"""Titles that have nearly the same words, by an inverted index of rare words.
+"""Titles that have nearly the same words, by the sets of words that two have in common.
 
 Two titles match if their authors are equal and their sets of words overlap by a given part
-of all words of both. If the words of each title are put in one order, two that overlap so
-much share one of their first words, how many of them follows from the length alone. With
-rare words first, few titles share one. Candidates are verified by their whole sets, so what
-is found is exact, whatever the order.
+of all words of both. So both become one set if each loses the few words that it has alone.
+A short title is kept under every set that is left when it loses as many words as the overlap
+allows, and titles meet where such sets are equal. The overlap follows from the numbers of
+words lost, so of the listed titles under a set only the smallest is kept for each number:
+titles are looked up and never paired, however many of an author have words in common.
+
+Longer titles would leave too many sets. If the words of each are put in one order, two that
+overlap so much share one of their first words, how many of them follows from the length
+alone. With rare words first, few titles share one. Candidates are verified by their whole
+sets, so what is found is exact, whatever the order.
 """
 
 from __future__ import annotations
 
+import json
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scholarweave.functions.text import norm_words
@@ -16,6 +26,9 @@ from scholarweave.workspace import materialise
 
 #: Words whose frequency is looked up; all others are rarer than these and go before them.
 FREQUENT_WORDS = 10_000
+#: Sets that a short title may leave: 14 words at an overlap of 0.8.
+MOST_SETS = 200
+MOST_SHORT = 64
 
 
 def title_words(title: str) -> Column:
@@ -52,6 +65,59 @@ def _prefixes(sets: DataFrame, frequent: DataFrame, overlap: float) -> DataFrame
     )
 
 
+def _losses(overlap: float) -> list[tuple[int, list[int]]]:
+    """(size, places of lost words) of every way in which a short title may lose words."""
+    found: list[tuple[int, list[int]]] = []
+    for size in range(1, MOST_SHORT + 1):
+        most = min(math.floor(size * (1 - overlap) + 1e-6), size - 1)
+        if sum(math.comb(size, k) for k in range(most + 1)) > MOST_SETS:
+            break
+        found += [(size, list(places)) for k in range(most + 1) for places in combinations(range(size), k)]
+    return found
+
+
+def _left(sets: DataFrame, losses: DataFrame) -> DataFrame:
+    """Sets with ``left``, a digest of the author and the words that stay, and ``lost``, how many do not."""
+    each = sets.join(F.broadcast(losses), F.size("words") == F.col("size"))
+    stay = F.filter("words", lambda w, i: ~F.array_contains("places", i))
+    # Words hold no line break, so the last one ends the author.
+    text = F.concat("author", F.lit("\n"), F.array_join(stay, " "))
+    return each.withColumns({"left": F.unhex(F.md5(text.cast("binary"))), "lost": F.size("places")})
+
+
+def _short_matches(asked: DataFrame, listed: DataFrame, losses: DataFrame, overlap: float) -> DataFrame:
+    """(number, kept, share): per set that an asked title leaves and words lost, the smallest listed one.
+
+    The share is that of the set, at most that of the titles, and the same for the set of all
+    words that both have; so the greatest share of a title is right, and its smallest ``kept``.
+    """
+    found = _left(listed, losses).groupBy("left", F.col("lost").alias("_lost")).agg(
+        F.min("kept").alias("kept"), F.bool_or(F.col("kept").isNull()).alias("_null")
+    )
+    common = F.col("size") - F.col("lost")
+    share = common / (F.col("size") + F.col("_lost"))
+    both = _left(asked, losses).select("number", "left", "lost", "size").join(found, "left").withColumn("share", share)
+    return both.where(F.col("share") >= overlap - 1e-9).select("number", F.when(~F.col("_null"), F.col("kept")).alias("kept"), "share")
+
+
+def _long_matches(asked: DataFrame, listed: DataFrame, short: int, overlap: float, frequent_words: int) -> DataFrame:
+    """(number, kept, share) of the pairs of which one title at least has more than ``short`` words."""
+    may = F.size("words") >= overlap * (short + 1) - 1e-9
+    asked, listed = asked.where(may), listed.where(may)
+    frequent = materialise(_frequent(listed, frequent_words), "frequent-words")
+    left = _prefixes(asked, frequent, overlap)
+    right = _prefixes(listed, frequent, overlap).withColumnsRenamed({"number": "other", "size": "other_size"})
+    near = (F.col("other_size") >= F.lit(overlap) * F.col("size") - 1e-9) & (F.col("size") >= F.lit(overlap) * F.col("other_size") - 1e-9)
+    long = F.greatest("size", "other_size") > short
+    pairs = left.join(right, ["author", "word"]).where(near & long).select("number", "other").distinct()
+    both = pairs.join(asked, "number").join(
+        listed.select(F.col("number").alias("other"), F.col("words").alias("_words"), "kept"), "other"
+    )
+    common = F.size(F.array_intersect("words", "_words"))
+    share = common / (F.size("words") + F.size("_words") - common)
+    return both.withColumn("share", share).where(F.col("share") >= overlap - 1e-9).select("number", "kept", "share")
+
+
 def title_matches(
     records: DataFrame, index: DataFrame, author: Column, found: str, overlap: float = 0.8, frequent_words: int = FREQUENT_WORDS
 ) -> DataFrame:
@@ -63,19 +129,13 @@ def title_matches(
     """
     asked = materialise(_sets(records, "title", author, F.lit(0)).drop("kept").withColumn("number", F.monotonically_increasing_id()), "asked")
     listed = materialise(_sets(index, "title", author, F.col(found)).withColumn("number", F.monotonically_increasing_id()), "listed")
-    frequent = materialise(_frequent(listed, frequent_words), "frequent-words")
-    left = _prefixes(asked, frequent, overlap)
-    right = _prefixes(listed, frequent, overlap).withColumnsRenamed({"number": "other", "size": "other_size"})
-    near = (F.col("other_size") >= F.lit(overlap) * F.col("size") - 1e-9) & (F.col("size") >= F.lit(overlap) * F.col("other_size") - 1e-9)
-    pairs = left.join(right, ["author", "word"]).where(near).select("number", "other").distinct()
-    both = pairs.join(asked, "number").join(
-        listed.select(F.col("number").alias("other"), F.col("words").alias("_words"), F.col("kept").alias(found)), "other"
-    )
-    common = F.size(F.array_intersect("words", "_words"))
-    share = common / (F.size("words") + F.size("_words") - common)
-    scored = both.withColumn("share", share).where(F.col("share") >= overlap - 1e-9)
-    best = F.min_by(F.struct(found, "share"), F.struct(-F.col("share"), found))
-    return scored.groupBy("number", "author", "words").agg(best.alias("_best")).select("author", "words", "_best.*")
+    losses = _losses(overlap)
+    short = max((size for size, _ in losses), default=0)
+    told = F.from_json(F.lit(json.dumps([{"size": n, "places": at} for n, at in losses])), "array<struct<size: int, places: array<int>>>")
+    ways = records.sparkSession.range(1).select(F.explode(told).alias("way")).select("way.*")
+    scored = _short_matches(asked, listed, ways, overlap).unionByName(_long_matches(asked, listed, short, overlap, frequent_words))
+    best = F.min_by(F.struct(F.col("kept").alias(found), "share"), F.struct(-F.col("share"), "kept"))
+    return scored.groupBy("number").agg(best.alias("_best")).join(asked, "number").select("author", "words", "_best.*")
 
 
 def with_match(records: DataFrame, index: DataFrame, author: Column, found: str, overlap: float = 0.8) -> DataFrame:

@@ -1,8 +1,10 @@
 """Entities over several keys, and titles found by their words, against plain versions."""
 
+import itertools
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from scholarweave.operators import entities, title_search as T
@@ -108,6 +110,40 @@ def test_frequent_words_decide_the_order_only(spark):
     assert T.title_matches(df.where("false"), df, F.col("author"), "pmcid").collect() == []
 
 
+def test_titles_with_common_words_are_looked_up_not_paired(spark):
+    """4,096 titles of one author: each overlaps with 28 others, but meets at most ten rows."""
+    words = [[f"{place}{i}" for i in range(8)] for place in "abcd"]
+    rows = [(n, " ".join(title), "x") for n, title in enumerate(itertools.product(*words))]
+    df = spark.createDataFrame(rows, "pmcid long, title string, author string")
+    scored = []
+    plain = T._short_matches
+
+    def counted(*args):
+        scored.append(plain(*args))
+        return scored[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(T, "_short_matches", counted)
+        found = T.with_match(df.withColumnRenamed("pmcid", "id"), df.where("pmcid > 0"), F.col("author"), "pmcid", 0.6)
+        got = {r.id: (r.pmcid, r.share) for r in found.collect()}
+    assert got == {n: (n, 1.0) if n else (1, 0.6) for n, _, _ in rows}
+    assert scored[0].count() <= 10 * len(rows)
+
+
+def test_short_and_long_titles_against_brute_force(spark):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(40)]
+    listed = [(i, " ".join(rng.sample(vocabulary, rng.randrange(10, 24))), "cy") for i in range(80)]
+    asked = []
+    for i in range(120):
+        words = rng.choice(listed)[1].split()
+        asked.append((i, " ".join(rng.sample(words, len(words) - rng.randrange(4)) + rng.sample(vocabulary, rng.randrange(3))), "cy"))
+    names = "title string, author string"
+    a, b = spark.createDataFrame(asked, f"id long, {names}"), spark.createDataFrame(listed, f"pmcid long, {names}")
+    got = {r.id: (r.pmcid, None if r.share is None else round(r.share, 9)) for r in T.with_match(a, b, F.col("author"), "pmcid", 0.8).collect()}
+    assert got == brute_titles(asked, listed, 0.8) and sum(share is not None for _, share in got.values()) > 50
+
+
 def test_best_works_of_an_author_with_many_titles(spark, monkeypatch):
     """The same works whether all titles are compared with all works or meet by a part."""
     rng = random.Random(11)
