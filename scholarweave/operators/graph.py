@@ -58,39 +58,85 @@ def edge_degrees(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.select("id").join(counts, "id", "left").na.fill(0, ["degree"])
 
 
-def _merged_keywords(members: DataFrame) -> DataFrame:
+def hashed_memberships(pubs: DataFrame) -> DataFrame:
+    """(id, keyword) with a digest of 128 bits for each keyword, which may be a long text."""
+    return pubs.select("id", F.explode(F.transform("keywords", lambda k: F.unhex(F.md5(k.cast("binary"))))).alias("keyword"))
+
+
+#: What says which publications a keyword has.
+HOLDERS = ("n", "h0", "h1", "h2", "h3")
+
+
+def holders(members: DataFrame) -> DataFrame:
+    """(keyword, n, h0 to h3): the number of a keyword's publications, and sums of four digests of 32 bits.
+
+    Sums tell repeated publications apart, which would cancel each other out in a bitwise one.
+    """
+    halves = [F.shiftright(F.xxhash64("id", *salt), 32) for salt in ([], [F.lit(1)], [F.lit(2)], [F.lit(3)])]
+    sums = [F.sum(half).alias(name) for name, half in zip(HOLDERS[1:], halves)]
+    return members.groupBy("keyword").agg(F.count(F.lit(1)).alias(HOLDERS[0]), *sums)
+
+
+def shared_memberships(pubs: DataFrame) -> DataFrame:
     """(id, keyword) with keywords that occur in exactly the same publications made one.
 
     A licence text of many lines is then one keyword. Which publications a keyword has
-    is told by their number and two digests of 64 bits over their ids. Keywords of a
-    single publication link nothing and are left out.
+    is told by their number and digests of 128 bits over their ids. Keywords of a
+    single publication link nothing and are left out. The table is stored.
     """
-    ids = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")]
-    holders = members.groupBy("keyword").agg(*ids).where("n > 1")
-    same = holders.groupBy("n", "x", "y").agg(F.min("keyword").alias("keyword")).select("keyword")
-    return members.join(same, "keyword", "left_semi")
+    members = hashed_memberships(pubs)
+    same = holders(members).where("n > 1").groupBy(*HOLDERS).agg(F.min("keyword").alias("keyword")).select("keyword")
+    return materialise(members.join(same, "keyword", "left_semi"), "shared-keywords")
+
+
+#: Ids of one row in the sets of ids that are united for degrees.
+BITS = 64
 
 
 def class_degrees(pubs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Degrees per set of shared keywords: (id, cls), and (cls, n publications, degree each).
 
     Publications with the same shared keywords have the same neighbours, so they form a
-    class. The publications of a keyword are kept as bitmaps of 32,768 ids each; those
-    of a class's keywords are united and counted. The work grows with the keywords of a
-    class, not with pairs of publications, and needs no choice between frequent and
-    rare keywords. Publications that share no keyword are in no class.
+    class. The publications of a keyword are kept as rows with the bits of 64 ids each, so a
+    keyword of few publications takes few rows. Those of a class's two most frequent keywords
+    are counted by the numbers of each and of both, once for all classes with these two. Only
+    the rarer ones of a class are listed, united, and counted where neither of the two has
+    them. Publications that share no keyword are in no class.
     """
-    members = materialise(_merged_keywords(memberships(pubs)), "shared-keywords")
+    members = shared_memberships(pubs)
     owners = materialise(
         members.groupBy("id").agg(F.xxhash64(F.array_sort(F.collect_list("keyword"))).alias("cls")), "classes"
     )
     sizes = owners.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
     words = members.join(sizes.select("id", "cls"), "id").select("cls", "keyword")
-    maps = members.groupBy("keyword", F.expr("bitmap_bucket_number(id)").alias("bucket")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(id))").alias("bits")
+    bit = F.expr(f"shiftleft(1L, CAST(pmod(id, {BITS}) AS INT))")
+    bits = members.groupBy("keyword", F.floor(F.col("id") / BITS).alias("bucket")).agg(F.bit_or(bit).alias("bits"))
+    maps = materialise(bits, "keyword-ids")
+    counts = maps.groupBy("keyword").agg(F.sum(F.bit_count("bits")).alias("n"))
+    falling = F.sort_array(F.collect_list(F.struct("n", "keyword")), asc=False)
+    listed = words.join(counts, "keyword").groupBy("cls").agg(falling.alias("w"))
+    first, second = F.get("w", F.lit(0)), F.get("w", F.lit(1))
+    classes = materialise(
+        listed.select(
+            "cls", first["keyword"].alias("k1"), second["keyword"].alias("k2"), first["n"].alias("n1"), second["n"].alias("n2"),
+            F.slice(F.col("w")["keyword"], F.lit(3), F.size("w")).alias("rest"),
+        ),
+        "class-keywords",
+    )
+    of = lambda key, found: maps.select(F.col("keyword").alias(key), "bucket", F.col("bits").alias(found))
+    both = (
+        classes.where("k2 IS NOT NULL").select("k1", "k2").distinct().join(of("k2", "b2"), "k2").join(of("k1", "b1"), ["k1", "bucket"])
+        .groupBy("k1", "k2").agg(F.sum(F.bit_count(F.col("b1").bitwiseAND(F.col("b2")))).alias("common"))
+    )
+    rarer = (
+        classes.select("cls", "k1", "k2", F.explode("rest").alias("keyword")).join(maps, "keyword")
+        .groupBy("cls", "k1", "k2", "bucket").agg(F.bit_or("bits").alias("bits"))
+        .join(of("k1", "b1"), ["k1", "bucket"], "left").join(of("k2", "b2"), ["k2", "bucket"], "left")
     )
-    united = words.join(maps, "keyword").groupBy("cls", "bucket").agg(F.expr("bitmap_count(bitmap_or_agg(bits))").alias("k"))
-    reached = united.groupBy("cls").agg((F.sum("k") - 1).alias("degree"))
+    fresh = F.expr("bit_count(bits & ~coalesce(b1, 0L) & ~coalesce(b2, 0L))")
+    more = rarer.groupBy("cls").agg(F.sum(fresh).alias("more"))
+    degree = F.col("n1") + F.coalesce("n2", F.lit(0)) - F.coalesce("common", F.lit(0)) + F.coalesce("more", F.lit(0)) - 1
+    reached = classes.join(both, ["k1", "k2"], "left").join(more, "cls", "left").select("cls", degree.alias("degree"))
     return owners, sizes.select("cls", "n").join(reached, "cls")
 
 

@@ -110,3 +110,29 @@ def test_levels(spark, monkeypatch):
     assert got == {i: i for i in range(6)}
     near = {r.id for r in graph.bfs_levels(members, seeds, max_hops=2).collect()}
     assert near == {0, 1, 2}
+
+
+def test_degrees_of_repeated_publications(spark):
+    """Every row twice: keywords of different publications are still told apart."""
+    sets = random_sets(8, n=40, words=30, most=6) + [{"p"}, {"p"}, {"q"}, {"q"}, {"r"}, {"r"}]
+    twice = table(spark, sets).union(table(spark, sets))
+    got = {r.id: r.degree for r in graph.degrees(twice).collect()}
+    assert got == brute_degrees(sets)
+
+
+def test_degrees_of_many_frequent_keywords(spark):
+    rng = random.Random(9)
+    sets = [{f"w{k}" for k in range(12) if rng.random() < 1 / (k + 2)} | {f"pair {i // 2}"} for i in range(400)]
+    got = {r.id: r.degree for r in graph.degrees(table(spark, sets)).collect()}
+    assert got == brute_degrees(sets)
+
+
+def test_levels_over_shared_memberships(spark):
+    """Long lines are hopped over as digests, equal ones as one, those of one publication not at all."""
+    sets = [{f"k{i}" * 500, f"k{i + 1}" * 500, f"l{i + 1}", f"own {i}"} | ({f"l{i}"} if i else set()) for i in range(6)] + [{"z"}]
+    pubs = table(spark, sets)
+    members = graph.shared_memberships(pubs)
+    assert members.count() == 10 and {len(r.keyword) for r in members.collect()} == {16}
+    seeds = spark.createDataFrame([(0,), (6,)], "id bigint")
+    levels = lambda m: {r.id: r.level for r in graph.bfs_levels(m, seeds).collect()}
+    assert levels(members) == levels(materialise(graph.memberships(pubs), "m")) == {i: i for i in range(6)} | {6: 0}
