@@ -19,9 +19,13 @@ they can lose among each other, else its partner alone. So Q rises, and a commun
 very many small ones around it takes them in together.
 All sums are whole numbers, so the result depends on no order.
 
-Work and tables of a round grow with the memberships: counts per (keyword, community) and
-(publication, community), never pairs of publications. Labels are written after every
-round; the driver sees one count a round.
+Keywords with the same publications always choose alike, so they are one with a weight. A
+keyword of one publication follows it: such keywords are a number beside the publication,
+and a publication that has no others is alone and takes no part in the rounds.
+
+Work and tables of a round grow with what is left of the memberships: counts per (keyword,
+community) and (publication, community), never pairs of publications. Keywords are shuffled
+as digests. Labels are written after every round; the driver sees one count a round.
 
 Defined results: equal gains are decided for the present community, then for the smallest
 number. A publication whose best gain is below zero, or that has no keyword, is alone.
@@ -32,7 +36,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from scholarweave.operators.graph import memberships
+from scholarweave.operators.graph import HOLDERS, hashed_memberships, holders
 from scholarweave.workspace import materialise
 
 WHOLE = "decimal(19,0)"  # products of two counts fit in 38 digits
@@ -44,48 +48,73 @@ def _gain(inside: str, m: int, own: str, others: str) -> Column:
     return whole(F.col(inside)) * whole(F.lit(m)) - whole(F.col(own)) * whole(F.col(others))
 
 
+def _weighted(pubs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(id, keyword, k, d, w), (id, k, own), and the number of memberships m.
+
+    The memberships are those of the keywords of several publications: k is the number of all
+    keywords of the publication, d that of the publications of the keyword, and w that of the
+    keywords it stands for. ``own`` is the number of the keywords that only the publication has.
+    """
+    found = materialise(hashed_memberships(pubs).distinct(), "members")
+    same = (
+        holders(found).groupBy(*HOLDERS).agg(F.min("keyword").alias("keyword"), F.count(F.lit(1)).alias("w"))
+        .select("keyword", F.col("n").alias("d"), "w")
+    )
+    merged = materialise(found.join(same, "keyword"), "merged-members")
+    per_pub = merged.groupBy("id").agg(F.sum("w").alias("k"), F.sum(F.when(F.col("d") == 1, F.col("w")).otherwise(0)).alias("own"))
+    vertices = materialise(per_pub, "vertices")
+    members = materialise(merged.where("d > 1").join(vertices.select("id", "k"), "id").select("id", "keyword", "k", "d", "w"), "members")
+    return members, vertices, vertices.agg(F.coalesce(F.sum("k"), F.lit(0))).first()[0]
+
+
+def _word_sizes(words: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """(label, memberships of its keywords), those of single publications included."""
+    shared = words.select("label", (F.col("d") * F.col("w")).alias("n"))
+    single = labels.where("label IS NOT NULL AND own > 0").select("label", F.col("own").alias("n"))
+    return shared.unionByName(single).groupBy("label").agg(F.sum("n").alias(name))
+
+
 def _keyword_choice(members: DataFrame, labels: DataFrame, m: int) -> DataFrame:
-    """(keyword, label, d): the community of every keyword that is not worse off in one.
+    """(keyword, label, d, w): the community of every keyword that is not worse off in one.
 
-    ``members`` is (id, keyword, k, d), ``labels`` (id, label, k).
+    ``members`` is (id, keyword, k, d, w), ``labels`` (id, label, k, own).
     """
     sizes = labels.where("label IS NOT NULL").groupBy("label").agg(F.sum("k").alias("size"))
     counts = (
-        members.select("id", "keyword", "d").join(labels.where("label IS NOT NULL").select("id", "label"), "id")
-        .groupBy("keyword", "label").agg(F.count(F.lit(1)).alias("n"), F.first("d").alias("d"))
+        members.select("id", "keyword", "d", "w").join(labels.where("label IS NOT NULL").select("id", "label"), "id")
+        .groupBy("keyword", "label").agg(F.count(F.lit(1)).alias("n"), F.first("d").alias("d"), F.first("w").alias("w"))
     )
     rated = counts.join(sizes, "label").withColumn("gain", _gain("n", m, "d", "size")).where("gain >= 0")
-    best = F.max_by(F.struct("label", "d"), F.struct("gain", -F.col("label")))
+    best = F.max_by(F.struct("label", "d", "w"), F.struct("gain", -F.col("label")))
     return rated.groupBy("keyword").agg(best.alias("b")).select("keyword", "b.*")
 
 
 def _publication_choice(members: DataFrame, labels: DataFrame, words: DataFrame, m: int) -> DataFrame:
-    """(id, label, k, moved): the community of every publication, given those of the keywords."""
-    sizes = words.groupBy("label").agg(F.sum("d").alias("size"))
-    counts = (
-        members.select("id", "keyword", "k").join(words.select("keyword", "label"), "keyword")
-        .groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"), F.first("k").alias("k"))
-    )
-    rated = counts.join(sizes, "label").withColumn("gain", _gain("n", m, "k", "size")).where("gain >= 0")
-    old = labels.select("id", F.col("label").alias("old"), F.col("k").alias("old_k"))
+    """(id, label, k, own, moved): the community of every publication, given those of the keywords."""
+    sizes = _word_sizes(words, labels, "size")
+    shared = members.select("id", "keyword", "k", "w").join(words.select("keyword", "label"), "keyword").select("id", "label", "k", "w")
+    single = labels.where("label IS NOT NULL AND own > 0").select("id", "label", "k", F.col("own").alias("w"))
+    counts = shared.unionByName(single).groupBy("id", "label").agg(F.sum("w").alias("n"), F.first("k").alias("k"))
+    rated = counts.join(sizes, "label").withColumn("gain", _gain("n", m, "k", "size")).where("gain >= 0").select("id", "label", "gain")
+    old = labels.select("id", F.col("label").alias("old"), "k", "own")
     rank = F.struct("gain", F.col("label").eqNullSafe(F.col("old")), -F.col("label"))
     chosen = (
         old.join(rated, "id", "left").groupBy("id")
-        .agg(F.max_by("label", rank).alias("label"), F.first("old").alias("old"), F.first("old_k").alias("k"))
+        .agg(F.max_by("label", rank).alias("label"), F.first("old").alias("old"), F.first("k").alias("k"), F.first("own").alias("own"))
     )
-    return chosen.select("id", "label", "k", (~F.col("label").eqNullSafe(F.col("old"))).alias("moved"))
+    return chosen.select("id", "label", "k", "own", (~F.col("label").eqNullSafe(F.col("old"))).alias("moved"))
 
 
 def _merges(members: DataFrame, labels: DataFrame, words: DataFrame, m: int) -> DataFrame:
     """(label, target) of communities that go up in another one, all at once, so that Q rises."""
     ends = (
-        members.select("id", "keyword").join(labels.select("id", "label"), "id")
+        members.select("id", "keyword", "w").join(labels.select("id", "label"), "id")
         .join(words.select("keyword", F.col("label").alias("word_label")), "keyword").where("label <> word_label")
     )
     low, high = F.least("label", "word_label"), F.greatest("label", "word_label")
-    between = ends.groupBy(low.alias("a"), high.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    between = ends.groupBy(low.alias("a"), high.alias("b")).agg(F.sum("w").alias("n"))
     of_pubs = labels.where("label IS NOT NULL").groupBy("label").agg(F.sum("k").alias("size_k"))
-    of_words = words.groupBy("label").agg(F.sum("d").alias("size_d"))
+    of_words = _word_sizes(words, labels, "size_d")
     sizes = of_pubs.join(of_words, "label", "full").na.fill(0, ["size_k", "size_d"])
     named = lambda end: sizes.select(
         F.col("label").alias(end), F.col("size_k").alias(f"k_{end}"), F.col("size_d").alias(f"d_{end}")
@@ -118,12 +147,10 @@ def _merges(members: DataFrame, labels: DataFrame, words: DataFrame, m: int) ->
 
 def communities(pubs: DataFrame) -> DataFrame:
     """(id, community) of every publication (id, keywords)."""
-    found = materialise(memberships(pubs).distinct(), "members")
-    per_pub = found.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-    per_word = found.groupBy("keyword").agg(F.count(F.lit(1)).alias("d"))
-    members = materialise(found.join(per_pub, "id").join(per_word, "keyword"), "members")
-    m = members.count()
-    labels = materialise(per_pub.select("id", F.col("id").alias("label"), "k"), "labels")
+    members, vertices, m = _weighted(pubs)
+    # The others have no keyword that another publication has.
+    linked = vertices.where("own < k").select("id", F.col("id").alias("label"), "k", "own")
+    labels = materialise(linked, "labels")
     while True:
         words = materialise(_keyword_choice(members, labels, m), "keyword-labels")
         after = materialise(_publication_choice(members, labels, words, m), "labels")
@@ -131,7 +158,7 @@ def communities(pubs: DataFrame) -> DataFrame:
         if not after.where("moved").isEmpty():
             continue
         merges = _merges(members, labels, words, m)
-        merged = labels.join(merges, "label", "left").select("id", F.coalesce("target", "label").alias("label"), "k", F.col("target").isNotNull().alias("moved"))
+        merged = labels.join(merges, "label", "left").select("id", F.coalesce("target", "label").alias("label"), "k", "own", F.col("target").isNotNull().alias("moved"))
         after = materialise(merged, "labels")
         if after.where("moved").isEmpty():
             break
@@ -149,19 +176,14 @@ def modularity(pubs: DataFrame, assigned: DataFrame) -> DataFrame:
 
     Every keyword counts for the community that gains most by it.
     """
-    found = materialise(memberships(pubs).distinct(), "members")
-    per_pub = found.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-    per_word = found.groupBy("keyword").agg(F.count(F.lit(1)).alias("d"))
-    members = materialise(found.join(per_pub, "id").join(per_word, "keyword"), "members")
-    m = members.count()
-    labels = materialise(per_pub.join(assigned.withColumnRenamed("community", "label"), "id"), "labels")
-    words = _keyword_choice(members, labels.select("id", "label", "k"), m).select("keyword", "label")
+    members, vertices, m = _weighted(pubs)
+    labels = materialise(vertices.join(assigned.withColumnRenamed("community", "label"), "id"), "labels")
+    words = _keyword_choice(members, labels, m).select("keyword", "label", "d", "w")
     sizes = labels.groupBy("label").agg(F.sum("k").alias("size"))
-    inside = (
-        members.join(labels.select("id", "label"), "id").join(words, ["keyword", "label"])
-        .groupBy("label").agg(F.count(F.lit(1)).alias("e"))
-    )
-    held = words.join(per_word, "keyword").groupBy("label").agg(F.sum("d").alias("held"))
+    shared = members.join(labels.select("id", "label"), "id").join(words.select("keyword", "label"), ["keyword", "label"]).select("label", "w")
+    single = labels.select("label", F.col("own").alias("w"))
+    inside = shared.unionByName(single).groupBy("label").agg(F.sum("w").alias("e"))
+    held = _word_sizes(words, labels, "held")
     share = F.col("e") / F.lit(m) - F.col("size") / F.lit(m) * (F.col("held") / F.lit(m))
     shares = held.join(sizes, "label").join(inside, "label").select(F.lit(None).cast("bigint").alias("community"), share.alias("share"))
     rows = shares.unionByName(assigned.select("community", F.lit(0.0).alias("share")))

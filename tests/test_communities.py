@@ -106,3 +106,13 @@ def test_modularity(spark):
     assert good.communities == 2 and abs(good.modularity - 0.5) < 1e-12
     one = pubs.selectExpr("id", "0L AS community")
     assert abs(C.modularity(pubs, one).first().modularity) < 1e-12
+
+
+def test_keywords_with_equal_publications_are_one(spark):
+    """40 lines that all have and 50 that one has: a row each, not 90."""
+    sets = [{f"line {k}" for k in range(40)} | {f"own {i} {k}" for k in range(50)} | {f"pair {i // 2}"} for i in range(30)]
+    pubs = table(spark, sets)
+    members, vertices, m = C._weighted(pubs)
+    assert m == 30 * 91 and members.count() == 60
+    assert {(r.k, r.own) for r in vertices.collect()} == {(91, 50)}
+    assert found(spark, sets) == plain(sets)
