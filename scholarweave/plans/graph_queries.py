@@ -133,7 +133,7 @@ SELECT id, min(level) AS level FROM r GROUP BY id
 """,
 )
 def bfs_levels(t):
-    members = materialise(graph.memberships(document_publications(t)), "members")
+    members = graph.shared_memberships(document_publications(t))
     seeds = t.documents.groupBy("source").agg(F.min("doc_id").alias("id")).select("id")
     return graph.bfs_levels(members, seeds)
 
