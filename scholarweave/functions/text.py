@@ -16,6 +16,8 @@ WHITESPACE = (
     "           　"
 )
 _SPACES = r"[\s\u001c-\u001f\u0085\p{Z}]+"
+# Printable ASCII, whose only white space is the space.
+_PLAIN = r"\A[ -~]*\z"
 # Java would also read "12d" or "0x1p3" as a double; those are not numbers here.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -49,10 +51,16 @@ def norm_doi(c: ColumnOrName) -> Column:
 
 def norm_words(c: ColumnOrName) -> Column:
     """Lower case with runs of white space folded: the key for comparing titles."""
-    folded = F.trim(F.regexp_replace(col(c), _SPACES, " "))
+    folded = F.trim(once(col(c), fold_spaces))
     return once(F.lower(folded), lambda t: F.nullif(t, F.lit("")))
 
 
+def fold_spaces(t: Column) -> Column:
+    """A space for each run of white space; the search for every kind is for other texts than plain ones only."""
+    spaces = F.when(F.contains(t, F.lit("  ")), F.regexp_replace(t, " {2,}", " ")).otherwise(t)
+    return F.when(t.rlike(_PLAIN), spaces).otherwise(F.regexp_replace(t, _SPACES, " "))
+
+
 def first_author(c: ColumnOrName) -> Column:
     """First word of the first listed author; null when there is none."""
     head = F.substring_index(F.substring_index(col(c), ";", 1), ",", 1)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from scholarweave.functions import biblio
 from scholarweave.functions.predicates import is_present, is_related_work, is_valid_pi
 from scholarweave.functions.text import (
-    ColumnOrName, blank_to_null, col, first_author, first_token, last_token, norm_doi, norm_words,
+    ColumnOrName, blank_to_null, col, first_author, first_token, last_token, norm_doi, norm_words, once,
 )
 from scholarweave.operators import title_search
 from scholarweave.operators.ordered import limit_per_key
@@ -103,17 +103,12 @@ def match_cascade(
     title = F.col("title")
     author = first_author("author")
 
-    by_doi = materialise(
-        index.groupBy(norm_doi("doi").alias("_doi")).agg(F.min("pmcid").alias("_pmcid_doi"))
-        .where(F.col("_doi").isNotNull()),
-        "by-doi",
-    )
+    # Null keys are dropped from what is stored: Spark would compute the keys again for a filter before.
+    doi_answers = index.groupBy(norm_doi("doi").alias("_doi")).agg(F.min("pmcid").alias("_pmcid_doi"))
+    by_doi = materialise(doi_answers, "by-doi").where(F.col("_doi").isNotNull())
     index_key = _title_author_key(title, author)
-    by_title = materialise(
-        index.groupBy(index_key.alias("_pair")).agg(F.min("pmcid").alias("_pmcid_pair"))
-        .where(F.col("_pair").isNotNull()),
-        "by-title",
-    )
+    title_answers = index.groupBy(index_key.alias("_pair")).agg(F.min("pmcid").alias("_pmcid_pair"))
+    by_title = materialise(title_answers, "by-title").where(F.col("_pair").isNotNull())
 
     prepared = records.withColumns(
         {
@@ -123,7 +118,7 @@ def match_cascade(
         }
     )
     first = prepared.join(by_doi, "_doi", "left")
-    pair = F.when(F.col("_pmcid_doi").isNull(), _title_author_key(title, author))
+    pair = F.when(F.col("_pmcid_doi").isNull(), _title_author_key(title, F.col("Author")))
     second = first.withColumn("_pair", spread_nulls(pair, id_column)).join(
         by_title, "_pair", "left"
     )
@@ -154,8 +149,9 @@ def match_cascade(
 
 
 def _title_author_key(title: Column, author: Column) -> Column:
-    """Digest of both parts; null unless both are there."""
-    return F.sha2(F.concat(norm_words(title), F.lit("\n"), F.lower(author)), 256)
+    """Digest of both parts; null unless both are there. A title without an author is not read."""
+    digest = lambda a: F.when(a.isNotNull(), F.sha2(F.concat(norm_words(title), F.lit("\n"), a), 256))
+    return once(F.lower(author), digest)
 
 
 def attach_metadata(ids: DataFrame, articles: DataFrame, on: str) -> DataFrame:
