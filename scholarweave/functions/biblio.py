@@ -379,7 +379,7 @@ def _paragraph_text(parts: Column, paragraph: str) -> Column:
     kept = once(once(marked, other_tags), _inside_marks)
     # Parsed once more, as text of one element, for its entities and character references.
     text = F.from_xml(F.concat(F.lit("<r><t>"), kept, F.lit("</t></r>")), "t string", {"mode": "PERMISSIVE"})["t"]
-    return F.when(F.size(parts) > 0, F.translate(text, _LESS + _GREATER, "<>"))
+    return F.when(F.size(parts) > 0, _unguarded(text))
 
 
 def _inside_marks(marked: Column) -> Column:
@@ -424,7 +424,13 @@ def guarded(body: ColumnOrName) -> Column:
 
 def plain(c: ColumnOrName) -> Column:
     """Text of an element of a guarded body without the inline tags inside it."""
-    return F.translate(plain_tags(c), _LESS + _GREATER, "<>")
+    return _unguarded(plain_tags(c))
+
+
+def _unguarded(text: Column) -> Column:
+    # Few texts have such a mark, and to look for one is cheap.
+    marked = lambda t: F.contains(t, F.lit(_LESS)) | F.contains(t, F.lit(_GREATER))
+    return once(text, lambda t: F.when(marked(t), F.translate(t, _LESS + _GREATER, "<>")).otherwise(t))
 
 
 def plain_tags(c: ColumnOrName) -> Column:

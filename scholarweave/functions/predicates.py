@@ -34,14 +34,35 @@ def contains_any(
         pattern = r"(?i)(?<![\p{L}\p{N}_])(" + "|".join(map(re.escape, words)) + r")(?![\p{L}\p{N}_])"
         hit = text.rlike(pattern)
     else:
-        lowered = [F.lit(w.lower()) for w in words]
+        groups = by_shared_part([w.lower() for w in words])
         hit = F.exists(
             F.array(F.lower(text)),
-            lambda t: any_of([F.contains(t, w) for w in lowered]),
+            lambda t: any_of([_has_part(t, part, group) for part, group in groups]),
         )
     return F.coalesce(hit, F.lit(False))
 
 
+def by_shared_part(words: Sequence[str]) -> list[tuple[str, list[str]]]:
+    """Words grouped by a part, between spaces, that several of them hold; others stand alone.
+
+    A text without the part has none of its words, so it is searched once for all of them.
+    """
+    left, groups = list(dict.fromkeys(words)), []
+    while left:
+        holders = {part: [w for w in left if part in w] for w in left for part in w.split()}
+        part = max(holders, key=lambda p: (len(holders[p]), len(p)), default="")
+        if len(holders.get(part, [])) < 2:
+            return groups + [(w, [w]) for w in left]
+        groups.append((part, holders[part]))
+        left = [w for w in left if part not in w]
+    return groups
+
+
+def _has_part(text: Column, part: str, words: Sequence[str]) -> Column:
+    has = F.contains(text, F.lit(part))
+    return has if part in words else has & any_of([F.contains(text, F.lit(w)) for w in words])
+
+
 def is_related(c: ColumnOrName, whole_word: bool = False) -> Column:
     """Short-list relatedness of one text."""
     return contains_any(c, V.RELATED_KEYWORDS, whole_word)

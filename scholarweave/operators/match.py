@@ -211,8 +211,8 @@ def best_work(
     apart by the work itself. ``candidates`` limits the search to so many works of
     an author, related or not, as a search that returns one page would.
 
-    Relatedness is decided where a work is read, and only ``fields`` go on. The
-    first work of an author, and the first that fits a title, are partial
+    Relatedness is decided where a work is read, and only ``fields`` go on; they are stored,
+    so that a work is parsed once for both searches. The first work of an author, and the first that fits a title, are partial
     aggregates, so no list of works is ever gathered. Works and titles of one author meet
     all with all only as long as the titles are few; those of an author with more of them
     meet by a part that the work's title has to share (:func:`title_probe`).
@@ -221,10 +221,8 @@ def best_work(
     if candidates is not None:
         listed = limit_per_key(listed, "author", ["rank", F.xxhash64(*works.columns)], candidates)
     read = parsed_once(listed.select("author", "rank", col(work).alias("_in")), "_w", F.col("_in"))
-    slim = read.where(related(F.col("_w"))).select(
-        F.col("author").alias("_author"),
-        F.struct("rank", F.struct(*[F.col("_w")[f].alias(f) for f in fields]).alias("work")).alias("_work"),
-    )
+    kept = F.struct("rank", F.struct(*[F.col("_w")[f].alias(f) for f in fields]).alias("work")).alias("_work")
+    slim = materialise(read.where(related(F.col("_w"))).select(F.col("author").alias("_author"), kept), "related-works")
     wanted = projects.select(F.col("author").alias("_author"), F.lower("title").alias("_title")).na.drop().distinct()
     busy = wanted.groupBy("_author").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > TITLES_PAIRED)
     busy = materialise(busy.select("_author", F.lit(True).alias("_busy")), "busy-authors")

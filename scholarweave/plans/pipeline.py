@@ -28,9 +28,11 @@ def combine(by_source: Mapping[str, DataFrame], transitive: bool = False) -> Dat
     named = [
         harmonise.conform(df).withColumn("Source", F.lit(name)) for name, df in by_source.items()
     ]
-    every = reduce(DataFrame.unionByName, named).where(F.col("OutputTitle").isNotNull())
-    # Stored, so that the payloads are parsed once for both sides of the semi join.
-    keyed = materialise(every.withColumn("_id", F.concat_ws(":", "Source", "ProjID")), "records")
+    every = reduce(DataFrame.unionByName, named).withColumn("_id", F.concat_ws(":", "Source", "ProjID"))
+    # Stored, so that the payloads are parsed once for both sides of the semi join, and
+    # records without an output dropped from what is stored: for a filter before, Spark
+    # would parse the payloads again.
+    keyed = materialise(every, "records").where(F.col("OutputTitle").isNotNull())
     if transitive:
         keys = entities.identity_keys("DOI", "OutputTitle", "ProjectPI")
         return entities.merge(keyed, "_id", keys).drop("_id", "n_records")
