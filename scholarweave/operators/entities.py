@@ -40,14 +40,15 @@ def resolve(df: DataFrame, id_column: str, keys: Mapping[str, Column]) -> DataFr
     """
     sets = with_key_set(df, id_column, keys).groupBy("_keys").agg(F.count(F.lit(1)).alias("n"))
     stored = materialise(sets.withColumn("_v", F.monotonically_increasing_id()), "key-sets")
-    # A key of one set links nothing; most keys are such.
-    words = stored.select("_v", F.explode("_keys").alias("keyword"))
-    shared = words.groupBy("keyword").agg(F.count(F.lit(1)).alias("_k")).where("_k > 1").select("keyword")
-    linked = words.join(shared, "keyword", "left_semi").groupBy("_v").agg(F.array_sort(F.collect_list("keyword")).alias("keywords"))
-    joined = graph.components(materialise(linked.select(F.col("_v").alias("id"), "keywords"), "linked"))
-    return stored.join(joined.withColumnRenamed("id", "_v"), "_v", "left").select(
-        "_keys", F.coalesce("component", "_v").alias("entity"), "n"
-    )
+    return _with_entity(stored).select("_keys", "entity", "n")
+
+
+def _with_entity(stored: DataFrame) -> DataFrame:
+    """A stored table of sets of keys, with the entity that each of them, ``_v``, belongs to."""
+    # Digests as bytes: half as long. A key of one set links nothing; most keys are such.
+    members = stored.select(F.col("_v").alias("id"), F.explode(F.transform("_keys", F.unhex)).alias("keyword"))
+    linked = graph.linked_components(members).withColumnRenamed("id", "_v")
+    return stored.join(linked, "_v", "left").withColumn("entity", F.coalesce("component", "_v")).drop("component")
 
 
 def with_key_set(df: DataFrame, id_column: str, keys: Mapping[str, Column]) -> DataFrame:
@@ -64,18 +65,19 @@ def merge(df: DataFrame, id_column: str, keys: Mapping[str, Column]) -> DataFram
     The id is the lowest one. Another field has the value of the record with the fewest
     missing fields among those that have one, then of the lowest id. Both aggregations, by
     set of keys and by entity, combine rows before the shuffle; rows are never listed.
-    ``df`` is read twice; store it first if it is costly to compute.
+    ``df`` is read once: the sets of keys are stored with what their records have. They are
+    sorted by a digest, which is cheaper to compare than a list.
     """
     fields = [c for c in df.columns if c != id_column]
     missing = reduce(Column.__add__, [F.col(f"`{c}`").isNull().cast("int") for c in fields], F.lit(0))
     first = lambda c, value: F.min(F.when(value.isNotNull(), F.struct("_missing", F.col(f"`{id_column}`").alias("id"), value.alias("value")))).alias(c)
-    by_keys = (
-        with_key_set(df, id_column, keys).withColumn("_missing", missing).groupBy("_keys")
-        .agg(F.min(f"`{id_column}`").alias(id_column), *[first(c, F.col(f"`{c}`")) for c in fields])
+    keyed = with_key_set(df.withColumn("_missing", missing), id_column, keys)
+    by_keys = keyed.groupBy(F.md5(F.array_join("_keys", ",").cast("binary")).alias("_set"), "_keys").agg(
+        F.min(f"`{id_column}`").alias(id_column), *[first(c, F.col(f"`{c}`")) for c in fields], F.count(F.lit(1)).alias("_n")
     )
-    entities = resolve(df, id_column, keys)
-    by_entity = by_keys.join(entities, "_keys").groupBy("entity").agg(
-        F.min(f"`{id_column}`").alias(id_column), *[F.min(f"`{c}`").alias(c) for c in fields], F.sum("n").alias("n_records")
+    stored = materialise(by_keys.withColumn("_v", F.monotonically_increasing_id()).drop("_set"), "key-sets")
+    by_entity = _with_entity(stored).groupBy("entity").agg(
+        F.min(f"`{id_column}`").alias(id_column), *[F.min(f"`{c}`").alias(c) for c in fields], F.sum("_n").alias("n_records")
     )
     return by_entity.select(
         *[F.col(f"`{c}`") if c == id_column else F.col(f"`{c}`")["value"].alias(c) for c in df.columns], "n_records"

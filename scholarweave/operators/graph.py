@@ -186,17 +186,23 @@ def bfs_levels(members: DataFrame, seeds: DataFrame, max_hops: int | None = None
 
 
 def components(pubs: DataFrame) -> DataFrame:
-    """(id, component): connected publications share the smallest id among them.
+    """(id, component): connected publications share the smallest id among them."""
+    linked = linked_components(materialise(memberships(pubs), "members"))
+    return pubs.select("id").join(linked, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+
+
+def linked_components(members: DataFrame) -> DataFrame:
+    """(id, component) of the ids that share a keyword with a smaller one of their component.
 
     Every keyword first becomes a star around its smallest publication, which
     connects the same vertices as all its pairs would. Large-star and small-star
     steps then shorten paths until nothing changes, in a number of rounds that
     grows with the logarithm of the graph. Joins are to one row for each vertex; a
     vertex with a large share of the edges is left to adaptive execution to split.
+    ``members`` (id, keyword) should be a stored table; a keyword of one row links nothing.
     """
-    members = materialise(memberships(pubs), "members")
-    centres = members.groupBy("keyword").agg(F.min("id").alias("v"))
-    star = members.join(centres, "keyword")
+    stars = members.groupBy("keyword").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n"))
+    star = members.join(stars.where("n > 1").select("keyword", "v"), "keyword")
     edges = materialise(
         star.where("id <> v").select(F.col("id").alias("u"), "v").distinct(), "star"
     )
@@ -205,10 +211,7 @@ def components(pubs: DataFrame) -> DataFrame:
         larger = materialise(_large_star(edges), "star")
         edges = materialise(_small_star(larger), "star")
         before, now = now, _fingerprint(edges)
-    return (
-        pubs.select("id").join(edges.select(F.col("u").alias("id"), "v"), "id", "left")
-        .select("id", F.coalesce("v", "id").alias("component"))
-    )
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -218,7 +221,10 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a vertex to the vertex's smallest neighbour."""
+    """Link every larger neighbour of a vertex to the vertex's smallest neighbour.
+
+    Links may repeat; they are no more than the edges, and the step that follows drops repeats.
+    """
     both = edges.select(
         F.explode(
             F.array(
@@ -229,7 +235,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     ).select("e.*")
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     larger = both.where("v > u").join(least, "u")
-    return larger.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return larger.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

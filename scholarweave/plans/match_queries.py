@@ -8,7 +8,6 @@ from scholarweave import schemas
 from scholarweave.operators import entities, frequency, harmonise, match, title_search as search
 from scholarweave.plans.registry import query
 from scholarweave.sources.payloads import parse_json
-from scholarweave.workspace import materialise
 
 # --- harmonising -------------------------------------------------------------
 
@@ -466,7 +465,7 @@ def merged_entities(t):
         F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("a"), customer)).alias("author"),
         F.col("o_orderpriority").alias("status"),
     )
-    merged = entities.merge(materialise(rows, "spelled"), "id", entities.identity_keys())
+    merged = entities.merge(rows, "id", entities.identity_keys())
     return merged.withColumns({"doi": F.trim("doi"), "title": F.replace(F.replace(F.lower("title"), F.lit("report"), F.lit("Report")), F.lit(" NO "), F.lit(" no "))})
 
 

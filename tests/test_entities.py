@@ -166,3 +166,21 @@ def test_best_works_of_an_author_with_many_titles(spark, monkeypatch):
         fit = [t for _, t in own if title is not None and title.lower() in t.lower()]
         plain.append((i, (fit or [t for _, t in own] or [None])[0]))
     assert kept(64) == kept(0) == sorted(plain)
+
+
+def test_records_are_read_and_their_keys_computed_once(spark, monkeypatch):
+    stored = []
+    plain = entities.materialise
+
+    def kept(df, label):
+        stored.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(df, label)
+
+    monkeypatch.setattr(entities, "materialise", kept)
+    rows = [(1, "10.1/a", "T", "x"), (2, "10.1/A ", None, None), (3, "10.1/b", "t ", "X"), (3, None, "q", "y"), (None, None, None, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "id int, doi string, title string, author string")
+    found = entities.merge(df, "id", entities.identity_keys())
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, "10.1/a", "T", "x", 3), (3, None, "q", "y", 1), (None, None, None, None, 2)]
+    assert len(stored) == 1 and "ExternalRDD" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, entities.resolve(df, "id", entities.identity_keys()).select("n").collect())) == [(1,), (1,), (1,), (1,), (2,)]
